@@ -235,7 +235,7 @@ def transform_mixed(records: DataFrame, as_of: date, record: str = "record") ->
 
 CHECKS = {
     "risk_id": lambda: F.col("risk_id").isNotNull() & (F.length("risk_id") > 0),
-    "risk_code": lambda: F.col("risk_code").rlike("^[A-Z]{2,4}-[A-Z]{2}-[0-9]{8}$"),
+    "risk_code": lambda: F.col("risk_code").rlike("^[A-Z]{2,4}-[A-Z0-9]{2}-[0-9]{8}$"),
     "status": lambda: F.col("status").isin("ACTIVE", "DRAFT"),
     "domain": lambda: F.col("hazard_classification.unified.domain_code").isNotNull(),
     "jurisdiction": lambda: (F.col("status") == "DRAFT") | F.col("jurisdiction.primary_country").isNotNull(),

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from harmlens.plans import oracle
-from harmlens.plans.tables import Tables
+from harmlens.plans.tables import Tables, tables_for
 
 
 @dataclass(frozen=True)
@@ -30,7 +30,7 @@ def query(name: str, sql: str | None = None, **extra: str):
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
         REGISTRY[name] = Query(
-            run=lambda spark, sf_dir: fn(Tables(spark, sf_dir)),
+            run=lambda spark, sf_dir: fn(tables_for(spark, sf_dir)),
             sql=oracle.complete(sql, extra) if sql else None,
         )
         return fn

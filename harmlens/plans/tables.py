@@ -37,8 +37,12 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir
 
+        self._base: dict[str, DataFrame] = {}
+
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._base:
+            self._base[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._base[name]
 
     @cached_property
     def lesions(self) -> DataFrame:
@@ -153,3 +157,14 @@ class Tables:
             F.col("jours_perdus").cast("double").alias("days_lost"),
         )
         return usa.unionByName(quebec)
+
+
+_TABLES: dict[tuple[str, str], Tables] = {}
+
+
+def tables_for(spark: SparkSession, sf_dir: str) -> Tables:
+    """The tables of a folder, planned once per application: file schemas are read only once."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TABLES:
+        _TABLES[key] = Tables(spark, sf_dir)
+    return _TABLES[key]
