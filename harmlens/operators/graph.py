@@ -111,16 +111,23 @@ def merge_risks(existing: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def risk_edges(rows: DataFrame) -> DataFrame:
-    """Domain, jurisdiction and sector edges. Domains and jurisdictions must exist;
-    a sector node is made on demand and so needs no lookup."""
+    """Domain, jurisdiction and sector edges of risks that are unique by id.
+
+    Domains and jurisdictions must exist; a sector node is made on demand and so
+    needs no lookup. All edges of a risk come from its own row in one pass: the
+    two fixed code lists are scalars, and edges cannot repeat across rows.
+    """
     nodes = base_nodes(rows.sparkSession)
-    domains = F.broadcast(nodes.filter("label = 'DomaineRisque'"))
-    places = F.broadcast(nodes.filter("label = 'Juridiction'"))
-    return merged_edges(
-        _edge(link(rows, "domain_code", domains, "key"), "Risque", F.col("id"), "APPARTIENT_A", "DomaineRisque", F.col("domain_code")),
-        _edge(link(rows, "country", places, "key"), "Risque", F.col("id"), "LOCALISE_DANS", "Juridiction", F.col("country")),
-        _edge(link(rows, "subdivision", places, "key"), "Risque", F.col("id"), "LOCALISE_DANS", "Juridiction", F.col("subdivision")),
-        _edge(rows.filter("scian <> ''"), "Risque", F.col("id"), "DANS_SECTEUR", "Secteur", F.col("scian")))
+    codes = {label: nodes.filter(F.col("label") == label).agg(F.collect_set("key")).scalar() for label in ("DomaineRisque", "Juridiction")}
+    edge = lambda rel, label, dst: F.struct(F.lit(rel).alias("rel"), F.lit(label).alias("dst_label"), F.col(dst).alias("dst"))
+    listed = lambda label, column: F.array_contains(codes[label], F.col(column))
+    found = F.array_distinct(F.array_compact(F.array(
+        F.when(listed("DomaineRisque", "domain_code"), edge("APPARTIENT_A", "DomaineRisque", "domain_code")),
+        F.when(listed("Juridiction", "country"), edge("LOCALISE_DANS", "Juridiction", "country")),
+        F.when(listed("Juridiction", "subdivision"), edge("LOCALISE_DANS", "Juridiction", "subdivision")),
+        F.when(F.col("scian") != "", edge("DANS_SECTEUR", "Secteur", "scian")))))
+    return rows.select("id", F.explode(found).alias("e")).select(
+        F.lit("Risque").alias("src_label"), F.col("id").alias("src"), "e.rel", "e.dst_label", "e.dst")
 
 
 def sector_nodes(rows: DataFrame) -> DataFrame:

@@ -6,12 +6,13 @@ first spelling present wins; a null field counts as absent.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from harmlens.functions import dims
 from harmlens.functions.exprs import row_count
 from harmlens.operators import lookups
 from harmlens.operators.windows import top_k
@@ -32,9 +33,9 @@ FILE_FIELDS = (
 SCHEMA_VERSION = "1.0.0"
 
 
-def risk_id(source: str, *key: Column) -> Column:
+def risk_id(source: Column, key: Column) -> Column:
     """A stable id, the record's key hashed and laid out as a UUID."""
-    h = F.md5(F.concat_ws("|", F.lit(source), *key))
+    h = F.md5(F.concat_ws("|", source, key))
     return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4), F.substring(h, 17, 4), F.substring(h, 21, 12))
 
 
@@ -45,138 +46,154 @@ def risk_code(domain: Column, jurisdiction: Column, key: Column) -> Column:
     return F.concat_ws("-", F.upper(F.substring(domain, 1, 4)), F.upper(jurisdiction), F.lpad(number.cast("string"), 8, "0"))
 
 
-def field(df: DataFrame, names: Sequence[str], default: str | None = "") -> Column:
-    """The first of several spellings that the frame has and the row fills."""
-    found = [F.col(n).cast("string") for n in names if n in df.columns]
-    return F.coalesce(*found, F.lit(default)) if found else F.lit(default).cast("string")
+Get = Callable[..., Column]
 
+# The common layout every source is brought into before codes are looked up.
+PREPARED = {
+    "key": "string", "place": "string", "code": "string", "nature": "string", "part": "string", "site": "string", "agent": "string",
+    "industry": "string", "text": "string", "sector_text": "string", "record_id": "string", "system": "string", "country": "string",
+    "period": "string", "incidents": "bigint", "days": "bigint",
+}
+HAZARDS = dims.Dimension(dims.OSHA_EVENT.columns, tuple(
+    (f"{source}:{row[0]}", *row[1:]) for source, dim in (("osha", dims.OSHA_EVENT), ("esaw", dims.ESAW_DEVIATION), ("cnesst", dims.CNESST_GENRE))
+    for row in dim.rows))
 
-def _text(fr: Column, en: Column) -> Column:
-    return F.struct(en.alias("en"), fr.alias("fr"))
+
+def from_columns(df: DataFrame) -> Get:
+    """Access by column name: the first spelling the frame has and the row fills."""
+    def get(*names: str, default: str | None = "") -> Column:
+        found = [F.col(n).cast("string") for n in names if n in df.columns]
+        return F.coalesce(*found, F.lit(default)) if found else F.lit(default).cast("string")
+    return get
+
+
+def from_map(record: Column) -> Get:
+    """Access by map key, for records of mixed sources."""
+    def get(*names: str, default: str | None = "") -> Column:
+        return F.coalesce(*[F.try_element_at(record, F.lit(n)) for n in names], F.lit(default))
+    return get
 
 
-def _version() -> Column:
-    return F.struct(F.lit(1).alias("major"), F.lit(0).alias("minor"), F.lit(0).alias("patch"))
+def _osha(get: Get, raw: Column) -> dict[str, Column]:
+    code, nature, part = get("event_type", "EventType"), get("nature", "Nature"), get("body_part", "PartOfBody")
+    industry, record_id = get("naics_code", "NAICS"), get("id", "ActivityNr")
+    inspected = F.lower(get("source")).contains("inspection")
+    return {"key": F.concat_ws("|", record_id, code, nature, part, industry), "place": F.lit("US"), "code": code, "nature": nature, "part": part,
+            "industry": industry, "text": get("event_description"), "record_id": record_id, "country": F.lit("US"),
+            "system": F.when(inspected, "OSHA_INSPECTION").otherwise("OSHA_SEVERE_INJURY")}
 
 
-def _provenance(system: Column, record_id: Column, as_of: date, status: str = "PENDING") -> Column:
-    return F.struct(system.alias("source_system"), record_id.alias("source_record_id"),
-                    F.lit(as_of.isoformat()).alias("extraction_date"), F.lit(status).alias("validation_status"))
+def _esaw(get: Get, raw: Column) -> dict[str, Column]:
+    code, industry, period = get("deviation", "DEVIATION"), get("nace_r2", "NACE_R2"), get("TIME_PERIOD", "year", default="2023")
+    country = F.upper(F.substring(get("geo", "GEO", default="EU"), 1, 2))
+    incidents = F.coalesce(get("OBS_VALUE", "value", default=None).try_cast("double").cast("bigint"), F.lit(0).cast("bigint"))
+    return {"key": F.concat_ws("|", code, country, industry, period, incidents.cast("string")), "place": country, "code": code,
+            "industry": industry, "country": country, "period": period, "incidents": incidents, "system": F.lit("EUROSTAT_ESAW")}
 
 
-def _metadata(as_of: date, *tags: Column) -> Column:
-    listed = F.array(*tags) if tags else F.lit(None).cast("array<string>")
-    return F.struct(F.lit(as_of.isoformat()).alias("created_at"), F.lit(SCHEMA_VERSION).alias("schema_version"), listed.alias("tags"))
+def _cnesst(get: Get, raw: Column) -> dict[str, Column]:
+    count = lambda *names: F.coalesce(get(*names, default=None).try_cast("bigint"), F.lit(0).cast("bigint"))
+    return {"key": raw, "place": F.lit("QC"), "code": get("genre_accident", "GenreAccident"), "text": get("genre_description"),
+            "nature": get("nature_lesion"), "site": get("siege_lesion"), "agent": get("agent_causal"), "industry": get("scian", "SCIAN"),
+            "sector_text": get("secteur"), "incidents": count("nombre_lesions", "nb_lesions"), "days": count("jours_perdus"),
+            "country": F.lit("CA"), "system": F.lit("CNESST")}
 
 
-def _unified_hazard() -> Column:
-    return F.struct(F.col("__domain").alias("domain_code"), _text(F.col("__label_fr"), F.col("__label_en")).alias("domain_label"))
+def _generic(get: Get, raw: Column) -> dict[str, Column]:
+    return {"key": raw, "place": F.lit("XX"), "system": F.lit("MANUAL_ENTRY")}
 
 
-def _conform(df: DataFrame) -> DataFrame:
-    """Give every source the same nested schema; parts a source lacks are NULL."""
-    return df.to(struct(UNIFIED))
+PREPARE = {"osha": _osha, "esaw": _esaw, "cnesst": _cnesst, "generic": _generic}
+
+
+def _text(fr: Column, en: Column) -> Column:
+    return F.struct(en.alias("en"), fr.alias("fr"))
+
+
+def unify(prepared: DataFrame, as_of: date) -> DataFrame:
+    """Prepared rows -> unified records, in one pass over rows of any source.
+
+    Two broadcast lookups and one projection; for a single source the ``src``
+    column is a literal and the optimizer drops the branches of the others.
+    """
+    src = F.col("src")
+    osha, esaw, cnesst, known = src == "osha", src == "esaw", src == "cnesst", src != "generic"
+    keyed = prepared.withColumn("__hazard", F.concat_ws(":", "src", "code"))
+    parent = lambda k: F.when((F.col("src") == "osha") & (F.length("code") > 2), F.concat(F.lit("osha:"), F.substring("code", 1, 2)))
+    coded = lookups.lookup(keyed, HAZARDS, "__hazard", default=lookups.UNKNOWN_HAZARD, fallbacks=[parent], prefix="__")
+    coded = lookups.industry(coded, "industry", "__industry_")
+    fr = F.when(known, F.col("__label_fr")).otherwise("Autre")
+    en = F.when(known, F.col("__label_en")).otherwise("Other")
+    domain = F.col("__domain")
+    hazard = F.struct(
+        F.when(osha, F.struct(F.col("code").alias("event_type_code"), F.col("text").alias("event_type_description"),
+                              F.col("nature").alias("nature_code"), F.col("part").alias("body_part_code"))).alias("osha_usa"),
+        F.when(esaw, F.struct(F.col("code").alias("deviation_code"), _text(fr, en).alias("deviation_description"))).alias("esaw"),
+        F.when(cnesst, F.struct(
+            F.col("code").alias("genre_accident_code"), F.col("text").alias("genre_accident_description"),
+            F.col("nature").alias("nature_lesion_code"), F.col("site").alias("siege_lesion_code"),
+            F.col("agent").alias("agent_causal_code"))).alias("cnesst"),
+        F.struct(domain.alias("domain_code"), _text(fr, en).alias("domain_label")).alias("unified"))
+    place = F.struct(
+        F.col("country").alias("primary_country"), F.when(osha, _text(F.lit("États-Unis"), F.lit("United States"))).alias("country_name"),
+        F.when(cnesst, F.struct(F.lit("CA-QC").alias("code"), _text(F.lit("Québec"), F.lit("Quebec")).alias("name"),
+                                F.lit("STATE_PROVINCIAL").alias("type"))).alias("subdivision"),
+        F.when(osha, F.array(F.lit("US"))).when(esaw, F.array(F.col("country"), F.lit("EU"))).otherwise(
+            F.array(F.lit("CA"), F.lit("QC"))).alias("applicable_jurisdictions"))
+    industry = F.struct(
+        F.when(osha | cnesst, F.struct(F.col("industry").alias("code"), F.when(cnesst, F.col("sector_text")).alias("description_fr"),
+                                       F.col("__industry_label").alias("description_en"))).alias("scian"),
+        F.struct(F.when(esaw, F.col("industry")).otherwise(F.col("__industry_nace")).alias("code"),
+                 F.when(osha, F.col("__industry_label")).alias("description")).alias("nace"),
+        F.when(osha, F.struct(F.col("__industry_isic").alias("code"), F.lit(4).alias("revision"))).alias("isic"))
+    period = F.struct(F.concat(F.col("period"), F.lit("-01-01")).alias("start_date"), F.concat(F.col("period"), F.lit("-12-31")).alias("end_date"))
+    counts = F.struct(F.col("incidents").alias("total_incidents"), F.col("days").alias("total_lost_days"), F.when(esaw, period).alias("reporting_period"))
+    low = F.lower(domain)
+    tags = (F.when(osha, F.array(F.lit("osha"), F.lit("usa"), low))
+            .when(esaw, F.array(F.lit("esaw"), F.lit("eurostat"), F.lower("country"), low))
+            .when(cnesst, F.array(F.lit("cnesst"), F.lit("quebec"), F.lit("canada"), low)))
+    stamp = F.lit(as_of.isoformat())
+    title = _text(F.when(known, F.col("__label_fr")).otherwise("Enregistrement non classé"),
+                  F.when(known, F.col("__label_en")).otherwise("Unclassified Record"))
+    out = coded.select(
+        risk_id(src, F.col("key")).alias("risk_id"), risk_code(domain, F.col("place"), F.col("key")).alias("risk_code"),
+        F.struct(F.lit(1).alias("major"), F.lit(0).alias("minor"), F.lit(0).alias("patch")).alias("version"),
+        F.when(known, "ACTIVE").otherwise("DRAFT").alias("status"), title.alias("title"),
+        F.when(known, place).alias("jurisdiction"), hazard.alias("hazard_classification"), F.when(known, industry).alias("industry_classification"),
+        F.when(esaw | cnesst, counts).alias("incident_statistics"),
+        F.struct(F.col("system").alias("source_system"), F.col("record_id").alias("source_record_id"), stamp.alias("extraction_date"),
+                 F.when(known, "PENDING").otherwise("REVIEW_REQUIRED").alias("validation_status")).alias("data_provenance"),
+        F.struct(stamp.alias("created_at"), F.lit(SCHEMA_VERSION).alias("schema_version"), tags.alias("tags")).alias("metadata"),
+        "_source_record")
+    return out.to(struct(UNIFIED))
+
+
+def _transform(source: str, df: DataFrame, as_of: date) -> DataFrame:
+    raw = F.to_json(F.struct(*df.columns))
+    values = PREPARE[source](from_columns(df), raw)
+    prepared = df.select(F.lit(source).alias("src"), *[values.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in PREPARED.items()],
+                         raw.alias("_source_record"))
+    return unify(prepared, as_of)
 
 
 def transform_osha(df: DataFrame, as_of: date) -> DataFrame:
     """H08."""
-    raw = df.withColumn("_source_record", F.to_json(F.struct(*df.columns)))
-    base = raw.select(
-        field(df, ["event_type", "EventType"]).alias("event_code"), field(df, ["nature", "Nature"]).alias("nature_code"),
-        field(df, ["body_part", "PartOfBody"]).alias("part_code"), field(df, ["naics_code", "NAICS"]).alias("naics"),
-        field(df, ["event_description"]).alias("event_text"), field(df, ["id", "ActivityNr"]).alias("record_id"),
-        F.lower(field(df, ["source"])).contains("inspection").alias("inspected"), "_source_record")
-    coded = lookups.industry(lookups.osha_event(base, "event_code", "__"), "naics", "__industry_")
-    key = F.concat_ws("|", "record_id", "event_code", "nature_code", "part_code", "naics")
-    return _conform(coded.select(
-        risk_id("osha", key).alias("risk_id"), risk_code(F.col("__domain"), F.lit("US"), key).alias("risk_code"),
-        _version().alias("version"), F.lit("ACTIVE").alias("status"), _text(F.col("__label_fr"), F.col("__label_en")).alias("title"),
-        F.struct(F.lit("US").alias("primary_country"), _text(F.lit("États-Unis"), F.lit("United States")).alias("country_name"),
-                 F.array(F.lit("US")).alias("applicable_jurisdictions")).alias("jurisdiction"),
-        F.struct(
-            F.struct(F.col("event_code").alias("event_type_code"), F.col("event_text").alias("event_type_description"),
-                     "nature_code", F.col("part_code").alias("body_part_code")).alias("osha_usa"),
-            _unified_hazard().alias("unified")).alias("hazard_classification"),
-        F.struct(
-            F.struct(F.col("naics").alias("code"), F.col("__industry_label").alias("description_en")).alias("scian"),
-            F.struct(F.col("__industry_nace").alias("code"), F.col("__industry_label").alias("description")).alias("nace"),
-            F.struct(F.col("__industry_isic").alias("code"), F.lit(4).alias("revision")).alias("isic")).alias("industry_classification"),
-        _provenance(F.when(F.col("inspected"), "OSHA_INSPECTION").otherwise("OSHA_SEVERE_INJURY"), F.col("record_id"), as_of).alias("data_provenance"),
-        _metadata(as_of, F.lit("osha"), F.lit("usa"), F.lower("__domain")).alias("metadata"), "_source_record"))
+    return _transform("osha", df, as_of)
 
 
 def transform_esaw(df: DataFrame, as_of: date) -> DataFrame:
     """H09."""
-    raw = df.withColumn("_source_record", F.to_json(F.struct(*df.columns)))
-    base = raw.select(
-        field(df, ["deviation", "DEVIATION"]).alias("deviation_code"),
-        F.upper(F.substring(field(df, ["geo", "GEO"], "EU"), 1, 2)).alias("country"),
-        field(df, ["nace_r2", "NACE_R2"]).alias("nace"), field(df, ["TIME_PERIOD", "year"], "2023").alias("period"),
-        F.coalesce(field(df, ["OBS_VALUE", "value"], None).try_cast("double").cast("bigint"), F.lit(0)).alias("incidents"),
-        "_source_record")
-    coded = lookups.esaw_deviation(base, "deviation_code", "__")
-    key = F.concat_ws("|", "deviation_code", "country", "nace", "period", F.col("incidents").cast("string"))
-    return _conform(coded.select(
-        risk_id("esaw", key).alias("risk_id"), risk_code(F.col("__domain"), F.col("country"), key).alias("risk_code"),
-        _version().alias("version"), F.lit("ACTIVE").alias("status"), _text(F.col("__label_fr"), F.col("__label_en")).alias("title"),
-        F.struct(F.col("country").alias("primary_country"),
-                 F.array(F.col("country"), F.lit("EU")).alias("applicable_jurisdictions")).alias("jurisdiction"),
-        F.struct(
-            F.struct("deviation_code", _text(F.col("__label_fr"), F.col("__label_en")).alias("deviation_description")).alias("esaw"),
-            _unified_hazard().alias("unified")).alias("hazard_classification"),
-        F.struct(F.struct(F.col("nace").alias("code")).alias("nace")).alias("industry_classification"),
-        F.struct(F.col("incidents").alias("total_incidents"), F.struct(
-            F.concat(F.col("period"), F.lit("-01-01")).alias("start_date"),
-            F.concat(F.col("period"), F.lit("-12-31")).alias("end_date")).alias("reporting_period")).alias("incident_statistics"),
-        _provenance(F.lit("EUROSTAT_ESAW"), F.lit(None).cast("string"), as_of).alias("data_provenance"),
-        _metadata(as_of, F.lit("esaw"), F.lit("eurostat"), F.lower("country"), F.lower("__domain")).alias("metadata"), "_source_record"))
+    return _transform("esaw", df, as_of)
 
 
 def transform_cnesst(df: DataFrame, as_of: date) -> DataFrame:
     """H10."""
-    raw = df.withColumn("_source_record", F.to_json(F.struct(*df.columns)))
-    count = lambda *names: F.coalesce(field(df, list(names), None).try_cast("bigint"), F.lit(0))
-    base = raw.select(
-        field(df, ["genre_accident", "GenreAccident"]).alias("genre_code"), field(df, ["scian", "SCIAN"]).alias("scian_code"),
-        field(df, ["genre_description"]).alias("genre_text"), field(df, ["nature_lesion"]).alias("nature_code"),
-        field(df, ["siege_lesion"]).alias("site_code"), field(df, ["agent_causal"]).alias("agent_code"),
-        field(df, ["secteur"]).alias("sector_text"), count("nombre_lesions", "nb_lesions").alias("incidents"),
-        count("jours_perdus").alias("days"), "_source_record")
-    coded = lookups.industry(lookups.cnesst_genre(base, "genre_code", "__"), "scian_code", "__industry_")
-    key = F.col("_source_record")
-    return _conform(coded.select(
-        risk_id("cnesst", key).alias("risk_id"), risk_code(F.col("__domain"), F.lit("QC"), key).alias("risk_code"),
-        _version().alias("version"), F.lit("ACTIVE").alias("status"), _text(F.col("__label_fr"), F.col("__label_en")).alias("title"),
-        F.struct(F.lit("CA").alias("primary_country"), F.struct(
-            F.lit("CA-QC").alias("code"), _text(F.lit("Québec"), F.lit("Quebec")).alias("name"),
-            F.lit("STATE_PROVINCIAL").alias("type")).alias("subdivision"),
-            F.array(F.lit("CA"), F.lit("QC")).alias("applicable_jurisdictions")).alias("jurisdiction"),
-        F.struct(
-            F.struct(F.col("genre_code").alias("genre_accident_code"), F.col("genre_text").alias("genre_accident_description"),
-                     F.col("nature_code").alias("nature_lesion_code"), F.col("site_code").alias("siege_lesion_code"),
-                     F.col("agent_code").alias("agent_causal_code")).alias("cnesst"),
-            _unified_hazard().alias("unified")).alias("hazard_classification"),
-        F.struct(
-            F.struct(F.col("scian_code").alias("code"), F.col("sector_text").alias("description_fr"),
-                     F.col("__industry_label").alias("description_en")).alias("scian"),
-            F.struct(F.col("__industry_nace").alias("code")).alias("nace")).alias("industry_classification"),
-        F.struct(F.col("incidents").alias("total_incidents"), F.col("days").alias("total_lost_days")).alias("incident_statistics"),
-        _provenance(F.lit("CNESST"), F.lit(None).cast("string"), as_of).alias("data_provenance"),
-        _metadata(as_of, F.lit("cnesst"), F.lit("quebec"), F.lit("canada"), F.lower("__domain")).alias("metadata"), "_source_record"))
+    return _transform("cnesst", df, as_of)
 
 
 def transform_generic(df: DataFrame, as_of: date) -> DataFrame:
     """A draft placeholder that keeps the raw record."""
-    raw = df.select(F.to_json(F.struct(*df.columns)).alias("_source_record"))
-    key = F.col("_source_record")
-    return _conform(raw.select(
-        risk_id("generic", key).alias("risk_id"), risk_code(F.lit("AUTRE"), F.lit("XX"), key).alias("risk_code"),
-        _version().alias("version"), F.lit("DRAFT").alias("status"),
-        _text(F.lit("Enregistrement non classé"), F.lit("Unclassified Record")).alias("title"),
-        F.struct(F.struct(F.lit("AUTRE").alias("domain_code"), _text(F.lit("Autre"), F.lit("Other")).alias("domain_label")).alias("unified"))
-        .alias("hazard_classification"),
-        _provenance(F.lit("MANUAL_ENTRY"), F.lit(None).cast("string"), as_of, "REVIEW_REQUIRED").alias("data_provenance"),
-        _metadata(as_of).alias("metadata"), "_source_record"))
+    return _transform("generic", df, as_of)
 
 
 TRANSFORMS = {"osha": transform_osha, "esaw": transform_esaw, "cnesst": transform_cnesst, "generic": transform_generic}
@@ -201,34 +218,18 @@ def detect_frame(df: DataFrame) -> str:
 def transform_mixed(records: DataFrame, as_of: date, record: str = "record") -> DataFrame:
     """Records of any source, each a map of strings, to unified records.
 
-    Each source's rows are picked out, spread into the columns its transform
-    reads, and the four results are stacked.
+    One pass: each prepared column is read from the fields of the row's own source.
     """
-    spread = {
-        "osha": {"event_type": ["event_type", "EventType"], "nature": ["nature", "Nature"], "body_part": ["body_part", "PartOfBody"],
-                 "naics_code": ["naics_code", "NAICS"], "event_description": ["event_description"], "id": ["id", "ActivityNr"],
-                 "source": ["source"]},
-        "esaw": {"deviation": ["deviation", "DEVIATION"], "geo": ["geo", "GEO"], "nace_r2": ["nace_r2", "NACE_R2"],
-                 "TIME_PERIOD": ["TIME_PERIOD", "year"], "OBS_VALUE": ["OBS_VALUE", "value"]},
-        "cnesst": {"genre_accident": ["genre_accident", "GenreAccident"], "scian": ["scian", "SCIAN"],
-                   "genre_description": ["genre_description"], "nature_lesion": ["nature_lesion"], "siege_lesion": ["siege_lesion"],
-                   "agent_causal": ["agent_causal"], "secteur": ["secteur"], "nombre_lesions": ["nombre_lesions", "nb_lesions"],
-                   "jours_perdus": ["jours_perdus"], "annee": ["annee"], "id": ["id"]},
-    }
-    tagged = records.select(F.col(record).alias("r"), detect_record(F.col(record)).alias("__source"))
-    parts = []
-    for name, transform in TRANSFORMS.items():
-        rows = tagged.filter(F.col("__source") == name)
-        if name in spread:
-            rows = rows.select(*[F.coalesce(*[F.try_element_at("r", F.lit(f)) for f in spellings]).alias(target)
-                                 for target, spellings in spread[name].items()])
-        else:
-            rows = rows.select("r")
-        parts.append(transform(rows, as_of))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    rows = records.select(F.col(record).alias("r"), detect_record(F.col(record)).alias("src"), F.to_json(record).alias("_source_record"))
+    values = {source: prepare(from_map(F.col("r")), F.col("_source_record")) for source, prepare in PREPARE.items()}
+
+    def chosen(column: str, kind: str) -> Column:
+        out = F
+        for source in PREPARE:
+            out = out.when(F.col("src") == source, values[source].get(column, F.lit(None)).cast(kind))
+        return out.alias(column)
+
+    return unify(rows.select("src", *[chosen(c, kind) for c, kind in PREPARED.items()], "_source_record"), as_of)
 
 
 # -- validation and statistics (H13, H16, H17) ---------------------------------------

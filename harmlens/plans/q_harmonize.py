@@ -200,7 +200,7 @@ def _(t):
 def _(t):
     key = F.concat_ws("|", "id", "event_type", "nature", "body_part", "naics_code")
     coded = lk.osha_event(t.osha_records, prefix="")
-    return counts_by(coded.select(har.risk_id("osha", key).alias("risk_id"),
+    return counts_by(coded.select(har.risk_id(F.lit("osha"), key).alias("risk_id"),
                                   har.risk_code(F.col("domain"), F.lit("US"), key).alias("risk_code")), ["risk_id", "risk_code"])
 
 
