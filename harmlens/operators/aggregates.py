@@ -27,6 +27,7 @@ def grand_total(counted: DataFrame, keys: Sequence[str]) -> Column:
 
     It reads the grouped result, not the input, and asks for every measure, so
     the subquery reuses the shuffle of the main branch: no second scan, no join.
+    Where several fields are needed, add it as a column first: it is planned once.
     """
     measures = [c for c in counted.columns if c not in keys]
     return counted.agg(F.struct(*[F.sum(m).alias(m) for m in measures]).alias("total")).scalar()
@@ -47,6 +48,21 @@ def distinct_per(df: DataFrame, key: str, value: str, flags: Sequence[str] = ())
     )
 
 
+def stacked_counts(df: DataFrame, columns: Sequence[str], keep_null: bool = False) -> DataFrame:
+    """Rows per (sector, column, value) for several columns in one pass."""
+    tall = df.unpivot(["secteur_scian"], list(columns), "colonne", "valeur")
+    if not keep_null:
+        tall = tall.filter(F.col("valeur").isNotNull())
+    return tall.groupBy("secteur_scian", "colonne", "valeur").agg(row_count().alias("n"))
+
+
+def dominant_values(stacked: DataFrame, labels: dict[str, str]) -> DataFrame:
+    """Most frequent value of each stacked column per sector; ties go to the smallest value."""
+    rank = F.struct((-F.col("n")).alias("rank"), "valeur")
+    best = [F.min(F.when(F.col("colonne") == column, rank))["valeur"].alias(label) for column, label in labels.items()]
+    return stacked.groupBy("secteur_scian").agg(*best)
+
+
 def _share_top(counted: DataFrame, key: str, label: str, k: int, extra: Sequence[Column] = ()) -> DataFrame:
     total = grand_total(counted, [key])
     return (
@@ -137,26 +153,19 @@ def sector_risk_profile(lesions: DataFrame, steps=VOLUME_STEPS) -> DataFrame:
     total = counted.agg(
         F.struct(F.sum("n").alias("n"), F.max("n").alias("largest"),
                  *[F.sum(f).alias(f) for f in flags]).alias("total")).scalar()
+    counted = counted.withColumn("__t", total)
     score = (
-        F.log(F.col("n") + 1) / F.log(total["largest"] + 1) * 40
+        F.log(F.col("n") + 1) / F.log(F.col("__t.largest") + 1) * 40
         + F.col("tms").cast("double") / F.col("n") * 30
         + F.col("psy").cast("double") / F.col("n") * 30
     )
     return counted.select(
-        "secteur_scian", F.col("n").alias("total_lesions"), percent("n", total["n"]).alias("pct_total_qc"),
+        "secteur_scian", F.col("n").alias("total_lesions"), percent("n", "__t.n").alias("pct_total_qc"),
         *[percent(f, "n").alias(f"risk_{f}_pct") for f in flags],
         F.round(score, 1).alias("risk_score"), volume_level(F.col("n"), steps).alias("risk_level"),
     )
 
 
-def _most_frequent(lesions: DataFrame, column: str, label: str, keep_null: bool) -> DataFrame:
-    """Most frequent value per sector; ties go to the smallest value."""
-    rows = lesions if keep_null else lesions.filter(F.col(column).isNotNull())
-    counted = counts_by(rows, ["secteur_scian", column])
-    best = F.min(F.struct((-F.col("n")).alias("rank"), F.col(column).alias("value")))
-    return counted.groupBy("secteur_scian").agg(best["value"].alias(label))
-
-
 def sector_profile_exact(lesions: DataFrame, sector: str | None = None, steps=VOLUME_STEPS) -> DataFrame:
     """One row per sector (or for exactly one), with its three most frequent values."""
     counted = counts_by(lesions, ["secteur_scian"], ["tms", "psy"])
@@ -168,11 +177,9 @@ def sector_profile_exact(lesions: DataFrame, sector: str | None = None, steps=VO
         percent("tms", "n").alias("risk_tms"), percent("psy", "n").alias("risk_psy"),
         volume_level(F.col("n"), steps).alias("risk_level"),
     )
-    for column, label in (("nature_lesion", "top_nature"), ("siege_lesion", "top_siege"),
-                          ("agent_causal_lesion", "top_agent")):
-        side = _most_frequent(rows, column, label, keep_null=True).withColumnRenamed("secteur_scian", "__s")
-        out = out.join(side, F.col("secteur_scian").eqNullSafe(F.col("__s")), "left").drop("__s")
-    return out.withColumnRenamed("secteur_scian", "secteur")
+    labels = {"nature_lesion": "top_nature", "siege_lesion": "top_siege", "agent_causal_lesion": "top_agent"}
+    side = dominant_values(stacked_counts(rows, list(labels), keep_null=True), labels).withColumnRenamed("secteur_scian", "__s")
+    return out.join(side, F.col("secteur_scian").eqNullSafe(F.col("__s")), "left").drop("__s").withColumnRenamed("secteur_scian", "secteur")
 
 
 # Status texts of the provincial comparison.
@@ -186,9 +193,9 @@ def compare_to_province(lesions: DataFrame, indicator: str, sector: str | None =
     total = grand_total(counted, ["secteur_scian"])
     rate, province = F.col("taux_secteur"), F.col("taux_provincial")
     rows = counted if sector is None else counted.filter(F.col("secteur_scian") == sector)
-    return rows.select(
+    return rows.withColumn("__t", total).select(
         F.col("secteur_scian").alias("secteur"), percent(name, "n").alias("taux_secteur"),
-        percent(total[name], total["n"]).alias("taux_provincial"),
+        percent(f"__t.{name}", "__t.n").alias("taux_provincial"),
     ).select(
         "*", F.round(rate - province, 2).alias("ecart"),
         F.when(rate > province * 1.2, ABOVE).when(rate < province * 0.8, BELOW).otherwise(WITHIN).alias("statut"),
@@ -389,9 +396,9 @@ def two_table_stats(cnesst: DataFrame, osha: DataFrame) -> DataFrame:
     us = osha.agg(F.struct(row_count().alias("records"), F.sum("total_cases").alias("cases"),
                            F.sum("total_deaths").alias("deaths")).alias("t")).scalar()
     own = cnesst.agg(row_count().alias("cnesst_records"), F.coalesce(F.sum("nombre_lesions"), F.lit(0)).alias("total_lesions"))
-    return own.select(
-        "cnesst_records", "total_lesions", us["records"].alias("osha_records"),
-        F.coalesce(us["cases"], F.lit(0)).alias("total_cases"), F.coalesce(us["deaths"], F.lit(0)).alias("total_deaths"),
+    return own.withColumn("us", us).select(
+        "cnesst_records", "total_lesions", F.col("us.records").alias("osha_records"),
+        F.coalesce("us.cases", F.lit(0)).alias("total_cases"), F.coalesce("us.deaths", F.lit(0)).alias("total_deaths"),
     ).withColumn("combined_incidents", F.col("total_lesions") + F.col("total_cases"))
 
 
@@ -454,7 +461,7 @@ def headline_board(sectors: DataFrame, k: int = 10, alert_k: int = 5, alert_abov
 
 def most_frequent_value(lesions: DataFrame, column: str) -> DataFrame:
     """Per sector, the most frequent non-null value."""
-    return _most_frequent(lesions, column, "valeur", keep_null=False)
+    return dominant_values(stacked_counts(lesions, [column]), {column: "valeur"})
 
 
 def run_report(log: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harmlens.functions.exprs import BENCHMARK_FLAGS, at_most, band, change_pct, contains_ci, percent, present, row_count
-from harmlens.operators.aggregates import counts_by, grand_total
+from harmlens.operators.aggregates import counts_by, dominant_values, grand_total, stacked_counts
 from harmlens.operators.windows import first_last, top_n_by
 from harmlens.workspace import cut_lineage
 
@@ -41,19 +41,9 @@ def province_of(years: DataFrame) -> Column:
     return grand_total(years, ["secteur_scian", "annee"])
 
 
-def stacked_counts(lesions: DataFrame, columns=tuple(DESCRIPTIVE)) -> DataFrame:
-    """Rows per (sector, column, non-null value) for several columns in one pass."""
-    tall = lesions.unpivot(["secteur_scian"], list(columns), "colonne", "valeur")
-    return tall.filter(F.col("valeur").isNotNull()).groupBy("secteur_scian", "colonne", "valeur").agg(
-        row_count().alias("n"))
-
-
-def dominant_values(stacked: DataFrame) -> DataFrame:
-    """Most frequent value of each stacked column, one row per sector."""
-    rank = F.struct((-F.col("n")).alias("rank"), "valeur")
-    best = [F.min(F.when(F.col("colonne") == column, rank))["valeur"].alias(label)
-            for column, label in DESCRIPTIVE.items()]
-    return stacked.groupBy("secteur_scian").agg(*best)
+def described(lesions: DataFrame) -> DataFrame:
+    """One stacked count of the three descriptive columns."""
+    return stacked_counts(lesions, list(DESCRIPTIVE))
 
 
 def linear_score(n: Column, pct_tms: Column, pct_psy: Column) -> Column:
@@ -69,7 +59,7 @@ def join_sector(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def sector_profiles(lesions: DataFrame, steps=LEVEL_STEPS) -> DataFrame:
     """totals, rates, share, score, level and dominant values per sector."""
-    return profiles_of(sector_years(lesions), dominant_values(stacked_counts(lesions)), steps)
+    return profiles_of(sector_years(lesions), dominant_values(described(lesions), DESCRIPTIVE), steps)
 
 
 def profiles_of(years: DataFrame, dominants: DataFrame, steps=LEVEL_STEPS) -> DataFrame:
@@ -96,10 +86,10 @@ def benchmarks_of(years: DataFrame) -> DataFrame:
     province = province_of(years)
     entries = F.explode(F.array(*[
         F.struct(F.lit(i).alias("ord"), F.lit(f.upper()).alias("indicateur"), percent(f, "n").alias("taux_secteur"),
-                 percent(province[f], province["n"]).alias("taux_provincial"))
+                 percent(f"__p.{f}", "__p.n").alias("taux_provincial"))
         for i, f in enumerate(BENCHMARK_FLAGS)])).alias("b")
     gap, base = F.col("ecart"), F.col("taux_provincial")
-    rows = sector_sums(years).select("secteur_scian", entries).select("secteur_scian", "b.*")
+    rows = sector_sums(years).withColumn("__p", province).select("secteur_scian", entries).select("secteur_scian", "b.*")
     rows = rows.withColumn("ecart", F.col("taux_secteur") - base)
     high, low = gap > base * 0.2, gap < -base * 0.2
     return rows.select(
@@ -148,8 +138,8 @@ def recommendations(profiles: DataFrame, benchmark_rows: DataFrame) -> DataFrame
 def full_enrichment(lesions: DataFrame, steps=LEVEL_STEPS, n: int = 5) -> DataFrame:
     """one nested row per sector. Each list is bounded: 4 benchmarks, the years, n values."""
     years = cut_lineage(sector_years(lesions))
-    tops = cut_lineage(top_values(stacked_counts(lesions), n))
-    dominants = dominant_values(tops.withColumnRenamed("total", "n"))
+    tops = cut_lineage(top_values(described(lesions), n))
+    dominants = dominant_values(tops.withColumnRenamed("total", "n"), DESCRIPTIVE)
     profiles = profiles_of(years, dominants, steps)
     rows = benchmarks_of(years)
     bench = rows.groupBy("secteur_scian").agg(F.array_sort(F.collect_list(F.struct(

@@ -245,7 +245,9 @@ def sector_graph(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     The statistics id keeps 20 characters of the sector, so two long names may
     share a node; the smaller count is then the one kept, as if written last.
+    The counts are small and read several times, hence the checkpoint.
     """
+    counts = cut_lineage(counts)
     rows = counts.withColumn("id", F.concat_ws("-", F.lit("QC"), F.substring("secteur", 1, 20), F.col("annee").cast("string")))
     kept = rows.groupBy("id").agg(F.min(F.struct("total", "secteur")).alias("s")).select("id", "s.*")
     sectors = rows.select("secteur").distinct()
@@ -312,21 +314,25 @@ def sectors_of(nodes: DataFrame, jurisdiction: str | None = None, k: int = 50) -
 def incident_graph(incidents: DataFrame, agents: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
     """Incidents with jurisdiction, sector and lesion nodes, and four kinds of edges.
 
-    A node takes its attributes from its smallest row. Agents watch an incident
-    when their coverage text contains its sector code.
+    A node takes its name from its smallest row. Agents watch an incident when
+    their coverage text contains its sector code. Nodes and edges each come from
+    one pass: every incident row lists its own, and repeats merge map-side.
     """
-    def node(label: str, key: str, name: str) -> DataFrame:
-        rows = incidents.filter(F.col(key).isNotNull())
-        return rows.groupBy(F.col(key).cast("string").alias("key")).agg(F.min(name).alias("name")).withColumn("label", F.lit(label))
-
-    nodes = union_all(node("Jurisdiction", "jurisdiction", "jurisdiction_name"), node("Sector", "sector_code", "sector_name"),
-                      node("LesionType", "injury_type", "injury_name"), node("Incident", "incident_uri", "description")).withColumn("source", F.lit(source))
-    uri = F.col("incident_uri")
-    edges = merged_edges(
-        _edge(incidents.filter("jurisdiction IS NOT NULL"), "Incident", uri, "OCCURRED_IN", "Jurisdiction", F.col("jurisdiction")),
-        _edge(incidents.filter("sector_code IS NOT NULL"), "Incident", uri, "IN_SECTOR", "Sector", F.col("sector_code")),
-        _edge(incidents.filter("injury_type IS NOT NULL"), "Incident", uri, "HAS_INJURY", "LesionType", F.col("injury_type")),
-        monitors(incidents, agents))
+    item = lambda label, key, name: F.struct(F.lit(label).alias("label"), F.col(key).cast("string").alias("key"), F.col(name).alias("name"))
+    named = F.array(item("Jurisdiction", "jurisdiction", "jurisdiction_name"), item("Sector", "sector_code", "sector_name"),
+                    item("LesionType", "injury_type", "injury_name"), item("Incident", "incident_uri", "description"))
+    nodes = incidents.select(F.explode(F.filter(named, lambda n: n["key"].isNotNull())).alias("n")).groupBy("n.label", "n.key").agg(
+        F.min("n.name").alias("name")).withColumn("source", F.lit(source))
+
+    watching = containment_index(agents, "id", ["sector_coverage"]).groupBy("part").agg(F.collect_set("item").alias("agents"))
+    rows = incidents.join(F.broadcast(watching), F.col("scian_code") == F.col("part"), "left")
+    edge = lambda rel, label, dst: F.struct(
+        F.lit("Incident").alias("src_label"), F.col("incident_uri").alias("src"), F.lit(rel).alias("rel"), F.lit(label).alias("dst_label"),
+        F.col(dst).cast("string").alias("dst"))
+    own = F.array(edge("OCCURRED_IN", "Jurisdiction", "jurisdiction"), edge("IN_SECTOR", "Sector", "sector_code"), edge("HAS_INJURY", "LesionType", "injury_type"))
+    watched = F.transform(F.coalesce("agents", F.array().cast("array<string>")), lambda a: F.struct(
+        F.lit("Agent").alias("src_label"), a.alias("src"), F.lit("MONITORS").alias("rel"), F.lit("Incident").alias("dst_label"), F.col("incident_uri").alias("dst")))
+    edges = rows.select(F.explode(F.concat(F.filter(own, lambda e: e["dst"].isNotNull()), watched)).alias("e")).select("e.*").distinct()
     return nodes, edges
 
 

@@ -271,10 +271,9 @@ def statistics(unified: DataFrame) -> DataFrame:
     return by("s", "source").unionByName(by("d", "domaine"))
 
 
-def leading_domains(unified: DataFrame, k: int = 5) -> DataFrame:
-    """The k domains with most records."""
-    counted = unified.groupBy(F.col("hazard_classification.unified.domain_code").alias("domaine")).agg(row_count().alias("n"))
-    return top_k(counted, "n", k, ["domaine"])
+def leading_domains(stats: DataFrame, k: int = 5) -> DataFrame:
+    """The k domains with most records, from the statistics."""
+    return top_k(stats.filter(F.col("vue") == "domaine"), "n", k, ["cle"])
 
 
 # -- flat record, second generation (H20, H21, K09) -------------------------------------

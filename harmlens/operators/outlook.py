@@ -57,7 +57,10 @@ COHORT = ["secteur_scian", "groupe_age", "sexe_pers_phys"]
 
 
 def cohorts(lesions: DataFrame) -> DataFrame:
-    """Counts per (sector, age group, sex): small, and enough for every demographic table."""
+    """Counts per (sector, age group, sex): small, and enough for every demographic table.
+
+    The tables below checkpoint it and read it several times.
+    """
     return counts_by(lesions, COHORT, ["tms", "psy"])
 
 
@@ -66,7 +69,7 @@ def cross_tabs(lesions: DataFrame, k: int = 10) -> DataFrame:
     pairs = counts_by(lesions, ["secteur_scian", "agent_causal_lesion", "siege_lesion"]).withColumn(
         "pair", F.struct("agent_causal_lesion", "siege_lesion"))
     top = top_n_by(pairs, ["secteur_scian"], "pair", k)
-    return rate_tabs(cohorts(lesions)).unionByName(top.select(
+    return rate_tabs(cut_lineage(cohorts(lesions))).unionByName(top.select(
         "secteur_scian", F.lit("agent_siege").alias("tableau"), F.col("agent_causal_lesion").alias("a"),
         F.col("siege_lesion").alias("b"), F.col("n").alias("total"), F.lit(None).cast("double").alias("taux")))
 
@@ -120,7 +123,7 @@ def costs(sums: DataFrame) -> DataFrame:
 
 def demographic_profile(lesions: DataFrame, k: int = 10) -> DataFrame:
     """age shares, sex shares and the largest age-sex cells, stacked; cells above 30 % TMS are marked."""
-    return demographics_of(cohorts(lesions), k)
+    return demographics_of(cut_lineage(cohorts(lesions)), k)
 
 
 def demographics_of(cohort: DataFrame, k: int = 10) -> DataFrame:

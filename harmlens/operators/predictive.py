@@ -96,8 +96,8 @@ def seasonal_alerts(years: DataFrame, as_of: date) -> DataFrame:
 def benchmark_alerts(years: DataFrame, as_of: date, points: float = 5.0) -> DataFrame:
     """TMS rate more than ``points`` above the province."""
     province = province_of(years)
-    rows = sector_sums(years).withColumn("rate", percent("tms", "n")).withColumn(
-        "province", percent(province["tms"], province["n"])).withColumn("gap", F.round(F.col("rate") - F.col("province"), 2))
+    rows = sector_sums(years).withColumn("__p", province).withColumn("rate", percent("tms", "n")).withColumn(
+        "province", percent("__p.tms", "__p.n")).withColumn("gap", F.round(F.col("rate") - F.col("province"), 2))
     return _alert(rows.filter(F.col("gap") > points), F.lit("WARNING"), F.lit("BENCHMARK_EXCEEDED"),
                   F.format_string("TMS %.1f%% au-dessus de la moyenne provinciale", F.round("gap", 1)),
                   F.array(F.lit("Programme ergonomique"), F.lit("Évaluation des postes")), as_of)

@@ -215,9 +215,8 @@ def _(t):
 SELECT 'source' AS vue, source_system AS cle, COUNT(*) AS n FROM mixed GROUP BY 2 UNION ALL SELECT 'domaine', domain, COUNT(*) FROM mixed GROUP BY 2
 UNION ALL SELECT 'top', * FROM (SELECT domain, COUNT(*) AS n FROM mixed GROUP BY 1 ORDER BY n DESC, domain LIMIT 5)""", **PARTS)
 def _(t):
-    unified = har.transform_mixed(mixed_records(t), AS_OF)
-    top = har.leading_domains(unified).select(F.col("domaine").alias("cle"), "n", F.lit("top").alias("vue"))
-    return har.statistics(unified).unionByName(top)
+    stats = har.statistics(har.transform_mixed(mixed_records(t), AS_OF))
+    return stats.unionByName(har.leading_domains(stats).withColumn("vue", F.lit("top")))
 
 
 SECTOR = """SELECT code0 AS scian, COALESCE(d.scian, code0) AS sector_scian, COALESCE(d.naics, code0) AS sector_naics, COALESCE(d.nace, 'UNKNOWN') AS sector_nace,

@@ -13,6 +13,7 @@ from harmlens.plans.oracle import flag, percent, ratio
 from harmlens.plans.q_aggregates import mode_sql
 from harmlens.plans.q_windows import LATEST_TWO, RANKED, YOY_SQL
 from harmlens.plans.registry import query
+from harmlens.workspace import cut_lineage
 
 # Thresholds scaled to the fixture, so that every level occurs.
 STEPS = ((10400, "🔴 CRITIQUE"), (10000, "🟠 ÉLEVÉ"), (9500, "🟡 MODÉRÉ"))
@@ -76,7 +77,7 @@ def _(t):
 SELECT a.secteur_scian, a.v AS top_nature_lesion, b.v AS top_siege_lesion, c.v AS top_agent_causal
 FROM mode_nature a, mode_siege b, mode_agent c WHERE a.secteur_scian = b.secteur_scian AND a.secteur_scian = c.secteur_scian""", **BASE)
 def _(t):
-    return enr.dominant_values(enr.stacked_counts(t.lesions))
+    return agg.dominant_values(enr.described(t.lesions), enr.DESCRIPTIVE)
 
 
 @query("f01_sector_profiles", "SELECT * FROM profile", **BASE)
@@ -96,7 +97,7 @@ def _(t):
 
 @query("f04_top_values", "SELECT * FROM tops", **BASE)
 def _(t):
-    return enr.top_values(enr.stacked_counts(t.lesions))
+    return enr.top_values(enr.described(t.lesions))
 
 
 @query("f05_full_enrichment", """
@@ -154,7 +155,9 @@ def _(t):
 
 @query("f10_recommendations", "SELECT * FROM recs", **BASE)
 def _(t):
-    recs = enr.recommendations(enr.sector_profiles(t.lesions, STEPS), enr.benchmarks(t.lesions))
+    years = years_of(t)
+    profiles = enr.profiles_of(years, agg.dominant_values(enr.described(t.lesions), enr.DESCRIPTIVE), STEPS)
+    recs = enr.recommendations(profiles, enr.benchmarks_of(years))
     return recs.select("secteur_scian", F.array_join("recommandations_ia", " | ").alias("recommandations_ia"))
 
 
@@ -320,7 +323,7 @@ def _(t):
 
 @query("f21_all_alerts", "SELECT * FROM alerts", alerts=ALERTS, **BASE)
 def _(t):
-    return _joined(pre.all_alerts(years_of(t), AS_OF, points=0.3, warn=0.5, critical=2))
+    return _joined(pre.all_alerts(cut_lineage(years_of(t)), AS_OF, points=0.3, warn=0.5, critical=2))
 
 
 SCENARIOS = f"""SELECT secteur_scian, 'VR-' || upper(substr(secteur_scian, 1, 4)) || '-' || lpad(CAST(rn AS STRING), 3, '0') AS id,

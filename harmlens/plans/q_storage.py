@@ -93,7 +93,7 @@ def cube_documents(t):
     geos = F.array_sort(F.collect_set(F.struct("geo", "country_name")))
     times = F.array_sort(F.collect_set("time"))
     axes = cells.agg(F.struct(geos.alias("g"), times.alias("y")).alias("axes")).scalar()  # two bounded code lists
-    at = cells.withColumns({"g": axes["g"], "y": axes["y"]}).select(
+    at = cells.withColumn("axes", axes).select("*", "axes.*").select(
         "g", "y", ((F.array_position(F.transform("g", lambda e: e["geo"]), F.col("geo")) - 1) * F.size("y")
                    + F.array_position("y", F.col("time")) - 1).cast("string").alias("k"), "value")
     indexed = lambda items: F.map_from_entries(F.transform(items, lambda e, i: F.struct(e, i)))
