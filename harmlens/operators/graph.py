@@ -81,10 +81,13 @@ def initialize(nodes: DataFrame) -> DataFrame:
 
 
 def risk_rows(unified: DataFrame) -> DataFrame:
-    """The attributes of each risk node, one row per id; records without an id are left out."""
-    h = unified.filter(F.col("risk_id").isNotNull() & (F.col("risk_id") != ""))
+    """The attributes of each risk node, one row per id; records without an id are left out.
+
+    They are dropped after the grouping: a filter on a derived id would be pushed
+    down to the scan and hash every record a second time.
+    """
     blank = F.lit("")
-    rows = h.select(
+    rows = unified.select(
         F.col("risk_id").alias("id"), F.coalesce("risk_code", blank).alias("code"), F.coalesce("title.fr", blank).alias("titre_fr"),
         F.coalesce("title.en", blank).alias("titre_en"), F.coalesce("hazard_classification.unified.domain_code", F.lit("AUTRE")).alias("domain_code"),
         F.coalesce("data_provenance.source_system", F.lit("MANUAL_ENTRY")).alias("source_system"),
@@ -94,7 +97,8 @@ def risk_rows(unified: DataFrame) -> DataFrame:
         F.coalesce("jurisdiction.primary_country", F.lit("XX")).alias("country"),
         F.coalesce(F.element_at(F.split("jurisdiction.subdivision.code", "-"), -1), blank).alias("subdivision"))
     rest = [c for c in rows.columns if c != "id"]
-    return rows.groupBy("id").agg(F.min(F.struct(*rest)).alias("r")).select("id", "r.*")
+    merged = rows.groupBy("id").agg(F.min(F.struct(*rest)).alias("r"), F.max(F.col("id") != "").alias("__named"))
+    return merged.filter("__named").select("id", "r.*")
 
 
 def missing_ids(unified: DataFrame) -> DataFrame:

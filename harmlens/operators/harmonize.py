@@ -16,7 +16,6 @@ from harmlens.functions import dims
 from harmlens.functions.exprs import row_count
 from harmlens.operators import lookups
 from harmlens.operators.windows import top_k
-from harmlens.schemas import UNIFIED, struct
 
 # Fields that reveal a record's source, in test order.
 SOURCE_FIELDS = (
@@ -33,9 +32,13 @@ FILE_FIELDS = (
 SCHEMA_VERSION = "1.0.0"
 
 
-def risk_id(source: Column, key: Column) -> Column:
-    """A stable id, the record's key hashed and laid out as a UUID."""
-    h = F.md5(F.concat_ws("|", source, key))
+def identity_hash(source: Column, key: Column) -> Column:
+    """The hash a record's id and number are taken from."""
+    return F.md5(F.concat_ws("|", source, key))
+
+
+def risk_id(h: Column) -> Column:
+    """A stable id, the record's hash laid out as a UUID."""
     return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4), F.substring(h, 17, 4), F.substring(h, 21, 12))
 
 
@@ -50,7 +53,7 @@ Get = Callable[..., Column]
 
 # The common layout every source is brought into before codes are looked up.
 PREPARED = {
-    "key": "string", "place": "string", "code": "string", "nature": "string", "part": "string", "site": "string", "agent": "string",
+    "place": "string", "code": "string", "nature": "string", "part": "string", "site": "string", "agent": "string",
     "industry": "string", "text": "string", "sector_text": "string", "record_id": "string", "system": "string", "country": "string",
     "period": "string", "incidents": "bigint", "days": "bigint",
 }
@@ -74,33 +77,32 @@ def from_map(record: Column) -> Get:
     return get
 
 
-def _osha(get: Get, raw: Column) -> dict[str, Column]:
+def _osha(get: Get) -> dict[str, Column]:
     code, nature, part = get("event_type", "EventType"), get("nature", "Nature"), get("body_part", "PartOfBody")
     industry, record_id = get("naics_code", "NAICS"), get("id", "ActivityNr")
     inspected = F.lower(get("source")).contains("inspection")
-    return {"key": F.concat_ws("|", record_id, code, nature, part, industry), "place": F.lit("US"), "code": code, "nature": nature, "part": part,
+    return {"place": F.lit("US"), "code": code, "nature": nature, "part": part,
             "industry": industry, "text": get("event_description"), "record_id": record_id, "country": F.lit("US"),
             "system": F.when(inspected, "OSHA_INSPECTION").otherwise("OSHA_SEVERE_INJURY")}
 
 
-def _esaw(get: Get, raw: Column) -> dict[str, Column]:
+def _esaw(get: Get) -> dict[str, Column]:
     code, industry, period = get("deviation", "DEVIATION"), get("nace_r2", "NACE_R2"), get("TIME_PERIOD", "year", default="2023")
     country = F.upper(F.substring(get("geo", "GEO", default="EU"), 1, 2))
     incidents = F.coalesce(get("OBS_VALUE", "value", default=None).try_cast("double").cast("bigint"), F.lit(0).cast("bigint"))
-    return {"key": F.concat_ws("|", code, country, industry, period, incidents.cast("string")), "place": country, "code": code,
-            "industry": industry, "country": country, "period": period, "incidents": incidents, "system": F.lit("EUROSTAT_ESAW")}
+    return {"place": country, "code": code, "industry": industry, "country": country, "period": period, "incidents": incidents, "system": F.lit("EUROSTAT_ESAW")}
 
 
-def _cnesst(get: Get, raw: Column) -> dict[str, Column]:
+def _cnesst(get: Get) -> dict[str, Column]:
     count = lambda *names: F.coalesce(get(*names, default=None).try_cast("bigint"), F.lit(0).cast("bigint"))
-    return {"key": raw, "place": F.lit("QC"), "code": get("genre_accident", "GenreAccident"), "text": get("genre_description"),
+    return {"place": F.lit("QC"), "code": get("genre_accident", "GenreAccident"), "text": get("genre_description"),
             "nature": get("nature_lesion"), "site": get("siege_lesion"), "agent": get("agent_causal"), "industry": get("scian", "SCIAN"),
             "sector_text": get("secteur"), "incidents": count("nombre_lesions", "nb_lesions"), "days": count("jours_perdus"),
             "country": F.lit("CA"), "system": F.lit("CNESST")}
 
 
-def _generic(get: Get, raw: Column) -> dict[str, Column]:
-    return {"key": raw, "place": F.lit("XX"), "system": F.lit("MANUAL_ENTRY")}
+def _generic(get: Get) -> dict[str, Column]:
+    return {"place": F.lit("XX"), "system": F.lit("MANUAL_ENTRY")}
 
 
 PREPARE = {"osha": _osha, "esaw": _esaw, "cnesst": _cnesst, "generic": _generic}
@@ -118,10 +120,13 @@ def unify(prepared: DataFrame, as_of: date) -> DataFrame:
     """
     src = F.col("src")
     osha, esaw, cnesst, known = src == "osha", src == "esaw", src == "cnesst", src != "generic"
-    keyed = prepared.withColumn("__hazard", F.concat_ws(":", "src", "code"))
+    key = (F.when(osha, F.concat_ws("|", "record_id", "code", "nature", "part", "industry"))
+           .when(esaw, F.concat_ws("|", "code", "country", "industry", "period", F.col("incidents").cast("string")))
+           .otherwise(F.col("_source_record")))
+    keyed = prepared.withColumns({"__hazard": F.concat_ws(":", "src", "code"), "key": key})
     parent = lambda k: F.when((F.col("src") == "osha") & (F.length("code") > 2), F.concat(F.lit("osha:"), F.substring("code", 1, 2)))
     coded = lookups.lookup(keyed, HAZARDS, "__hazard", default=lookups.UNKNOWN_HAZARD, fallbacks=[parent], prefix="__")
-    coded = lookups.industry(coded, "industry", "__industry_")
+    coded = lookups.industry(coded, "industry", "__industry_").withColumn("__id", identity_hash(src, F.col("key")))
     fr = F.when(known, F.col("__label_fr")).otherwise("Autre")
     en = F.when(known, F.col("__label_en")).otherwise("Other")
     domain = F.col("__domain")
@@ -155,8 +160,8 @@ def unify(prepared: DataFrame, as_of: date) -> DataFrame:
     stamp = F.lit(as_of.isoformat())
     title = _text(F.when(known, F.col("__label_fr")).otherwise("Enregistrement non classé"),
                   F.when(known, F.col("__label_en")).otherwise("Unclassified Record"))
-    out = coded.select(
-        risk_id(src, F.col("key")).alias("risk_id"), risk_code(domain, F.col("place"), F.col("key")).alias("risk_code"),
+    return coded.select(
+        risk_id(F.col("__id")).alias("risk_id"), risk_code(domain, F.col("place"), F.col("key")).alias("risk_code"),
         F.struct(F.lit(1).alias("major"), F.lit(0).alias("minor"), F.lit(0).alias("patch")).alias("version"),
         F.when(known, "ACTIVE").otherwise("DRAFT").alias("status"), title.alias("title"),
         F.when(known, place).alias("jurisdiction"), hazard.alias("hazard_classification"), F.when(known, industry).alias("industry_classification"),
@@ -165,12 +170,11 @@ def unify(prepared: DataFrame, as_of: date) -> DataFrame:
                  F.when(known, "PENDING").otherwise("REVIEW_REQUIRED").alias("validation_status")).alias("data_provenance"),
         F.struct(stamp.alias("created_at"), F.lit(SCHEMA_VERSION).alias("schema_version"), tags.alias("tags")).alias("metadata"),
         "_source_record")
-    return out.to(struct(UNIFIED))
 
 
 def _transform(source: str, df: DataFrame, as_of: date) -> DataFrame:
     raw = F.to_json(F.struct(*df.columns))
-    values = PREPARE[source](from_columns(df), raw)
+    values = PREPARE[source](from_columns(df))
     prepared = df.select(F.lit(source).alias("src"), *[values.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in PREPARED.items()],
                          raw.alias("_source_record"))
     return unify(prepared, as_of)
@@ -221,7 +225,7 @@ def transform_mixed(records: DataFrame, as_of: date, record: str = "record") ->
     One pass: each prepared column is read from the fields of the row's own source.
     """
     rows = records.select(F.col(record).alias("r"), detect_record(F.col(record)).alias("src"), F.to_json(record).alias("_source_record"))
-    values = {source: prepare(from_map(F.col("r")), F.col("_source_record")) for source, prepare in PREPARE.items()}
+    values = {source: prepare(from_map(F.col("r"))) for source, prepare in PREPARE.items()}
 
     def chosen(column: str, kind: str) -> Column:
         out = F

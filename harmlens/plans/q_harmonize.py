@@ -144,8 +144,8 @@ def _(t):
 
 def mixed_records(t):
     """Rows of every source as string maps, plus conversation turns that fit none."""
-    as_map = lambda df: df.select(F.map_from_entries(F.filter(F.array(*[
-        F.struct(F.lit(c), F.col(c).cast("string")) for c in df.columns]), lambda e: e["col2"].isNotNull())).alias("record"))
+    as_map = lambda df: df.select(F.create_map(*[
+        part for c in df.columns for part in (F.lit(c), F.col(c).cast("string"))]).alias("record"))
     parts = [as_map(t.osha_records), as_map(esaw_input(t)), as_map(t.cnesst_lesions), as_map(t.base("conversations").select("conv_id", "role"))]
     out = parts[0]
     for part in parts[1:]:
@@ -200,7 +200,7 @@ def _(t):
 def _(t):
     key = F.concat_ws("|", "id", "event_type", "nature", "body_part", "naics_code")
     coded = lk.osha_event(t.osha_records, prefix="")
-    return counts_by(coded.select(har.risk_id(F.lit("osha"), key).alias("risk_id"),
+    return counts_by(coded.select(har.risk_id(har.identity_hash(F.lit("osha"), key)).alias("risk_id"),
                                   har.risk_code(F.col("domain"), F.lit("US"), key).alias("risk_code")), ["risk_id", "risk_code"])
 
 
