@@ -37,17 +37,6 @@ def volume_level(n: Column, steps=VOLUME_STEPS) -> Column:
     return band(n, list(steps), LOWEST_LEVEL)
 
 
-def distinct_per(df: DataFrame, key: str, value: str, flags: Sequence[str] = ()) -> DataFrame:
-    """Rows and distinct non-null values per key, in two group-by steps.
-
-    Counting (key, value) first keeps a hot key spread over its values.
-    """
-    pairs = counts_by(df, [key, value], flags)
-    return pairs.groupBy(key).agg(
-        F.sum("n").alias("n"), *[F.sum(f).alias(f) for f in flags], F.count(value).alias("n_values")
-    )
-
-
 def stacked_counts(df: DataFrame, columns: Sequence[str], keep_null: bool = False) -> DataFrame:
     """Rows per (sector, column, value) for several columns in one pass."""
     tall = df.unpivot(["secteur_scian"], list(columns), "colonne", "valeur")

@@ -88,7 +88,7 @@ def rate_by_jurisdiction(years: DataFrame, workforce: DataFrame) -> DataFrame:
     """Cases, rate per 1000 workers and change over the series, per jurisdiction."""
     ends = first_last(years, ["jurisdiction"], "year", "n")
     sums = years.groupBy(F.col("jurisdiction").alias("__j")).agg(F.sum("n").alias("cases"))
-    side = F.broadcast(workforce.select(F.col("jurisdiction").alias("__w"), "workers"))
+    side = workforce.select(F.col("jurisdiction").alias("__w"), "workers")
     joined = ends.join(sums, F.col("jurisdiction") == F.col("__j")).join(side, F.col("jurisdiction") == F.col("__w"), "left")
     change = (F.col("valeur_fin") - F.col("valeur_debut")) / F.col("valeur_debut") * 100
     return joined.select("jurisdiction", "cases", ratio("cases", "workers", 1000, 2).alias("rate_per_1000"), F.round(change, 1).alias("trend_pct"))

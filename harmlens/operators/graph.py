@@ -59,7 +59,7 @@ def containment_index(items: DataFrame, item: str, texts: Sequence[str]) -> Data
 
 def containment_join(left: DataFrame, key: str, index: DataFrame) -> DataFrame:
     """Left rows with each item whose text contains the key."""
-    return left.join(F.broadcast(index), F.col(key) == F.col("part")).drop("part")
+    return left.join(index, F.col(key) == F.col("part")).drop("part")
 
 
 # -- risk graph (G01-G09) --------------------------------------------------------------
@@ -148,10 +148,10 @@ def link_standards(wanted: DataFrame, norms: DataFrame) -> DataFrame:
 def auto_link(risk_domain: DataFrame, norm_domain: DataFrame, linked: DataFrame) -> DataFrame:
     """Risk-norm pairs sharing a domain that are not linked yet.
 
-    The norms are a short list, so they are broadcast and a domain holding most
-    risks does not gather anywhere.
+    A short norm list is broadcast by the optimizer's own size check; a longer one
+    is shuffled, and AQE splits a domain that holds most risks.
     """
-    pairs = risk_domain.join(F.broadcast(norm_domain), "domain").select("risk_id", "norm").distinct()
+    pairs = risk_domain.join(norm_domain, "domain").select("risk_id", "norm").distinct()
     return pairs.join(linked.select("risk_id", "norm"), ["risk_id", "norm"], "left_anti").withColumn("auto_linked", F.lit(True))
 
 
@@ -166,7 +166,7 @@ def standards_for_risks(links: DataFrame, norms: DataFrame, applies: DataFrame)
     by_norm = applies.groupBy(F.col("norm").alias("__norm")).agg(F.array_sort(F.collect_set("jurisdiction")).alias("juridictions"))
     listed = norms.join(by_norm, F.col("code") == F.col("__norm"), "left").select(
         "code", "titre", "obligatoire", F.coalesce("juridictions", F.array().cast("array<string>")).alias("juridictions"))
-    return links.join(F.broadcast(listed), F.col("norm") == F.col("code")).select("risk_id", "code", "titre", "obligatoire", "juridictions")
+    return links.join(listed, F.col("norm") == F.col("code")).select("risk_id", "code", "titre", "obligatoire", "juridictions")
 
 
 def shortest_paths(edges: DataFrame, sources: DataFrame, targets: DataFrame, max_hops: int = 5) -> DataFrame:
@@ -204,8 +204,8 @@ def recommended_norms(exposure: DataFrame, norm_domain: DataFrame, applies: Data
     pairs = wanted.select("sector", "jurisdiction", F.explode(accepted).alias("juridiction"))
     danger = dims.frame(wanted.sparkSession, dims.RISK_DOMAIN).select(F.col("code").alias("domain"), F.col("nom_fr").alias("domaine_nom"), "niveau_danger")
     places = applies.select("norm", F.col("jurisdiction").alias("juridiction"))
-    rows = pairs.join(exposure, "sector").join(F.broadcast(norm_domain), "domain").join(F.broadcast(places), ["norm", "juridiction"]).join(
-        F.broadcast(norms.select(F.col("code").alias("norm"), "titre", "obligatoire")), "norm").join(F.broadcast(danger), "domain")
+    rows = pairs.join(exposure, "sector").join(norm_domain, "domain").join(places, ["norm", "juridiction"]).join(
+        norms.select(F.col("code").alias("norm"), "titre", "obligatoire"), "norm").join(F.broadcast(danger), "domain")
     return rows.select("sector", "jurisdiction", F.col("norm").alias("norme_code"), F.col("titre").alias("norme_titre"), "obligatoire",
                        F.col("domain").alias("domaine_code"), "domaine_nom", "juridiction", "niveau_danger").distinct().orderBy(
         F.col("obligatoire").desc(), F.col("niveau_danger").desc(), "norme_code").drop("niveau_danger")
@@ -329,7 +329,7 @@ def incident_graph(incidents: DataFrame, agents: DataFrame, source: str) -> tupl
         F.min("n.name").alias("name")).withColumn("source", F.lit(source))
 
     watching = containment_index(agents, "id", ["sector_coverage"]).groupBy("part").agg(F.collect_set("item").alias("agents"))
-    rows = incidents.join(F.broadcast(watching), F.col("scian_code") == F.col("part"), "left")
+    rows = incidents.join(watching, F.col("scian_code") == F.col("part"), "left")
     edge = lambda rel, label, dst: F.struct(
         F.lit("Incident").alias("src_label"), F.col("incident_uri").alias("src"), F.lit(rel).alias("rel"), F.lit(label).alias("dst_label"),
         F.col(dst).cast("string").alias("dst"))
@@ -357,5 +357,5 @@ def assign_agents(incidents: DataFrame, agents: DataFrame, watched: DataFrame, s
     waiting = incidents.filter(F.col("scian_code") == sector).join(
         watched.select(F.col("dst").alias("incident_uri")).distinct(), "incident_uri", "left_anti")
     fit = agents.filter(F.col("sector_coverage").contains(sector) | (F.col("type") == "generalist")).agg(
-        F.array_sort(F.collect_set("id")).alias("ids")).scalar()  # a few agent ids
+        F.array_sort(F.collect_set("id")).alias("ids")).scalar()  # the roster of one sector, a short list
     return _edge(waiting.select("incident_uri", F.explode(fit).alias("agent")), "Agent", F.col("agent"), "MONITORS", "Incident", F.col("incident_uri"))

@@ -110,7 +110,7 @@ def _(t):
     return adv.remedy_plan(adv.remedies(sectors(t))).withColumn("solutions", F.array_join("solutions", "|"))
 
 
-@query("o04_rank_solutions", "SELECT sector, risk_type, id, solution, efficacite, cout, roi, rank FROM remedy_rows", **PARTS)
+@query("o04_rank_solutions", "SELECT sector, risk_type, id, solution, efficacite, cout, roi, CAST(rank AS INT) AS rank FROM remedy_rows", **PARTS)
 def _(t):
     return adv.remedies(sectors(t)).drop("risk_ord", "ord")
 

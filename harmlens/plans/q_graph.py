@@ -69,7 +69,7 @@ def _(t):
 
 
 @query("g02_risk_nodes", """
-SELECT risk_id AS id, CASE WHEN risk_id < '8' THEN 'old' ELSE risk_code END AS code, title_en AS titre_en, 0 AS total_incidents, CASE WHEN risk_id < '8' THEN 'ARCHIVED' ELSE 'ACTIVE' END AS statut
+SELECT risk_id AS id, CASE WHEN risk_id < '8' THEN 'old' ELSE risk_code END AS code, title_en AS titre_en, CAST(0 AS BIGINT) AS total_incidents, CASE WHEN risk_id < '8' THEN 'ARCHIVED' ELSE 'ACTIVE' END AS statut
 FROM risks""", **PARTS)
 def _(t):
     rows = osha_risks(t)

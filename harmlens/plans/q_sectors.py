@@ -39,7 +39,7 @@ STACKED = """SELECT secteur_scian, colonne, valeur, COUNT(*) AS n FROM (
   SELECT secteur_scian, 'nature_lesion' AS colonne, nature_lesion AS valeur FROM lesions
   UNION ALL SELECT secteur_scian, 'siege_lesion', siege_lesion FROM lesions
   UNION ALL SELECT secteur_scian, 'agent_causal_lesion', agent_causal_lesion FROM lesions) WHERE valeur IS NOT NULL GROUP BY 1, 2, 3"""
-TOPS = f"""SELECT secteur_scian, colonne, rank, valeur, n AS total, {percent('n', 'tot')} AS pct FROM (SELECT *,
+TOPS = f"""SELECT secteur_scian, colonne, CAST(rank AS INT) AS rank, valeur, n AS total, {percent('n', 'tot')} AS pct FROM (SELECT *,
   ROW_NUMBER() OVER (PARTITION BY secteur_scian, colonne ORDER BY n DESC, valeur) AS rank,
   SUM(n) OVER (PARTITION BY secteur_scian, colonne) AS tot FROM stacked) WHERE rank <= 5"""
 RECS = """SELECT p.secteur_scian, concat_ws(' | ',
@@ -372,7 +372,7 @@ def _(t):
 
 @query("f25_intelligence_report", """
 SELECT o.secteur_scian, ROUND(LEAST(100, GREATEST(0, score - 4)), 1) AS risk_score, ROUND(prob * 100, 1) AS probability_30_days,
-  (SELECT COUNT(*) FROM alerts a WHERE a.secteur_scian = o.secteur_scian AND type <> 'BENCHMARK_EXCEEDED') AS nb_alerts, 3 AS nb_scenarios,
+  (SELECT COUNT(*) FROM alerts a WHERE a.secteur_scian = o.secteur_scian AND type <> 'BENCHMARK_EXCEEDED') AS nb_alerts, CAST(3 AS BIGINT) AS nb_scenarios,
   CAST(ROUND(e * (12500 * (1 - t - p) + 15000 * t + 28000 * p) + e * 45 * 350, 0) AS BIGINT) AS estimated_annual_cost
 FROM (SELECT *, CAST(n AS DOUBLE) / 7 / 100000 * 1000 / 1000 * 100 AS e, CAST(tms AS DOUBLE) / n AS t, CAST(psy AS DOUBLE) / n AS p FROM outlook_rows) o""",
        outlook_rows=OUTLOOK.replace("* 5 + 4))", "* 5 + 4)) + 0"), alerts=ALERTS, **BASE)

@@ -355,7 +355,7 @@ def _run_log(t):
 
 
 @query("a40_run_report", """
-SELECT 4 AS total_sources, 2 AS successful, 1 AS failed, (SELECT COUNT(*) FROM osha_raw) + (SELECT COUNT(*) FROM esaw) AS total_rows_ingested""")
+SELECT CAST(4 AS BIGINT) AS total_sources, CAST(2 AS BIGINT) AS successful, CAST(1 AS BIGINT) AS failed, (SELECT COUNT(*) FROM osha_raw) + (SELECT COUNT(*) FROM esaw) AS total_rows_ingested""")
 def _(t):
     return agg.run_report(_run_log(t))
 

@@ -55,7 +55,7 @@ def _(t):
 
 
 @query("w06_top_n_by", """
-SELECT secteur_scian, nature_lesion, n, rank FROM (SELECT secteur_scian, nature_lesion, COUNT(*) AS n,
+SELECT secteur_scian, nature_lesion, n, CAST(rank AS INT) AS rank FROM (SELECT secteur_scian, nature_lesion, COUNT(*) AS n,
   ROW_NUMBER() OVER (PARTITION BY secteur_scian ORDER BY COUNT(*) DESC, nature_lesion NULLS FIRST) AS rank
   FROM lesions GROUP BY 1, 2) WHERE rank <= 5""")
 def _(t):
@@ -63,7 +63,7 @@ def _(t):
 
 
 @query("w07_last_turns", """
-SELECT conv_id, turn, role, text, recency FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS recency
+SELECT conv_id, turn, role, text, CAST(recency AS INT) AS recency FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS recency
   FROM conversations) WHERE recency <= 5""")
 def _(t):
     return win.last_turns(t.base("conversations"), 5)
@@ -100,7 +100,7 @@ def _(t):
 
 
 @query("o06_concat_by_name", """
-SELECT jurisdiction, SUM(with_state) AS with_state, SUM(with_country) AS with_country, COUNT(*) AS n FROM (
+SELECT jurisdiction, CAST(SUM(with_state) AS BIGINT) AS with_state, CAST(SUM(with_country) AS BIGINT) AS with_country, COUNT(*) AS n FROM (
   SELECT 'USA' AS jurisdiction, CASE WHEN state IS NULL THEN 0 ELSE 1 END AS with_state, 0 AS with_country FROM osha_raw
   UNION ALL SELECT 'EU27', 0, CASE WHEN country_code IS NULL THEN 0 ELSE 1 END FROM esaw) GROUP BY 1""")
 def _(t):
