@@ -6,6 +6,7 @@ from harmlens.operators import advisors as adv
 from harmlens.operators import features as feat
 from harmlens.operators import harmonize as har
 from harmlens.operators import text_rules as txt
+from harmlens.schemas import UNIFIED, struct
 
 # Source, year, sector, cases, days, deaths -> days per case, fatality, severity, category.
 FEATURE_ROWS = [
@@ -118,3 +119,16 @@ def test_inspection_source(spark):
     assert out["2"].data_provenance.source_system == "OSHA_SEVERE_INJURY"
     assert out["2"].hazard_classification.unified.domain_code == "CHUTE"  # the two-digit parent
     assert har.detect_frame(rows) == "osha"
+
+
+def test_every_source_gives_the_same_schema(spark):
+    def shape(dtype):
+        """Names and types without nullability."""
+        return dtype.simpleString()
+
+    one = spark.createDataFrame([("1",)], "id string")
+    expected = shape(struct(UNIFIED))
+    for transform in har.TRANSFORMS.values():
+        assert shape(transform(one, date(2024, 1, 1)).schema) == expected
+    mixed = spark.createDataFrame([({"id": "1"},)], "record map<string, string>")
+    assert shape(har.transform_mixed(mixed, date(2024, 1, 1)).schema) == expected
