@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 from harmlens.llm import (
     compression_quality,
     near_duplicates,
+    packing,
+    pieces,
     secret_ledger,
+    shards,
     target_ratio,
     toxicity_spans,
+    vector_duplicates,
 )
 from harmlens.llm.labels import is_fold
 
@@ -73,6 +77,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op5_extendible_shards")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.sharded(texts(spark, sf_dir))
+
+
 @register("op6_compression_quality")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = texts(spark, sf_dir)
@@ -80,6 +89,25 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decision(compression_quality.scored(docs, model).drop("text"), compression_quality.SCORE, compression_quality.FOLDS, compression_quality.HELD_OUT)
 
 
+@register("op7_sentence_pieces")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.encoded(texts(spark, sf_dir)).drop("text")
+    return found.select(
+        "doc_id", F.size("__ids").cast("bigint").alias("n_ids"), F.col("__ids").alias("ids"),
+        F.col("__parity").alias("parity"), F.col("__round_trip").alias("round_trip"),
+    )
+
+
 @register("op8_near_duplicates")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.grouped(texts(spark, sf_dir), near_duplicates.Settings(words=4))
+
+
+@register("op9_sequence_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(texts(spark, sf_dir))
+
+
+@register("op10_vector_duplicates")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_duplicates.grouped(table(spark, sf_dir, "embeddings"))
