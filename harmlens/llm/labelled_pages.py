@@ -20,12 +20,14 @@ NOTICE = "notice cookie cookie-banner consent gdpr alert popup modal overlay mes
 FORM = "newsletter subscribe signup search login search-form contact-form subscription register feedback".split()
 SOCIAL = "share social social-share sharing share-buttons follow".split()
 COMMENTS = "comments comment comment-list reader-comments discussion replies responses disqus respond comment-body reply reviews".split()
+INNER = "lead intro summary byline author dateline caption paragraph block wrapper row text-block quote highlight chapter columns inner".split()
 PAGER = "pagination pager page-numbers prev-next post-navigation".split()
 
 
 class Writer:
     def __init__(self, seed: int):
         self.r = random.Random(seed)
+        self.junk = 0  # main text may be noise too: it still is the page's main text
 
     def word(self) -> str:
         return "".join(self.r.choice(SYLLABLES) for _ in range(self.r.randint(1, 4)))
@@ -53,7 +55,7 @@ class Writer:
             return "<ul>" + "".join(f"<li>{one()}</li>" for _ in range(n)) + "</ul>"
         return self.r.choice([" | ", " &middot; ", " "]).join(one() for _ in range(n))
 
-    def box(self, label: int, inner: str, names: list[str], tags: list[str], plain: float = 0.15) -> str:
+    def box(self, label: int, inner: str, names: list[str], tags: list[str], plain: float = 0.05) -> str:
         tag = self.r.choice(tags)
         name = "" if self.r.random() < plain else self.named(names)
         return f'<{tag}{name} data-y="{label}">{inner}</{tag}>'
@@ -64,10 +66,14 @@ class Writer:
             text = text.replace(" ", f' <a href="/{self.word()}">{self.words(1, 3)}</a> ', 1)
         if self.r.random() < 0.1:
             text = f"<b>{text}<br>"
-        if self.r.random() < 0.1:
-            text = " ".join(w + self.r.choice(["%%%", "***", "&amp;&amp;", "###", " |"]) for w in text.split(" "))
-        if self.r.random() < 0.1:
+        if self.junk == 1:
+            text = " ".join(w + self.r.choice(["%%%", "***", "&amp;&amp;", "###"]) for w in text.split(" "))
+        elif self.junk == 2:
             text = " ".join([self.word()] * self.r.randint(5, 60))
+        elif self.junk == 3:
+            text = " | ".join(text.split(" "))
+        elif self.junk == 4:
+            text = text.upper().replace(" ", "!! ")
         return self.r.choice([f"<p>{text}</p>"] * 6 + [f"<p>{text}", f"<div>{text}</div>"])
 
     def article(self) -> str:
@@ -76,7 +82,7 @@ class Writer:
             parts.append(self.paragraph())
             luck = self.r.random()
             if luck < 0.08:
-                parts.append(f"<h{self.r.randint(2, 4)}>{self.words(1, 7)}</h{2}>".replace("</h2>", "</h2>"))
+                parts.append(f"<h2>{self.words(1, 7)}</h2>")
             elif luck < 0.14:
                 parts.append("<ul>" + "".join(f"<li>{self.sentence()}</li>" for _ in range(self.r.randint(2, 6))) + "</ul>")
             elif luck < 0.18:
@@ -85,11 +91,13 @@ class Writer:
                 parts.append(f"<pre>{self.words(3, 12)}</pre>")
             elif luck < 0.24:
                 parts.append("<table>" + "".join(f"<tr><td>{self.words(1, 3)}</td><td>{self.words(1, 5)}</td></tr>" for _ in range(3)) + "</table>")
-            elif luck < 0.30:
+            elif luck < 0.38:
+                parts.append(f'<{(t := self.r.choice(["div", "section", "p", "figure"]))}{self.named([*INNER, self.word()])}>{self.r.choice([self.words(2, 6), self.paragraph()])}</{t}>')
+            elif luck < 0.44:
                 parts.append(self.advert())
-            elif luck < 0.33:
+            elif luck < 0.47:
                 parts.append(self.box(0, self.links(2, 5), SIDE, ["div", "aside"], 0))
-            elif luck < 0.36:
+            elif luck < 0.50:
                 parts.append(self.box(0, self.links(2, 5, False), SOCIAL, ["div", "p"], 0))
         return "".join(parts)
 
@@ -104,10 +112,18 @@ class Writer:
         return self.box(0, self.r.choice([f"<p>{self.prose(1, 3)}</p><button>{self.word()}</button>", self.prose(1, 2)]), NOTICE, ["div", "section", "aside", "dialog"], 0)
 
     def form(self) -> str:
-        return self.box(0, f'<form action="/x"><label>{self.words(1, 4)}</label><input name="q"><p>{self.prose(1, 2)}</p><button>{self.word()}</button></form>', FORM, ["div", "section"], 0.5)
+        return self.box(0, f'<form action="/x"><label>{self.words(1, 4)}</label><input name="q"><p>{self.prose(1, 2)}</p><button>{self.word()}</button></form>', FORM, ["div", "section"], 0.3)
+
+    def bare(self) -> str:
+        """A page without any frame."""
+        inner = self.r.choice([self.prose(1, 8), self.article(), "".join(self.paragraph() for _ in range(self.r.randint(1, 6)))])
+        inner = f'<div data-y="1">{inner}</div>'
+        return self.r.choice([inner, f"<html><body>{inner}</body></html>", f"<body><h1 data-y=\"1\">{self.words(1, 6)}</h1>{inner}"])
 
     def page(self) -> str:
-        body = []
+        if self.r.random() < 0.06:
+            return self.bare()
+        body, open_body = [], 0
         maybe = lambda chance, part: body.append(part()) if self.r.random() < chance else None
         maybe(0.2, self.notice)
         maybe(0.4, lambda: self.box(0, self.r.choice([f"<h1>{self.words(1, 4)}</h1>", f'<a href="/">{self.words(1, 3)}</a>', self.words(1, 4)]) + (f"<p>{self.sentence()}</p>" if self.r.random() < 0.4 else ""), HEADER, ["header", "div", "div"]))
@@ -118,15 +134,19 @@ class Writer:
         side = lambda: self.box(0, f"<h3>{self.words(1, 3)}</h3>" + self.r.choice([self.links(3, 8), f"<p>{self.prose(1, 3)}</p>", self.links(2, 6) + f"<p>{self.prose(1, 2)}</p>"]), SIDE, ["aside", "div", "section"], 0.1)
         if early_side:
             maybe(0.6, side)
+        self.junk = self.r.choice([0, 0, 0, 0, 0, 0, 1, 2, 3, 4])
         article = self.article()
+        self.junk = 0
         style = self.r.random()
         inside = self.comments() if self.r.random() < 0.12 else ""
         if style < 0.45:
             main = f'<article{self.named(CONTENT) if self.r.random() < 0.4 else ""} data-y="1">{article}{inside}</article>'
         elif style < 0.8:
             main = self.box(1, article + inside, CONTENT, ["div", "div", "section", "main"], 0)
-        elif style < 0.9:
+        elif style < 0.86:
             main = f'<div data-y="1">{article}{inside}</div>'
+        elif style < 0.92:  # no element of its own: all other parts carry their own labels
+            main, open_body = article, 1
         else:
             main = f'<table><tr><td data-y="0">{self.links(3, 6)}</td><td data-y="1">{article}</td></tr></table>'
         body.append(f"<main>{main}</main>" if self.r.random() < 0.25 else main)
@@ -139,7 +159,7 @@ class Writer:
         maybe(0.15, self.advert)
         maybe(0.9, lambda: self.box(0, self.r.choice(["&copy; ", "", "Copyright "]) + self.r.choice([self.prose(1, 2), self.words(2, 8) + " &middot; " + self.links(2, 4, False), f"<p>{self.prose(1, 2)}</p>" + self.links(2, 6)]), FOOTER, ["footer", "footer", "div"], 0.1))
         maybe(0.08, self.notice)
-        return f'<!DOCTYPE html><html><head><title>{self.words(2, 8)}</title><style>p{{margin:0}}</style></head><body data-y="0">{"".join(body)}</body></html>'
+        return f'<!DOCTYPE html><html><head><title>{self.words(2, 8)}</title><style>p{{margin:0}}</style></head><body data-y="{open_body}">{"".join(body)}</body></html>'
 
 
 def pages(count: int, seed: int = 5) -> list[str]:

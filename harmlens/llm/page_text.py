@@ -19,7 +19,7 @@ from harmlens.llm.batches import attach
 from harmlens.llm.page_tree import parse
 
 TEXT = "__main_text"
-TRAINING_PAGES = 500
+TRAINING_PAGES = 800
 CONTENT = 0.5
 TOGETHER = 64  # pages whose messages are computed together
 

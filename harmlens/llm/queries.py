@@ -11,6 +11,7 @@ from harmlens.llm import (
     compression_quality,
     near_duplicates,
     packing,
+    page_text,
     pieces,
     secret_ledger,
     shards,
@@ -49,6 +50,13 @@ def _decision(scored: DataFrame, score: str, folds: int, held: int, *more) -> Da
     )
 
 
+@register("op1_page_text")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = page_text.extracted(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
+    text = F.col(page_text.TEXT)
+    return found.select("page_id", "url", text.alias("text"), F.char_length(text).cast("bigint").alias("n_chars"))
+
+
 @register("op2_toxicity_spans")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = texts(spark, sf_dir)

@@ -16,19 +16,25 @@ from harmlens.llm.page_tree import Page
 
 KINDS = ("#text", "p", "h", "list", "table", "div", "section", "other")
 GROUP = {"#text": 0, "p": 1, "blockquote": 1, "pre": 1, "ul": 3, "ol": 3, "li": 3, "dl": 3, "dt": 3, "dd": 3, "table": 4, "tr": 4, "td": 4, "th": 4, "tbody": 4, "thead": 4, "tfoot": 4, "caption": 4, "div": 5, "section": 6, "article": 6, "main": 6} | {f"h{k}": 2 for k in range(1, 7)}
+FRAMES = frozenset("article main nav header footer aside form section menu dialog address".split())
 BUCKETS = 1 << 14
 
 
 @dataclass(frozen=True)
 class Model:
     weights: np.ndarray
-    pairs: np.ndarray  # kind, parent's state, child's state
+    pairs: np.ndarray  # kind of pair, parent's state, child's state
 
 
 def kind_of(tag: str) -> int:
     return GROUP.get(tag, 7)
 
 
+def pair_kind(tag: str, names: tuple[str, ...]) -> int:
+    """A named part of a page breaks away from its parent more often than an unnamed one."""
+    return kind_of(tag) + len(KINDS) * bool(names)
+
+
 def _level(x: float, steps: tuple[float, ...]) -> int:
     return sum(x >= s for s in steps)
 
@@ -44,21 +50,25 @@ def features(page: Page) -> list[list[str]]:
         chars[node.parent] += chars[i]
         linked[node.parent] += linked[i]
     total = max(1, chars[0])
-    before = 0
     out = []
+    around: list[tuple[str, ...]] = []  # features of the elements that a node stands in, its own included
     for i, node in enumerate(nodes):
+        above = around[node.parent] if i else ()
+        if node.tag != "#text" and (node.names or node.tag in FRAMES):
+            above = tuple(dict.fromkeys((*above, *(f"un:{name}" for name in node.names), f"u:{node.tag}")))[-24:]
+        around.append(above)
         density = _level(linked[i] / max(1, chars[i]), (0.01, 0.2, 0.5, 0.9))
         size = _level(chars[i], (1, 15, 40, 100, 300, 1000))
         f = ["bias", f"t:{node.tag}", f"s:{kind_of(node.tag)}:{size}", f"d:{kind_of(node.tag)}:{density}", f"ds:{density}:{size}"]
         f += [f"n:{name}" for name in node.names]
         if node.tag == "#text":
             text = node.text
-            stops = sum(text.count(c) for c in ".,;:!?")
-            f += [f"stop:{_level(stops / max(1, len(text)), (0.001, 0.01, 0.03))}:{size}", f"at:{_level(before / total, (0.02, 0.1, 0.9, 0.98))}"]
-            f += [f"up:{nodes[node.parent].tag}"]
+            if size < 5:  # punctuation tells prose from labels only where there is little text
+                stops = sum(text.count(c) for c in ".,;:!?")
+                f.append(f"stop:{_level(stops / max(1, len(text)), (0.001, 0.01, 0.03))}:{size}")
+            f += [f"up:{nodes[node.parent].tag}", *above]
             if text[0] in "©|»«›‹•·":
                 f.append("mark")
-            before += len(text)
         elif node.tag != "#page":
             f.append(f"share:{_level(chars[i] / total, (0.02, 0.1, 0.3, 0.6, 0.95))}")
         out.append(f)
@@ -95,7 +105,7 @@ class Forest:
             base = begin[-1]
             for node, f in zip(page.nodes, features(page)):
                 parent.append(node.parent + base if node.parent >= 0 else -1)
-                kind.append(kind_of(node.tag))
+                kind.append(pair_kind(node.tag, node.names))
                 depth.append(node.depth)
                 flat.extend(map(_bucket, f))
                 counts.append(len(f))
@@ -149,24 +159,24 @@ def labels_of(page: Page) -> np.ndarray:
     return ((good > 0.5 * total) & (total > 0)).astype(int)
 
 
-def fit(pages: list[Page], steps: int = 150, ridge: float = 2e-4) -> Model:
+def fit(pages: list[Page], steps: int = 250, ridge: float = 1e-5) -> Model:
     """Maximise the likelihood of labelled pages with full gradients."""
     forest = Forest.of(pages)
     y = np.concatenate([labels_of(page) for page in pages])
     child = forest.parent >= 0
-    observed = np.zeros((len(KINDS), 2, 2))
+    observed = np.zeros((2 * len(KINDS), 2, 2))
     np.add.at(observed, (forest.kind[child], y[forest.parent[child]], y[child]), 1.0)
-    model = Model(np.zeros(BUCKETS), np.zeros((len(KINDS), 2, 2)))
+    model = Model(np.zeros(BUCKETS), np.zeros((2 * len(KINDS), 2, 2)))
     size, pair_size = np.zeros(BUCKETS), np.zeros_like(model.pairs)
     n = len(y)
     for _ in range(steps):
         p, pair = marginals(forest, model)
         g = np.bincount(forest.flat, (y - p)[forest.owner], minlength=BUCKETS) / n - ridge * model.weights
         size += g * g
-        model.weights[:] += 0.3 * g / (np.sqrt(size) + 1e-9) * (np.abs(g) > 1e-12)
+        model.weights[:] += 0.5 * g / (np.sqrt(size) + 1e-9) * (np.abs(g) > 1e-12)
         expected = np.zeros_like(observed)
         np.add.at(expected, forest.kind[child], pair[child])
         g = (observed - expected) / n - ridge * model.pairs
         pair_size += g * g
-        model.pairs[:] += 0.1 * g / (np.sqrt(pair_size) + 1e-9)
+        model.pairs[:] += 0.5 * g / (np.sqrt(pair_size) + 1e-9)
     return model
