@@ -15,6 +15,7 @@ from harmlens.llm import (
     pieces,
     secret_ledger,
     shards,
+    sql,
     target_ratio,
     toxicity_spans,
     vector_duplicates,
@@ -25,11 +26,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def register(name: str, sql: str | None = None):
+def register(name: str, twin: str | None = None):
     def add(fn):
         QUERIES[name] = fn
-        if sql:
-            SQL[name] = sql
+        if twin:
+            SQL[name] = twin
         return fn
 
     return add
@@ -73,7 +74,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *(F.col(f.name).alias(f.name.strip("_")) for f in target_ratio.FIELDS))
 
 
-@register("op4_secret_ledger")
+@register("op4_secret_ledger", sql.secrets())
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = texts(spark, sf_dir)
     found = secret_ledger.findings(secret_ledger.ledger_rows(secret_ledger.scan(docs)))
@@ -85,7 +86,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("op5_extendible_shards")
+@register("op5_extendible_shards", sql.extendible_shards())
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.sharded(texts(spark, sf_dir))
 
@@ -106,7 +107,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("op8_near_duplicates")
+@register("op8_near_duplicates", sql.near_documents())
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.grouped(texts(spark, sf_dir), near_duplicates.Settings(words=4))
 
@@ -116,6 +117,6 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(texts(spark, sf_dir))
 
 
-@register("op10_vector_duplicates")
+@register("op10_vector_duplicates", sql.near_vectors())
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_duplicates.grouped(table(spark, sf_dir, "embeddings"))
