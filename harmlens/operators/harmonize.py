@@ -55,7 +55,7 @@ Get = Callable[..., Column]
 PREPARED = {
     "place": "string", "code": "string", "nature": "string", "part": "string", "site": "string", "agent": "string",
     "industry": "string", "text": "string", "sector_text": "string", "record_id": "string", "system": "string", "country": "string",
-    "period": "string", "incidents": "bigint", "days": "bigint",
+    "period": "string", "incidents": "bigint", "days": "bigint", "failure": "string",
 }
 HAZARDS = dims.Dimension(dims.OSHA_EVENT.columns, tuple(
     (f"{source}:{row[0]}", *row[1:]) for source, dim in (("osha", dims.OSHA_EVENT), ("esaw", dims.ESAW_DEVIATION), ("cnesst", dims.CNESST_GENRE))
@@ -77,6 +77,17 @@ def from_map(record: Column) -> Get:
     return get
 
 
+def _counts(get: Get, **names: Sequence[str]) -> dict[str, Column]:
+    """Whole counts by column; an absent one is 0, and one that can't be read is the record's failure."""
+    out, reasons = {}, []
+    for column, spellings in names.items():
+        raw = get(*spellings, default=None)
+        value = raw.try_cast("double").try_cast("bigint")  # NaN, infinities and what is too large give null as well
+        out[column] = F.coalesce(value, F.when(raw.isNull(), F.lit(0)).cast("bigint"))
+        reasons.append(F.when(raw.isNotNull() & value.isNull(), F.concat(F.lit(f"{column} unreadable: "), raw)))
+    return {**out, "failure": F.nullif(F.concat_ws("; ", *reasons), F.lit(""))}
+
+
 def _osha(get: Get) -> dict[str, Column]:
     code, nature, part = get("event_type", "EventType"), get("nature", "Nature"), get("body_part", "PartOfBody")
     industry, record_id = get("naics_code", "NAICS"), get("id", "ActivityNr")
@@ -89,16 +100,15 @@ def _osha(get: Get) -> dict[str, Column]:
 def _esaw(get: Get) -> dict[str, Column]:
     code, industry, period = get("deviation", "DEVIATION"), get("nace_r2", "NACE_R2"), get("TIME_PERIOD", "year", default="2023")
     country = F.upper(F.substring(get("geo", "GEO", default="EU"), 1, 2))
-    incidents = F.coalesce(get("OBS_VALUE", "value", default=None).try_cast("double").cast("bigint"), F.lit(0).cast("bigint"))
-    return {"place": country, "code": code, "industry": industry, "country": country, "period": period, "incidents": incidents, "system": F.lit("EUROSTAT_ESAW")}
+    return {"place": country, "code": code, "industry": industry, "country": country, "period": period, "system": F.lit("EUROSTAT_ESAW"),
+            **_counts(get, incidents=("OBS_VALUE", "value"))}
 
 
 def _cnesst(get: Get) -> dict[str, Column]:
-    count = lambda *names: F.coalesce(get(*names, default=None).try_cast("bigint"), F.lit(0).cast("bigint"))
     return {"place": F.lit("QC"), "code": get("genre_accident", "GenreAccident"), "text": get("genre_description"),
             "nature": get("nature_lesion"), "site": get("siege_lesion"), "agent": get("agent_causal"), "industry": get("scian", "SCIAN"),
-            "sector_text": get("secteur"), "incidents": count("nombre_lesions", "nb_lesions"), "days": count("jours_perdus"),
-            "country": F.lit("CA"), "system": F.lit("CNESST")}
+            "sector_text": get("secteur"), "record_id": get("id", default=None), "country": F.lit("CA"), "system": F.lit("CNESST"),
+            **_counts(get, incidents=("nombre_lesions", "nb_lesions"), days=("jours_perdus",))}
 
 
 def _generic(get: Get) -> dict[str, Column]:
@@ -120,9 +130,10 @@ def unify(prepared: DataFrame, as_of: date) -> DataFrame:
     """
     src = F.col("src")
     osha, esaw, cnesst, known = src == "osha", src == "esaw", src == "cnesst", src != "generic"
-    key = (F.when(osha, F.concat_ws("|", "record_id", "code", "nature", "part", "industry"))
-           .when(esaw, F.concat_ws("|", "code", "country", "industry", "period", F.col("incidents").cast("string")))
-           .otherwise(F.col("_source_record")))
+    # a source's own id first, with the codes it is reported under; otherwise every field, by name
+    key = (F.when(osha & (F.col("record_id") != ""), F.concat_ws("|", "record_id", "code", "nature", "part", "industry"))
+           .when(cnesst & (F.col("record_id") != ""), F.concat_ws("|", "record_id", "code", "nature", "industry"))
+           .otherwise(F.col("_fields")))
     keyed = prepared.withColumns({"__hazard": F.concat_ws(":", "src", "code"), "key": key})
     parent = lambda k: F.when((F.col("src") == "osha") & (F.length("code") > 2), F.concat(F.lit("osha:"), F.substring("code", 1, 2)))
     coded = lookups.lookup(keyed, HAZARDS, "__hazard", default=lookups.UNKNOWN_HAZARD, fallbacks=[parent], prefix="__")
@@ -169,17 +180,32 @@ def unify(prepared: DataFrame, as_of: date) -> DataFrame:
         F.struct(F.col("system").alias("source_system"), F.col("record_id").alias("source_record_id"), stamp.alias("extraction_date"),
                  F.when(known, "PENDING").otherwise("REVIEW_REQUIRED").alias("validation_status")).alias("data_provenance"),
         F.struct(stamp.alias("created_at"), F.lit(SCHEMA_VERSION).alias("schema_version"), tags.alias("tags")).alias("metadata"),
-        "_source_record")
+        "_source_record", "failure")
 
 
-def _transform(source: str, df: DataFrame, as_of: date) -> DataFrame:
-    raw = F.to_json(F.struct(*df.columns))
+def attempt(source: str, df: DataFrame, as_of: date) -> DataFrame:
+    """Unified records of all rows; ``failure`` says why a row can't be one."""
     values = PREPARE[source](from_columns(df))
+    fields = F.concat_ws("|", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in sorted(df.columns)])
     prepared = df.select(F.lit(source).alias("src"), *[values.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in PREPARED.items()],
-                         raw.alias("_source_record"))
+                         F.to_json(F.struct(*df.columns)).alias("_source_record"), fields.alias("_fields"))
     return unify(prepared, as_of)
 
 
+def succeeded(attempted: DataFrame) -> DataFrame:
+    """The records of a batch that could be read."""
+    return attempted.filter(F.col("failure").isNull()).drop("failure")
+
+
+def failed(attempted: DataFrame) -> DataFrame:
+    """The raw records that could not, with the reason."""
+    return attempted.filter(F.col("failure").isNotNull()).select(F.col("data_provenance.source_system").alias("source_system"), "failure", "_source_record")
+
+
+def _transform(source: str, df: DataFrame, as_of: date) -> DataFrame:
+    return succeeded(attempt(source, df, as_of))
+
+
 def transform_osha(df: DataFrame, as_of: date) -> DataFrame:
     """H08."""
     return _transform("osha", df, as_of)
@@ -219,21 +245,27 @@ def detect_frame(df: DataFrame) -> str:
     return next((name for name, fields in FILE_FIELDS if any(f in df.columns for f in fields)), "generic")
 
 
-def transform_mixed(records: DataFrame, as_of: date, record: str = "record") -> DataFrame:
-    """Records of any source, each a map of strings, to unified records.
+def attempt_mixed(records: DataFrame, as_of: date, record: str = "record") -> DataFrame:
+    """``attempt`` for records of any source, each a map of strings.
 
-    One pass: each prepared column is read from the fields of the row's own source.
+    One detection and one struct per row: only the branch of the row's own source reads the map.
     """
-    rows = records.select(F.col(record).alias("r"), detect_record(F.col(record)).alias("src"), F.to_json(record).alias("_source_record"))
-    values = {source: prepare(from_map(F.col("r"))) for source, prepare in PREPARE.items()}
+    r = F.col("r")
+    fields = F.array_join(F.transform(F.array_sort(F.map_keys(r)), lambda k: F.concat(k, F.lit("="), r[k])), "|")
+    rows = records.select(F.col(record).alias("r"), detect_record(F.col(record)).alias("src"))
+    chosen = F
+    for source, prepare in PREPARE.items():
+        values = prepare(from_map(r))
+        own = F.struct(*[values.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in PREPARED.items()])
+        chosen = chosen.when(F.col("src") == source, own)
+    # a generator keeps the optimizer from copying the branches into every use of a column
+    prepared = rows.select("src", F.to_json(r).alias("_source_record"), fields.alias("_fields"), F.inline(F.array(chosen)))
+    return unify(prepared, as_of)
 
-    def chosen(column: str, kind: str) -> Column:
-        out = F
-        for source in PREPARE:
-            out = out.when(F.col("src") == source, values[source].get(column, F.lit(None)).cast(kind))
-        return out.alias(column)
 
-    return unify(rows.select("src", *[chosen(c, kind) for c, kind in PREPARED.items()], "_source_record"), as_of)
+def transform_mixed(records: DataFrame, as_of: date, record: str = "record") -> DataFrame:
+    """The records that can be read, unified."""
+    return succeeded(attempt_mixed(records, as_of, record))
 
 
 # -- validation and statistics (H13, H16, H17) ---------------------------------------
@@ -246,25 +278,28 @@ CHECKS = {
     "jurisdiction": lambda: (F.col("status") == "DRAFT") | F.col("jurisdiction.primary_country").isNotNull(),
     "known_domain": lambda: F.col("hazard_classification.unified.domain_code") != "AUTRE",
 }
+SCHEMA = ("risk_id", "risk_code", "status", "domain", "jurisdiction")
 
 
-def validate(unified: DataFrame, checks: Sequence[str] = tuple(CHECKS)) -> DataFrame:
-    """Each record with the names of the checks it fails; an empty list passes everything."""
+def validate(unified: DataFrame, checks: Sequence[str] = ()) -> DataFrame:
+    """Each record with the names of the checks it fails; without a schema (``checks``) all pass."""
     if not checks:
         return unified.withColumn("errors", F.array().cast("array<string>")).withColumn("valid", F.lit(True))
     errors = F.array_compact(F.array(*[F.when(~F.coalesce(CHECKS[c](), F.lit(False)), F.lit(c)) for c in checks]))
     return unified.withColumn("errors", errors).withColumn("valid", F.size("errors") == 0)
 
 
-def batch_outcome(unified: DataFrame) -> DataFrame:
-    """How many records were taken, and how many pass the checks, per source system."""
-    return validate(unified).groupBy(F.col("data_provenance.source_system").alias("source_system")).agg(
-        row_count().alias("harmonized"), F.count_if("valid").alias("valid"), F.count_if(~F.col("valid")).alias("rejected"))
+def batch_outcome(attempted: DataFrame, checks: Sequence[str] = ()) -> DataFrame:
+    """How many records were taken, pass the checks, and could not be read, per source system."""
+    read = F.col("failure").isNull()
+    return validate(attempted, checks).groupBy(F.col("data_provenance.source_system").alias("source_system")).agg(
+        F.count_if(read).alias("harmonized"), F.count_if(read & F.col("valid")).alias("valid"), F.count_if(~read).alias("rejected"))
 
 
-def rejects(unified: DataFrame) -> DataFrame:
-    """Failing records, kept with their reasons."""
-    return validate(unified).filter(~F.col("valid")).select("risk_id", "errors", "_source_record")
+def rejects(attempted: DataFrame, checks: Sequence[str] = ()) -> DataFrame:
+    """Records that could not be read or fail a check, kept with their reasons."""
+    reasons = F.array_compact(F.concat(F.array("failure"), F.col("errors")))
+    return validate(attempted, checks).withColumn("errors", reasons).filter(F.size("errors") > 0).select("risk_id", "errors", "_source_record")
 
 
 def statistics(unified: DataFrame) -> DataFrame:

@@ -89,7 +89,9 @@ OSHA_UNIFIED = f"""SELECT {sql_uuid(f"md5('osha|' || {OSHA_KEY})")} AS risk_id,
   e.naics_code AS scian, COALESCE(i.nace, '') AS nace, COALESCE(i.isic, '') AS isic, CAST(NULL AS BIGINT) AS incidents, CAST(NULL AS BIGINT) AS lost_days,
   '' AS period_start, 'OSHA_SEVERE_INJURY' AS source_system, 'osha,usa,' || lower(e.domain) AS tags
 FROM ev e LEFT JOIN dim_industry i ON i.code = e.naics_code"""
-ESAW_KEY = "concat_ws('|', r.deviation, upper(substr(COALESCE(r.country_code, 'EU'), 1, 2)), '', CAST(r.year AS STRING), r.incident_count)"
+ESAW_KEY = "concat_ws('|', 'OBS_VALUE=' || r.incident_count, 'TIME_PERIOD=' || CAST(r.year AS STRING), 'deviation=' || r.deviation, 'geo=' || r.country_code)"
+CNESST_KEY = ("concat_ws('|', 'annee=' || CAST(r.annee AS STRING), 'genre_accident=' || r.genre_accident, 'jours_perdus=' || CAST(r.jours_perdus AS STRING), "
+              "'nature_lesion=' || r.nature_lesion, 'nombre_lesions=' || CAST(r.nombre_lesions AS STRING), 'scian=' || r.scian)")
 ESAW_UNIFIED = f"""SELECT {sql_uuid(f"md5('esaw|' || {ESAW_KEY})")} AS risk_id,
   {sql_code("COALESCE(a.domain, 'AUTRE')", "upper(substr(COALESCE(r.country_code, 'EU'), 1, 2))", ESAW_KEY)} AS risk_code, 'ACTIVE' AS status,
   COALESCE(a.label_en, 'Unclassified') AS title_en, upper(substr(COALESCE(r.country_code, 'EU'), 1, 2)) AS country, '' AS subdivision,
@@ -97,7 +99,8 @@ ESAW_UNIFIED = f"""SELECT {sql_uuid(f"md5('esaw|' || {ESAW_KEY})")} AS risk_id,
   CAST(NULL AS BIGINT) AS lost_days, CAST(r.year AS STRING) || '-01-01' AS period_start, 'EUROSTAT_ESAW' AS source_system,
   'esaw,eurostat,' || lower(substr(COALESCE(r.country_code, 'EU'), 1, 2)) || ',' || lower(COALESCE(a.domain, 'AUTRE')) AS tags
 FROM esaw r LEFT JOIN dim_esaw_deviation a ON a.code = r.deviation"""
-CNESST_UNIFIED = """SELECT 'ACTIVE' AS status, COALESCE(a.label_en, 'Unclassified') AS title_en, 'CA' AS country, 'CA-QC' AS subdivision,
+CNESST_UNIFIED = f"""SELECT {sql_uuid(f"md5('cnesst|' || {CNESST_KEY})")} AS risk_id, {sql_code("COALESCE(a.domain, 'AUTRE')", "'QC'", CNESST_KEY)} AS risk_code,
+  'ACTIVE' AS status, COALESCE(a.label_en, 'Unclassified') AS title_en, 'CA' AS country, 'CA-QC' AS subdivision,
   COALESCE(a.domain, 'AUTRE') AS domain, r.genre_accident AS source_code, r.scian, COALESCE(i.nace, '') AS nace, '' AS isic,
   r.nombre_lesions AS incidents, r.jours_perdus AS lost_days, '' AS period_start, 'CNESST' AS source_system,
   'cnesst,quebec,canada,' || lower(COALESCE(a.domain, 'AUTRE')) AS tags
@@ -139,7 +142,7 @@ def _(t):
 
 @query("h10_cnesst_unified", "SELECT * FROM cnesst_unified", cnesst_unified=CNESST_UNIFIED)
 def _(t):
-    return flatten(har.transform_cnesst(t.cnesst_lesions, AS_OF)).select(*UNHASHED)
+    return flatten(har.transform_cnesst(t.cnesst_lesions, AS_OF))
 
 
 def mixed_records(t):
@@ -154,18 +157,25 @@ def mixed_records(t):
 
 
 PLAIN = ", ".join(UNHASHED)
-GENERIC = """SELECT 'DRAFT' AS status, 'Unclassified Record' AS title_en, '' AS country, '' AS subdivision, 'AUTRE' AS domain, '' AS source_code,
+ALL_FIELDS = f"risk_id, risk_code, {PLAIN}"
+
+
+def generic_sql(*fields: str) -> str:
+    key = "concat_ws('|', " + ", ".join(f"'{f}=' || CAST(c.{f} AS STRING)" for f in sorted(fields)) + ")"
+    return GENERIC.format(id=sql_uuid(f"md5('generic|' || {key})"), code=sql_code("'AUTRE'", "'XX'", key))
+
+
+GENERIC = """SELECT {id} AS risk_id, {code} AS risk_code, 'DRAFT' AS status, 'Unclassified Record' AS title_en, '' AS country, '' AS subdivision, 'AUTRE' AS domain, '' AS source_code,
   '' AS scian, '' AS nace, '' AS isic, CAST(NULL AS BIGINT) AS incidents, CAST(NULL AS BIGINT) AS lost_days, '' AS period_start,
-  'MANUAL_ENTRY' AS source_system, '' AS tags FROM conversations"""
-MIXED = f"""SELECT {PLAIN} FROM osha_unified UNION ALL SELECT {PLAIN} FROM esaw_unified UNION ALL SELECT {PLAIN} FROM cnesst_unified
-UNION ALL SELECT {PLAIN} FROM generic_unified"""
+  'MANUAL_ENTRY' AS source_system, '' AS tags FROM conversations c"""
+MIXED = " UNION ALL ".join(f"SELECT {ALL_FIELDS} FROM {source}_unified" for source in ("osha", "esaw", "cnesst", "generic"))
 PARTS = {"ev": EVENT, "osha_unified": OSHA_UNIFIED, "esaw_unified": ESAW_UNIFIED, "cnesst_unified": CNESST_UNIFIED,
-         "generic_unified": GENERIC, "mixed": MIXED}
+         "generic_unified": generic_sql("conv_id", "role"), "mixed": MIXED}
 
 
-@query("h11_transform_mixed", f"SELECT {PLAIN}, COUNT(*) AS n FROM mixed GROUP BY ALL", **PARTS)
+@query("h11_transform_mixed", f"SELECT {ALL_FIELDS}, COUNT(*) AS n FROM mixed GROUP BY ALL", **PARTS)
 def _(t):
-    return counts_by(flatten(har.transform_mixed(mixed_records(t), AS_OF)), UNHASHED)
+    return counts_by(flatten(har.transform_mixed(mixed_records(t), AS_OF)), ["risk_id", "risk_code", *UNHASHED])
 
 
 @query("h11_detect_record", """
@@ -175,16 +185,36 @@ def _(t):
     return counts_by(mixed_records(t).select(har.detect_record(F.col("record")).alias("source")), ["source"])
 
 
-@query("h12_generic_records", f"SELECT {PLAIN}, COUNT(*) AS n FROM generic_unified GROUP BY ALL", **PARTS)
+@query("h12_generic_records", f"SELECT {ALL_FIELDS}, COUNT(*) AS n FROM drafts GROUP BY ALL", drafts=generic_sql("conv_id", "role", "turn"))
 def _(t):
-    return counts_by(flatten(har.transform_generic(t.base("conversations").select("conv_id", "role", "turn"), AS_OF)), UNHASHED)
+    drafts = har.transform_generic(t.base("conversations").select("conv_id", "role", "turn"), AS_OF)
+    return counts_by(flatten(drafts), ["risk_id", "risk_code", *UNHASHED])
+
+
+@query("h13_batch_outcome", "SELECT source_system, COUNT(*) AS harmonized, COUNT(*) AS valid, 0 AS rejected FROM mixed GROUP BY 1", **PARTS)
+def _(t):
+    return har.batch_outcome(har.attempt_mixed(mixed_records(t), AS_OF))
+
+
+def malformed_input(t):
+    """Aggregate records whose count is a flag, a mark of missing data or not a number in some years."""
+    count = F.col("OBS_VALUE")
+    bad = F.when(F.col("TIME_PERIOD") == 2011, F.concat(count, F.lit(" p"))).when(F.col("TIME_PERIOD") == 2013, ":").when(F.col("TIME_PERIOD") == 2017, "NaN")
+    return esaw_input(t).withColumn("OBS_VALUE", F.coalesce(bad, count))
+
+
+MALFORMED = """SELECT *, CASE year WHEN 2011 THEN incident_count || ' p' WHEN 2013 THEN ':' WHEN 2017 THEN 'NaN' ELSE incident_count END AS given FROM esaw"""
 
 
-@query("h13_batch_outcome", """
-SELECT source_system, COUNT(*) AS harmonized, COUNT(*) FILTER (WHERE domain <> 'AUTRE') AS valid, COUNT(*) FILTER (WHERE domain = 'AUTRE') AS rejected
-FROM mixed GROUP BY 1""", **PARTS)
+@query("h13_unreadable_counts", """
+SELECT 'EUROSTAT_ESAW' AS source_system, CASE WHEN year IN (2011, 2013, 2017) THEN 'incidents unreadable: ' || given ELSE 'harmonized' END AS outcome, COUNT(*) AS n,
+  CAST(COALESCE(SUM(CASE WHEN year NOT IN (2011, 2013, 2017) THEN CAST(incident_count AS BIGINT) END), 0) AS BIGINT) AS incidents FROM given_counts GROUP BY 2""", given_counts=MALFORMED)
 def _(t):
-    return har.batch_outcome(har.transform_mixed(mixed_records(t), AS_OF))
+    tried = har.attempt("esaw", malformed_input(t), AS_OF)
+    bad = har.failed(tried).select("source_system", F.col("failure").alias("outcome"), F.lit(0).cast("bigint").alias("incidents"))
+    good = har.succeeded(tried).select(F.col("data_provenance.source_system").alias("source_system"), F.lit("harmonized").alias("outcome"),
+                                       F.col("incident_statistics.total_incidents").alias("incidents"))
+    return bad.unionByName(good).groupBy("source_system", "outcome").agg(F.count(F.lit(1)).alias("n"), F.sum("incidents").alias("incidents"))
 
 
 @query("h14_detect_frame", """
@@ -205,10 +235,15 @@ def _(t):
 
 
 @query("h16_validate", """
-SELECT domain <> 'AUTRE' AS valid, CASE WHEN domain = 'AUTRE' THEN 'known_domain' ELSE '' END AS errors, COUNT(*) AS n FROM mixed GROUP BY 1, 2""", **PARTS)
+SELECT 'none' AS schema, TRUE AS valid, '' AS errors, COUNT(*) AS n FROM mixed UNION ALL SELECT 'plain', TRUE, '', COUNT(*) FROM mixed
+UNION ALL SELECT 'strict', domain <> 'AUTRE', CASE WHEN domain = 'AUTRE' THEN 'known_domain' ELSE '' END, COUNT(*) FROM mixed GROUP BY 2, 3""", **PARTS)
 def _(t):
-    checked = har.validate(har.transform_mixed(mixed_records(t), AS_OF))
-    return counts_by(checked.withColumn("errors", F.array_join("errors", ",")), ["valid", "errors"])
+    unified = har.transform_mixed(mixed_records(t), AS_OF)
+    parts = []
+    for name, checks in (("none", ()), ("plain", har.SCHEMA), ("strict", (*har.SCHEMA, "known_domain"))):
+        checked = har.validate(unified, checks).withColumn("errors", F.array_join("errors", ",")).withColumn("schema", F.lit(name))
+        parts.append(counts_by(checked, ["schema", "valid", "errors"]))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("h17_statistics", """
