@@ -250,10 +250,14 @@ def country_totals(esaw: DataFrame) -> DataFrame:
     )
 
 
+def state_totals(osha: DataFrame) -> DataFrame:
+    """Rows of every state."""
+    return counts_by(osha.filter(F.col("state").isNotNull()), ["state"]).withColumnRenamed("n", "total")
+
+
 def top_states(osha: DataFrame, k: int = 50) -> DataFrame:
-    """A36."""
-    counted = counts_by(osha.filter(F.col("state").isNotNull()), ["state"])
-    return top_k(counted, "n", k, ["state"]).select("state", F.col("n").alias("total"))
+    """The report of the largest states."""
+    return top_k(state_totals(osha), "total", k, ["state"])
 
 
 # -- all sources together (A12, A13, A23, A33, A39) ---------------------------------

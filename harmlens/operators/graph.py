@@ -81,10 +81,9 @@ def initialize(nodes: DataFrame) -> DataFrame:
 
 
 def risk_rows(unified: DataFrame) -> DataFrame:
-    """The attributes of each risk node, one row per id; records without an id are left out.
+    """The attributes of each risk node and how many equal records it stands for.
 
-    They are dropped after the grouping: a filter on a derived id would be pushed
-    down to the scan and hash every record a second time.
+    Records without an id are left out.
     """
     blank = F.lit("")
     rows = unified.select(
@@ -96,9 +95,9 @@ def risk_rows(unified: DataFrame) -> DataFrame:
         F.coalesce(F.array_join("metadata.tags", ","), blank).alias("tags"),
         F.coalesce("jurisdiction.primary_country", F.lit("XX")).alias("country"),
         F.coalesce(F.element_at(F.split("jurisdiction.subdivision.code", "-"), -1), blank).alias("subdivision"))
-    rest = [c for c in rows.columns if c != "id"]
-    merged = rows.groupBy("id").agg(F.min(F.struct(*rest)).alias("r"), F.max(F.col("id") != "").alias("__named"))
-    return merged.filter("__named").select("id", "r.*")
+    # an id stands for all fields of its record, so grouping by every column merges exact copies only
+    merged = rows.groupBy(*rows.columns).agg(row_count().alias("copies"))
+    return merged.filter("id <> ''")
 
 
 def missing_ids(unified: DataFrame) -> DataFrame:
@@ -175,20 +174,27 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, targets: DataFrame, max
     ``edges(a, b)``, ``sources(node)``, ``targets(node)``. Each hop joins the
     frontier to the edges, keeps the smallest path per (source, node) - combined
     map-side, so a hub node is not gathered - and drops nodes already reached.
-    Every hop is checkpointed, so the plan stays one hop long.
+    A source leaves the frontier once it has reached all its targets. Every hop
+    is checkpointed, so the plan stays one hop long.
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct()
     both = cut_lineage(both)
     frontier = cut_lineage(sources.select(F.col("node").alias("source"), "node", F.array("node").alias("path")).distinct())
     levels = [frontier]
+    aims = cut_lineage(targets.select("node").distinct())
+    own = frontier.select("source").join(aims.select(F.col("node").alias("source"), F.lit(1).alias("self")), "source", "left")
+    wanted = own.select("source", (aims.agg(row_count()).scalar() - F.coalesce("self", F.lit(0))).alias("aims"))
     for _ in range(max_hops):
         reached = union_all(*[level.select("source", "node") for level in levels])
         step = frontier.join(both, F.col("node") == F.col("a")).select("source", F.col("b").alias("node"), F.concat("path", F.array("b")).alias("path"))
         step = step.groupBy("source", "node").agg(F.min("path").alias("path"))
         frontier = cut_lineage(step.join(reached, ["source", "node"], "left_anti"))
+        levels.append(frontier)
+        hits = union_all(*[level.select("source", "node") for level in levels]).join(aims, "node", "left_semi").filter("source <> node")
+        done = hits.groupBy("source").agg(row_count().alias("hits")).join(wanted, "source").filter("hits >= aims").select("source")
+        frontier = cut_lineage(frontier.join(done, "source", "left_anti"))
         if frontier.isEmpty():
             break
-        levels.append(frontier)
     found = union_all(*levels).join(targets.select("node").distinct(), "node", "left_semi").filter(F.col("source") != F.col("node"))
     return found.select("source", F.col("node").alias("target"), "path", (F.size("path") - 1).alias("path_length"))
 
@@ -226,16 +232,17 @@ def integrity(counts: DataFrame, required: Sequence[str]) -> DataFrame:
 
 # -- statistics graph (G10-G15) -----------------------------------------------------------
 
-YEARS = (2010, 2023)
+YEARS = (2010, 2023)  # fixed value: the years that exist before any data
 
 
-def stat_base_nodes(spark: SparkSession) -> DataFrame:
-    """Jurisdiction and year nodes."""
+def stat_base_nodes(spark: SparkSession, *counts: DataFrame) -> DataFrame:
+    """Jurisdiction and year nodes; years of ``counts`` (annee) beyond the usual ones are added."""
     places = dims.frame(spark, dims.STAT_JURISDICTION).select(F.array(F.lit("Jurisdiction")).alias("labels"), F.col("code").alias("key"), "name",
                                                               F.lit(None).cast("string").alias("jurisdiction"), F.lit(None).cast("bigint").alias("total"))
-    years = spark.range(YEARS[0], YEARS[1] + 1).select(F.array(F.lit("Year")).alias("labels"), F.col("id").cast("string").alias("key"),
-                                                       F.col("id").cast("string").alias("name"), F.lit(None).cast("string").alias("jurisdiction"),
-                                                       F.lit(None).cast("bigint").alias("total"))
+    found = union_all(spark.range(YEARS[0], YEARS[1] + 1).select(F.col("id").alias("year")), *[c.select(F.col("annee").cast("bigint").alias("year")) for c in counts])
+    years = found.filter("year is not null").distinct().select(
+        F.array(F.lit("Year")).alias("labels"), F.col("year").cast("string").alias("key"), F.col("year").cast("string").alias("name"),
+        F.lit(None).cast("string").alias("jurisdiction"), F.lit(None).cast("bigint").alias("total"))
     return places.unionByName(years)
 
 
@@ -247,28 +254,27 @@ def _stat_nodes(df: DataFrame, labels: list[str], key: Column, name: Column, jur
 def sector_graph(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Sector and statistics nodes with their edges, from per (secteur, annee) counts.
 
-    The statistics id keeps 20 characters of the sector, so two long names may
-    share a node; the smaller count is then the one kept, as if written last.
     The counts are small and read several times, hence the checkpoint.
     """
     counts = cut_lineage(counts)
-    rows = counts.withColumn("id", F.concat_ws("-", F.lit("QC"), F.substring("secteur", 1, 20), F.col("annee").cast("string")))
-    kept = rows.groupBy("id").agg(F.min(F.struct("total", "secteur")).alias("s")).select("id", "s.*")
-    sectors = rows.select("secteur").distinct()
-    nodes = _stat_nodes(sectors, ["Sector"], F.col("secteur"), F.col("secteur"), "QC", F.lit(None)).unionByName(
-        _stat_nodes(kept, ["IncidentStats"], F.col("id"), F.col("id"), "QC", F.col("total")))
-    known = rows.filter(F.col("annee").between(*YEARS))
+    rows = counts.withColumn("id", _stats_id())
+    nodes = _stat_nodes(rows.select("secteur").distinct(), ["Sector"], F.col("secteur"), F.col("secteur"), "QC", F.lit(None)).unionByName(
+        _stat_nodes(rows, ["IncidentStats"], F.col("id"), F.col("id"), "QC", F.col("total")))
     edges = merged_edges(
         _edge(rows, "Sector", F.col("secteur"), "HAS_STATS", "IncidentStats", F.col("id")),
-        _edge(known, "IncidentStats", F.col("id"), "IN_YEAR", "Year", F.col("annee")),
-        _edge(known, "IncidentStats", F.col("id"), "IN_JURISDICTION", "Jurisdiction", F.lit("QC")))
+        _edge(rows.filter("annee is not null"), "IncidentStats", F.col("id"), "IN_YEAR", "Year", F.col("annee")),
+        _edge(rows, "IncidentStats", F.col("id"), "IN_JURISDICTION", "Jurisdiction", F.lit("QC")))
     return nodes, edges
 
 
+def _stats_id() -> Column:
+    """The whole sector name: a shortened one would merge sectors."""
+    return F.concat_ws("-", F.lit("QC"), "secteur", F.col("annee").cast("string"))
+
+
 def stats_attributes(counts: DataFrame) -> DataFrame:
     """The attributes each statistics node carries."""
-    return counts.select(F.concat_ws("-", F.lit("QC"), F.substring("secteur", 1, 20), F.col("annee").cast("string")).alias("id"),
-                         "total", "tms", "psy", "machine", percent("tms", "total").alias("tms_rate"))
+    return counts.select(_stats_id().alias("id"), "total", "tms", "psy", "machine", percent("tms", "total").alias("tms_rate"))
 
 
 def state_graph(states: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -161,6 +161,14 @@ for i in range(2, 6):
     HOPS[f"hop{i}"] = f"SELECT DISTINCT h.source, e.b AS node FROM hop{i - 1} h JOIN both_ways e ON e.a = h.node"
 PATH_SQL = "SELECT source, node AS target, MIN(d) AS path_length FROM (" + " UNION ALL ".join(
     f"SELECT source, node, {i} AS d FROM hop{i}" for i in range(1, 6)) + ") WHERE node LIKE 'N%' AND node <> source GROUP BY 1, 2"
+# the same with the path: each hop keeps the smallest path to a node not reached before
+WALKS = {"both_ways": HOPS["both_ways"], "trade": TRADE, "walk0": "SELECT DISTINCT a AS source, a AS node, [a] AS path FROM both_ways WHERE a LIKE 'N1%'"}
+for i in range(1, 6):
+    before = " UNION ALL ".join(f"SELECT source, node FROM walk{k}" for k in range(i))
+    WALKS[f"walk{i}"] = f"""SELECT w.source, e.b AS node, MIN(list_append(w.path, e.b)) AS path FROM walk{i - 1} w JOIN both_ways e ON e.a = w.node
+WHERE (w.source, e.b) NOT IN ({before}) GROUP BY 1, 2"""
+WALK_SQL = "SELECT source, node AS target, array_to_string(path, '>') AS path, len(path) - 1 AS path_length FROM (" + " UNION ALL ".join(
+    f"SELECT * FROM walk{i}" for i in range(1, 6)) + ") WHERE node LIKE 'N%' AND node <> source"
 
 
 def trade_edges(t):
@@ -177,9 +185,9 @@ def nation_paths(t):
     return gr.shortest_paths(trade_edges(t), nodes.filter(F.col("node").startswith("N1")), nodes)
 
 
-@query("g07_concordance_path", PATH_SQL, **HOPS)
+@query("g07_concordance_path", WALK_SQL, **WALKS)
 def _(t):
-    return nation_paths(t).drop("path")
+    return nation_paths(t).withColumn("path", F.array_join("path", ">"))
 
 
 @query("j15_shortest_path", f"SELECT path_length, COUNT(*) AS n FROM ({PATH_SQL}) GROUP BY 1", **HOPS)
@@ -233,10 +241,10 @@ def _(t):
 
 
 SECTOR_NODES = """SELECT 'Sector' AS labels, secteur_scian AS key, secteur_scian AS name, 'QC' AS jurisdiction, NULL AS total FROM sector_total
-UNION ALL SELECT 'IncidentStats', 'QC-' || substr(secteur_scian, 1, 20) || '-' || CAST(annee AS STRING), 'QC-' || substr(secteur_scian, 1, 20) || '-' || CAST(annee AS STRING), 'QC', n FROM sector_year"""
-STATE_NODES = """SELECT 'State|Sector', 'USA-' || state, state, 'USA', n FROM (SELECT state, COUNT(*) AS n FROM osha_raw WHERE state IS NOT NULL GROUP BY 1 ORDER BY n DESC, state LIMIT 50)"""
+UNION ALL SELECT 'IncidentStats', 'QC-' || secteur_scian || '-' || CAST(annee AS STRING), 'QC-' || secteur_scian || '-' || CAST(annee AS STRING), 'QC', n FROM sector_year"""
+STATE_NODES = """SELECT 'State|Sector', 'USA-' || state, state, 'USA', n FROM (SELECT state, COUNT(*) AS n FROM osha_raw WHERE state IS NOT NULL GROUP BY 1)"""
 COUNTRY_NODES = """SELECT 'Country|Sector', 'EU-' || country_code, MIN(country_name), 'EU27', COUNT(*) FROM esaw WHERE country_code IS NOT NULL GROUP BY country_code"""
-BASE_NODES = """SELECT 'Jurisdiction', code, name, NULL, NULL FROM dim_stat_jurisdiction UNION ALL SELECT 'Year', CAST(y AS STRING), CAST(y AS STRING), NULL, NULL FROM range(2010, 2024) r(y)"""
+BASE_NODES = """SELECT 'Jurisdiction', code, name, NULL, NULL FROM dim_stat_jurisdiction UNION ALL SELECT 'Year', CAST(y AS STRING), CAST(y AS STRING), NULL, NULL FROM (SELECT y FROM range(2010, 2024) r(y) UNION SELECT annee FROM sector_year)"""
 SECTOR_EDGES = """SELECT 'HAS_STATS' AS rel, 'Sector' AS src_label, secteur_scian AS src, 'IncidentStats' AS dst_label, 'QC-' || secteur_scian || '-' || CAST(annee AS STRING) AS dst FROM sector_year
 UNION ALL SELECT 'IN_YEAR', 'IncidentStats', 'QC-' || secteur_scian || '-' || CAST(annee AS STRING), 'Year', CAST(annee AS STRING) FROM sector_year
 UNION ALL SELECT 'IN_JURISDICTION', 'IncidentStats', 'QC-' || secteur_scian || '-' || CAST(annee AS STRING), 'Jurisdiction', 'QC' FROM sector_year"""
@@ -247,10 +255,11 @@ SPARTS = {"all_nodes": ALL_NODES, "all_edges": ALL_EDGES}
 
 
 def stat_graph(t):
-    sector = gr.sector_graph(agg.sector_year_graph_stats(t.lesions))
-    state = gr.state_graph(agg.top_states(t.osha_raw))
+    counts = agg.sector_year_graph_stats(t.lesions)
+    sector = gr.sector_graph(counts)
+    state = gr.state_graph(agg.state_totals(t.osha_raw))
     country = gr.country_graph(agg.country_totals(t.esaw))
-    return (gr.union_all(sector[0], state[0], country[0], gr.stat_base_nodes(t.spark)), gr.union_all(sector[1], state[1], country[1]))
+    return (gr.union_all(sector[0], state[0], country[0], gr.stat_base_nodes(t.spark, counts)), gr.union_all(sector[1], state[1], country[1]))
 
 
 def _labels(nodes):
@@ -259,8 +268,9 @@ def _labels(nodes):
 
 @query("g10_base_nodes", f"SELECT * FROM ({BASE_NODES}) b(labels, key, name, jurisdiction, total) UNION ALL SELECT * FROM ({SECTOR_NODES}) WHERE labels = 'Sector'", **SPARTS)
 def _(t):
-    sectors = gr.sector_graph(agg.sector_year_graph_stats(t.lesions))[0].filter(F.array_contains("labels", "Sector"))
-    return _labels(wh.seed_missing(sectors, gr.stat_base_nodes(t.spark), ["key"]))
+    counts = agg.sector_year_graph_stats(t.lesions)
+    sectors = gr.sector_graph(counts)[0].filter(F.array_contains("labels", "Sector"))
+    return _labels(wh.seed_missing(sectors, gr.stat_base_nodes(t.spark, counts), ["key"]))
 
 
 @query("g11_sector_nodes", f"""SELECT n.labels, n.key, n.name, n.jurisdiction, n.total, s.tms_rate FROM ({SECTOR_NODES}) n LEFT JOIN (SELECT 'QC-' || secteur_scian || '-' || CAST(annee AS STRING) AS k,
@@ -276,9 +286,27 @@ def _(t):
     return gr.sector_graph(agg.sector_year_graph_stats(t.lesions))[1]
 
 
+LONG = """SELECT 'TRANSPORT ET ENTREPOSAGE ' || secteur_scian AS s, annee + 12 AS y, n FROM sector_year"""
+
+
+@query("g11_long_sectors", """
+SELECT 'node' AS kind, 'QC-' || s || '-' || CAST(y AS STRING) AS key, CAST(n AS STRING) AS detail FROM long_sectors
+UNION ALL SELECT 'IN_YEAR', 'QC-' || s || '-' || CAST(y AS STRING), CAST(y AS STRING) FROM long_sectors
+UNION ALL SELECT 'year', CAST(y AS STRING), NULL FROM (SELECT y FROM range(2010, 2024) r(y) UNION SELECT y FROM long_sectors)""", long_sectors=LONG)
+def _(t):
+    # Names that agree in more than 20 characters, and years later than any that is set up.
+    counts = agg.sector_year_graph_stats(t.lesions).withColumns({
+        "secteur": F.concat(F.lit("TRANSPORT ET ENTREPOSAGE "), F.col("secteur")), "annee": F.col("annee") + 12})
+    nodes, edges = gr.sector_graph(counts)
+    stats = nodes.filter(F.array_contains("labels", "IncidentStats")).select(F.lit("node").alias("kind"), "key", F.col("total").cast("string").alias("detail"))
+    dated = edges.filter("rel = 'IN_YEAR'").select(F.lit("IN_YEAR").alias("kind"), F.col("src").alias("key"), F.col("dst").alias("detail"))
+    years = gr.stat_base_nodes(t.spark, counts).filter(F.array_contains("labels", "Year")).select(F.lit("year").alias("kind"), "key", F.lit(None).cast("string").alias("detail"))
+    return stats.unionByName(dated).unionByName(years)
+
+
 @query("g12_state_graph", f"SELECT * FROM ({STATE_NODES}) s(labels, key, name, jurisdiction, total)")
 def _(t):
-    return _labels(gr.state_graph(agg.top_states(t.osha_raw))[0])
+    return _labels(gr.state_graph(agg.state_totals(t.osha_raw))[0])
 
 
 @query("g13_country_graph", f"SELECT * FROM ({COUNTRY_NODES}) s(labels, key, name, jurisdiction, total)")

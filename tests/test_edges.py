@@ -214,13 +214,14 @@ def test_connector_rule(spark):
     assert [r.source_key for r in catalog.run_order(catalog.registered(spark), 1).collect()][:2] == ["kaggle_osha_injuries", "osha_inspections"]
 
 
-def test_truncated_sector_ids_merge(spark):
-    counts = spark.createDataFrame([("TRANSPORT ET ENTREPOSAGE A", 2020, 9), ("TRANSPORT ET ENTREPOSAGE B", 2020, 4), ("MINES", 2009, 1)], "secteur string, annee int, total bigint")
+def test_long_sector_names_and_late_years_stay_apart(spark):
+    counts = spark.createDataFrame([("TRANSPORT ET ENTREPOSAGE A", 2024, 9), ("TRANSPORT ET ENTREPOSAGE B", 2024, 4), ("MINES", 2009, 1)], "secteur string, annee int, total bigint")
     nodes, edges = gr.sector_graph(counts)
     stats = {r.key: r.total for r in nodes.filter("array_contains(labels, 'IncidentStats')").collect()}
-    assert stats == {"QC-TRANSPORT ET ENTREPO-2020": 4, "QC-MINES-2009": 1}
-    assert edges.filter("rel = 'HAS_STATS'").count() == 3
-    assert edges.filter("rel = 'IN_YEAR'").count() == 1  # 2009 has no year node
+    assert stats == {"QC-TRANSPORT ET ENTREPOSAGE A-2024": 9, "QC-TRANSPORT ET ENTREPOSAGE B-2024": 4, "QC-MINES-2009": 1}
+    assert [edges.filter(F.col("rel") == rel).count() for rel in ("HAS_STATS", "IN_YEAR", "IN_JURISDICTION")] == [3, 3, 3]
+    years = {r.key for r in gr.stat_base_nodes(spark, counts).filter("array_contains(labels, 'Year')").collect()}
+    assert {"2009", "2010", "2023", "2024"} <= years
 
 
 def test_country_name_falls_back_to_code(spark):
