@@ -5,7 +5,9 @@ source's own format, then read them back through the operator under test.
 """
 
 from datetime import date, datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harmlens.functions import dims
@@ -17,6 +19,7 @@ from harmlens.operators import warehouse as wh
 from harmlens.plans.oracle import ratio
 from harmlens.plans.q_advisors import FEATURE_INPUT, FEATURES, feature_input
 from harmlens.plans.q_harmonize import PARTS as HPARTS
+from harmlens.plans.q_harmonize import malformed_input
 from harmlens.plans.q_sectors import BASE as FBASE
 from harmlens.plans.q_sectors import STEPS
 from harmlens.plans.registry import query
@@ -132,18 +135,20 @@ def _(t):
 
 
 @query("s07_read_records", """
-SELECT 'json' AS suffix, scian, CAST(SUM(nombre_lesions) AS BIGINT) AS total FROM cnesst_lesions GROUP BY 2
-UNION ALL SELECT 'csv', scian, CAST(SUM(nombre_lesions) AS BIGINT) FROM cnesst_lesions GROUP BY 2""")
+SELECT f.suffix, scian, CAST(SUM(nombre_lesions) AS BIGINT) AS total, COUNT(*) AS n FROM cnesst_lesions, (VALUES ('json'), ('array'), ('jsonl'), ('csv')) f(suffix) GROUP BY 1, 2""")
 def _(t):
     root = scratch_path(t.spark, "records")
     t.cnesst_lesions.write.json(f"{root}/cases.json")
+    t.cnesst_lesions.write.json(f"{root}/cases.jsonl")
     t.cnesst_lesions.write.csv(f"{root}/cases.csv", header=True)
+    # one array per sector, each in a file of its own
+    arrays = t.cnesst_lesions.groupBy("scian").agg(F.to_json(F.collect_list(F.struct(*t.cnesst_lesions.columns))).alias("value"))
+    arrays.repartition(F.col("scian")).withColumn("part", F.col("scian")).select("part", "value").write.partitionBy("part").text(f"{root}/arrays.json")
     parts = []
-    for suffix in ("json", "csv", "txt"):
-        path = f"{root}/cases.{suffix}"
-        rows = t.spark.read.json(path) if suffix == "json" else readers.read_records(t.spark, path, "scian string, nombre_lesions bigint")
-        parts.append(rows.groupBy("scian").agg(F.sum(F.col("nombre_lesions").cast("bigint")).alias("total")).withColumn("suffix", F.lit(suffix)))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    for kind, name in (("json", "cases.json"), ("array", "arrays.json"), ("jsonl", "cases.jsonl"), ("csv", "cases.csv"), ("txt", "cases.txt")):
+        rows = readers.read_records(t.spark, f"{root}/{name}", "scian string, nombre_lesions bigint")
+        parts.append(rows.groupBy("scian").agg(F.sum(F.col("nombre_lesions").cast("bigint")).alias("total"), F.count(F.lit(1)).alias("n")).withColumn("suffix", F.lit(kind)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("s08_read_sql", "SELECT annee, COUNT(*) AS n FROM lesions WHERE ind_lesion_psy = 'OUI' GROUP BY annee HAVING COUNT(*) > 10")
@@ -165,8 +170,8 @@ SELECT 'USA' AS jurisdiction, 'OSHA' AS source, COUNT(*) AS n, COUNT(state) AS w
 UNION ALL SELECT 'EU-27', 'Eurostat', COUNT(*), 0, COUNT(country_code) FROM esaw""")
 def _(t):
     root = scratch_path(t.spark, "gold")
-    layers.save_gold(kaggle_gold(t), root)
-    layers.save_gold(eurostat_gold(t), root)
+    layers.save_gold(kaggle_gold(t), root, "20240101")
+    layers.save_gold(eurostat_gold(t), root, "20240101")
     merged = readers.merge_gold(t.spark, f"{root}/gold")
     return merged.groupBy("jurisdiction", "source").agg(F.count(F.lit(1)).alias("n"), F.count("state").alias("with_state"), F.count("country_code").alias("with_country"))
 
@@ -191,13 +196,29 @@ def _(t):
     return chosen.join(rows, F.col("jurisdiction") == F.col("__j"), "left").select("ord", "source_key", "priority", F.coalesce("n", F.lit(0)).alias("n"))
 
 
+@query("s11_run_all", """
+SELECT s.source_key AS source, CASE WHEN s.source_key NOT IN ('kaggle_osha_injuries', 'osha_inspections', 'eurostat_esaw', 'ilostat_injuries', 'cnesst_lesions') THEN 'failed' ELSE 'success' END AS status,
+  CASE s.source_key WHEN 'kaggle_osha_injuries' THEN (SELECT COUNT(*) FROM osha_raw) WHEN 'osha_inspections' THEN (SELECT COUNT(*) FROM osha_raw) WHEN 'cnesst_lesions' THEN (SELECT COUNT(*) FROM cnesst_lesions)
+    WHEN 'eurostat_esaw' THEN (SELECT COUNT(*) FROM esaw) WHEN 'ilostat_injuries' THEN (SELECT COUNT(*) FROM esaw) END AS gold_rows,
+  ROW_NUMBER() OVER (ORDER BY s.priority, s.ord)::INTEGER AS position FROM dim_source s WHERE s.enabled""")
+def _(t):
+    identity = lambda df: df
+    connectors = {
+        "kaggle_osha_injuries": (lambda: t.osha_raw.select(*ESTABLISHMENT), conform.from_kaggle),
+        "osha_inspections": (lambda: t.osha_raw.select(F.col("id").alias("reporting_id"), "naics_code"), conform.from_osha),
+        "eurostat_esaw": (lambda: t.esaw.withColumnsRenamed({"country_code": "geo", "year": "time"}), conform.from_eurostat),
+        "ilostat_injuries": (lambda: t.esaw, conform.from_ilostat), "cnesst_lesions": (lambda: t.cnesst_lesions, identity)}
+    log = layers.run_all(t.spark, catalog.registered(t.spark), connectors, scratch_path(t.spark, "all"), "20240101", NOW)
+    return log.select("source", "status", "gold_rows", "position")
+
+
 @query("s12_connector_routes", """
 SELECT c.route, COUNT(*) AS n FROM (SELECT s.jurisdiction, CASE WHEN contains(source_key, 'osha') THEN 'osha' WHEN contains(source_key, 'bls') THEN 'bls'
   WHEN contains(source_key, 'eurostat') THEN 'eurostat' WHEN contains(source_key, 'ilostat') THEN 'ilostat' WHEN contains(source_key, 'dares') THEN 'dares'
   ELSE CASE type WHEN 'kaggle' THEN 'kaggle' WHEN 'api' THEN 'osha' WHEN 'sdmx' THEN 'eurostat' WHEN 'file' THEN 'dares' ELSE 'base' END END AS route
-  FROM dim_source s WHERE s.source_key IN ('kaggle_osha_injuries', 'cnesst_lesions')) c JOIN incidents_global i ON i.jurisdiction = c.jurisdiction GROUP BY 1""")
+  FROM dim_source s) c JOIN incidents_global i ON i.jurisdiction = c.jurisdiction GROUP BY 1""")
 def _(t):
-    routes = catalog.registered(t.spark).filter(F.col("source_key").isin("kaggle_osha_injuries", "cnesst_lesions")).select(
+    routes = catalog.registered(t.spark).select(
         F.col("jurisdiction").alias("__j"), catalog.connector(F.col("source_key"), F.col("type")).alias("route"))
     return t.incidents_global.join(F.broadcast(routes), F.col("jurisdiction") == F.col("__j")).groupBy("route").agg(F.count(F.lit(1)).alias("n"))
 
@@ -223,14 +244,17 @@ query("k02_save_silver", LAYER_SQL)(_layer_query("silver"))
 
 
 @query("k03_save_gold", """
-SELECT 'USA' AS jurisdiction, src AS source, naics_code AS industry_code, COUNT(*) AS n FROM osha_raw, (VALUES ('OSHA'), ('ITA')) v(src) GROUP BY 2, 3""")
+SELECT 'USA' AS jurisdiction, src AS source, day AS run, naics_code AS industry_code, COUNT(*) AS n FROM osha_raw, (VALUES ('OSHA', '20240101'), ('OSHA', '20240102'), ('ITA', '20240101')) v(src, day)
+WHERE day = '20240101' OR total_deaths = 0 GROUP BY 2, 3, 4""")
 def _(t):
-    # Two sources of one jurisdiction, one of them written twice: neither is lost or doubled.
+    # Two sources of one jurisdiction, one of them on two days and once more on the first: no day is lost, none is doubled.
     root = scratch_path(t.spark, "gold")
     base = conform.from_kaggle(t.osha_raw.select(*ESTABLISHMENT))
-    for source in ("OSHA", "ITA", "OSHA"):
-        layers.save_gold(conform.to_gold(base, source, "USA", NOW), root)
-    return agg.counts_by(t.spark.read.parquet(f"{root}/gold"), ["jurisdiction", "source", "industry_code"])
+    for source, day in (("OSHA", "20240101"), ("ITA", "20240101"), ("OSHA", "20240102"), ("OSHA", "20240101")):
+        rows = base if day == "20240101" else base.filter("fatalities = 0")
+        layers.save_gold(conform.to_gold(rows, source, "USA", NOW), root, day)
+    stored = readers.merge_gold(t.spark, f"{root}/gold").withColumn("run", F.col("run").cast("string"))
+    return agg.counts_by(stored, ["jurisdiction", "source", "run", "industry_code"])
 
 
 @query("k04_save_json", "SELECT domain, source_system, COUNT(*) AS n FROM osha_unified GROUP BY 1, 2", **HPARTS)
@@ -379,14 +403,21 @@ def _(t):
 
 
 @query("p21_integrate_file", """
-SELECT 'osha' AS source, COUNT(*) AS harmonized, COUNT(*) FILTER (WHERE domain <> 'AUTRE') AS valid, COUNT(*) AS loaded FROM osha_unified
-UNION ALL SELECT 'cnesst', COUNT(*), COUNT(*) FILTER (WHERE domain <> 'AUTRE'), COUNT(*) FROM cnesst_unified""", **HPARTS)
+SELECT source, outputs, extracted, harmonized, valid, CASE WHEN outputs IN ('json', 'all') THEN harmonized ELSE 0 END AS written,
+  CASE outputs WHEN 'json' THEN 0 WHEN 'all' THEN harmonized + nodes WHEN 'graph' THEN nodes ELSE harmonized END AS loaded
+FROM (VALUES ('json'), ('graph'), ('table'), ('all')) o(outputs), (
+  SELECT 'osha' AS source, COUNT(*) AS extracted, COUNT(*) AS harmonized, COUNT(*) AS valid, COUNT(DISTINCT risk_id) AS nodes FROM osha_unified
+  UNION ALL SELECT 'cnesst', COUNT(*), COUNT(*), COUNT(*), COUNT(DISTINCT risk_id) FROM cnesst_unified
+  UNION ALL SELECT 'esaw', (SELECT COUNT(*) FROM esaw), COUNT(*), COUNT(*), COUNT(DISTINCT risk_id) FROM esaw_good)""",
+       esaw_good="SELECT * FROM esaw_unified WHERE period_start NOT IN ('2011-01-01', '2013-01-01', '2017-01-01')", **HPARTS)
 def _(t):
     root = scratch_path(t.spark, "integrate")
     t.osha_records.write.csv(f"{root}/osha.csv", header=True)
     t.cnesst_lesions.write.csv(f"{root}/cnesst.csv", header=True)
-    return layers.integrate_file(t.spark, f"{root}/osha.csv", f"{root}/osha_out", DAY, checks=True).union(
-        layers.integrate_file(t.spark, f"{root}/cnesst.csv", f"{root}/cnesst_out", DAY, checks=True))
+    malformed_input(t).write.csv(f"{root}/esaw.csv", header=True)
+    logs = [layers.integrate_file(t.spark, f"{root}/{kind}.csv", f"{root}/{kind}_{sink}", DAY, [sink], har.SCHEMA).withColumn("outputs", F.lit(sink))
+            for kind in ("osha", "cnesst", "esaw") for sink in (*layers.OUTPUTS, "all")]
+    return reduce(DataFrame.unionByName, logs)
 
 
 # -- warehouse state -------------------------------------------------------------------------
