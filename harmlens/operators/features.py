@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from collections.abc import Sequence
+
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
@@ -11,7 +12,10 @@ from pyspark.sql import functions as F
 
 from harmlens.functions.exprs import at_most, band, ratio, row_count
 from harmlens.operators.windows import first_last
+from harmlens.workspace import cut_lineage
 
+CATEGORIES = ("LOW", "MEDIUM", "HIGH", "CRITICAL")
+RISK_INPUTS = ("total_cases", "days_lost", "total_deaths", "days_per_case")
 FEATURES = ["year", "total_cases", "days_lost", "total_deaths", "days_per_case", "fatality_rate", "severity_score"]
 
 
@@ -38,35 +42,54 @@ def feature_vector(features: DataFrame) -> DataFrame:
     return features.withColumn("vector", F.array(*filled))
 
 
-def _split(df: DataFrame, key: list[str], seed: int, share: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """A split by key hash: the same row lands on the same side in every run and retry."""
-    slot = F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(1000))
-    tagged = df.withColumn("__slot", slot)
-    cut = int(share * 1000)
-    return tagged.filter(F.col("__slot") < cut).drop("__slot"), tagged.filter(F.col("__slot") >= cut).drop("__slot")
-
-
-def classify_high_risk(features: DataFrame, inputs: list[str], key: list[str], deaths_above: float = 50, trees: int = 100,
-                       depth: int = 5, seed: int = 42) -> DataFrame:
-    """boosted trees for "deaths above a threshold"; one row with the test accuracy."""
-    rows = VectorAssembler(inputCols=inputs, outputCol="inputs", handleInvalid="keep").transform(
-        features.fillna(0, subset=inputs)).withColumn("label", (F.col("total_deaths") > deaths_above).cast("double"))
-    train, test = _split(rows, key, seed)
-    model = GBTClassifier(featuresCol="inputs", labelCol="label", maxIter=trees, maxDepth=depth, seed=seed).fit(train)
-    scored = model.transform(test)
-    accuracy = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy").evaluate(scored)
-    return scored.agg(row_count().alias("test_rows")).withColumn("accuracy", F.lit(float(accuracy)))
-
-
-def regress_severity(features: DataFrame, inputs: list[str], key: list[str], trees: int = 100, depth: int = 5, seed: int = 42) -> DataFrame:
-    """boosted trees for the severity score; one row with the test error."""
-    rows = VectorAssembler(inputCols=inputs, outputCol="inputs", handleInvalid="keep").transform(
-        features.fillna(0, subset=inputs)).withColumn("label", F.col("severity_score"))
-    train, test = _split(rows, key, seed)
-    model = GBTRegressor(featuresCol="inputs", labelCol="label", maxIter=trees, maxDepth=depth, seed=seed).fit(train)
-    scored = model.transform(test)
-    error = RegressionEvaluator(labelCol="label", metricName="rmse").evaluate(scored)
-    return scored.agg(row_count().alias("test_rows")).withColumn("rmse", F.lit(float(error)))
+SPLIT = 1000
+
+
+def split_slot(key: Sequence[str]) -> Column:
+    """a row's place in the split, from its key: the same in every run and retry."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key])), 1, 8), 16, 10).cast("bigint") % SPLIT
+
+
+def _evaluated(rows: DataFrame, learner, inputs: Sequence[str], label: Column, key: Sequence[str], share: float = 0.8) -> DataFrame:
+    """Train on ``share`` of the rows and score the others: split sizes and scores per label."""
+    assembled = VectorAssembler(inputCols=list(inputs), outputCol="inputs", handleInvalid="keep").transform(
+        rows.fillna(0, subset=list(inputs))).withColumn("label", label.cast("double")).withColumn("__train", split_slot(key) < int(share * SPLIT))
+    table = cut_lineage(assembled.select("inputs", "label", "__train"))
+    model = learner.setFeaturesCol("inputs").setLabelCol("label").fit(table.filter("__train"))
+    scored = model.transform(table.filter("not __train")).withColumn("__error", F.col("prediction") - F.col("label"))
+    tested = scored.groupBy("label").agg(row_count().alias("test_rows"), F.count_if(F.col("prediction").isNotNull()).alias("scored"),
+                                         F.count_if(F.col("__error") == 0).alias("correct"), F.sum(F.col("__error") * F.col("__error")).alias("squared_error"))
+    trained = table.filter("__train").groupBy("label").agg(row_count().alias("train_rows"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return trained.join(tested, "label", "full").select("label", *[zero(c) for c in ("train_rows", "test_rows", "scored", "correct", "squared_error")])
+
+
+def classify_high_risk(features: DataFrame, inputs: Sequence[str] = RISK_INPUTS, key: Sequence[str] = ("year",), deaths_above: float = 50,
+                       trees: int = 100, depth: int = 5, seed: int = 42) -> DataFrame:
+    """boosted trees for "deaths above a threshold"; rows, scored rows and hits of each label."""
+    learner = GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed)
+    return _evaluated(features, learner, inputs, F.col("total_deaths") > deaths_above, key).drop("squared_error")
+
+
+def classify_category(features: DataFrame, inputs: Sequence[str] = FEATURES, key: Sequence[str] = ("year",), trees: int = 100, depth: int = 5,
+                      seed: int = 42) -> DataFrame:
+    """the risk category from all numerical features, lowest category first.
+
+    Boosted trees are binary in Spark, so the trees of this one form a forest.
+    """
+    place = F.array_position(F.array(*map(F.lit, CATEGORIES)), F.col("risk_category")) - 1
+    learner = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed)
+    names = F.element_at(F.array(*map(F.lit, CATEGORIES)), (F.col("label") + 1).cast("int"))
+    return _evaluated(features, learner, inputs, place, key).select(names.alias("risk_category"), "train_rows", "test_rows", "scored", "correct")
+
+
+def regress_severity(features: DataFrame, inputs: Sequence[str] = FEATURES, key: Sequence[str] = ("year",), trees: int = 100, depth: int = 5,
+                     seed: int = 42) -> DataFrame:
+    """boosted trees for the severity score over all numerical features; one row with the test error."""
+    learner = GBTRegressor(maxIter=trees, maxDepth=depth, seed=seed)
+    by_label = _evaluated(features, learner, inputs, F.col("severity_score"), key)
+    total = by_label.agg(*[F.sum(c).alias(c) for c in ("train_rows", "test_rows", "scored", "squared_error")])
+    return total.select("train_rows", "test_rows", "scored", F.sqrt(F.col("squared_error") / F.col("test_rows")).alias("rmse"))
 
 
 # -- described, not computed, by the application (D01-D05) -------------------------------

@@ -422,4 +422,4 @@ def _(t):
     schema = t.base("events").schema
     stream = t.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(t.sf_dir)
     ingest.stream_spikes(stream, "event_type", f"{root}/spikes", f"{root}/state")
-    return t.spark.read.parquet(f"{root}/spikes").withColumn("debut", F.date_format("debut", "yyyy-MM-dd")).withColumnRenamed("debut", "jour")
+    return ingest.read_spikes(t.spark, f"{root}/spikes").withColumn("debut", F.date_format("debut", "yyyy-MM-dd")).withColumnRenamed("debut", "jour")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from harmlens.functions.exprs import change_pct, row_count
@@ -41,12 +42,23 @@ def spikes(counts: DataFrame, warn: float = 15, critical: float = 30) -> DataFra
         "level", F.when(F.col("change_pct") > critical, "CRITICAL").when(F.col("change_pct") > warn, "WARNING").otherwise("NORMAL"))
 
 
-def stream_spikes(events: DataFrame, key: str, out: str, checkpoint: str, **limits: float) -> None:
-    """X02 on a stream: complete mode gives every window to each batch, so the open one is compared too."""
-    counts = windowed_counts(events, key)
+def stream_spikes(events: DataFrame, key: str, out: str, checkpoint: str, lateness: str = "2 days") -> StreamingQuery:
+    """X02 on a stream: each batch stores the windows it changed, in a folder of its own.
+
+    In update mode the state holds only windows that the watermark leaves open, and a batch that is
+    repeated after a failure replaces its own folder. ``read_spikes`` compares the latest counts.
+    """
+    counts = windowed_counts(events, key, lateness=lateness)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        spikes(batch, **limits).write.mode("overwrite").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch={batch_id}")
 
-    query = counts.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(store).start()
+    query = counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(store).start()
     query.awaitTermination()
+    return query
+
+
+def read_spikes(spark: SparkSession, out: str, **limits: float) -> DataFrame:
+    """The stored windows, each with its last count, against the window before."""
+    stored = spark.read.parquet(out)
+    return spikes(stored.groupBy("cle", "w").agg(F.max_by("n", "batch").alias("n")), **limits)

@@ -28,7 +28,32 @@ def test_streamed_spikes_match_batch(spark):
     events.write.parquet(f"{root}/events")
     stream = spark.readStream.schema(events.schema).parquet(f"{root}/events")
     ingest.stream_spikes(stream, "kind", f"{root}/out", f"{root}/state")
-    streamed = {(r.debut, r.n, r.previous, r.change_pct, r.level) for r in spark.read.parquet(f"{root}/out").collect()}
+    streamed = {(r.debut, r.n, r.previous, r.change_pct, r.level) for r in ingest.read_spikes(spark, f"{root}/out").collect()}
     batch = {(r.debut, r.n, r.previous, r.change_pct, r.level) for r in ingest.spikes(ingest.windowed_counts(events, "kind")).collect()}
     assert streamed == batch
     assert sorted(r[4] for r in streamed) == ["CRITICAL", "NORMAL", "WARNING"]
+
+
+def test_state_stays_bounded_and_late_rows_are_dropped(spark):
+    """A file a day, one batch a file: open windows only, whatever the number of days, and after a restart."""
+    root = scratch_path(spark, "days")
+    start = datetime(2024, 1, 1)
+
+    def land(name, rows):
+        spark.createDataFrame(rows, "ts timestamp, kind string").coalesce(1).write.parquet(f"{root}/events/{name}")
+
+    def run():
+        stream = spark.readStream.schema("ts timestamp, kind string").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(f"{root}/events")
+        query = ingest.stream_spikes(stream, "kind", f"{root}/out", f"{root}/state")
+        return [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+
+    for day in range(12):
+        land(f"a{day:02d}", [(start + timedelta(days=day, minutes=i), "x") for i in range(day + 1)])
+        if day == 5:
+            first = run()
+    sizes = first + run()  # the second run goes on from the checkpoint
+    land("late", [(start, "x")] * 50)
+    run()
+    assert max(sizes) <= 4
+    counts = {r.debut: r.n for r in ingest.read_spikes(spark, f"{root}/out").collect()}
+    assert counts == {start + timedelta(days=d): d + 1 for d in range(1, 12)}
