@@ -33,8 +33,8 @@ EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 @dataclass(frozen=True)
 class Settings:
-    per_class: int = 2000  # bound of the labelled sample, for each class
-    max_chars: int = 20_000  # of a sample text; scoring always reads whole texts
+    per_class: int = 1200  # bound of the labelled sample, for each class
+    max_chars: int = 5000  # of a sample text; scoring always reads whole texts
     buckets: int = 1 << 18  # of the hashed features
     evidence: float = 25.0  # least likelihood-ratio statistic of a tagging feature
     purity: float = 0.9  # least share of a tagging feature's class-balanced mass in toxic documents
@@ -165,14 +165,20 @@ def _train(vocabulary: Vocabulary, rows, first, tags, settings: Settings):
     bias_size = 0.0
     pair_size, start_size = np.zeros((2, 2)), np.zeros(2)
     positive = max(1.0, float(tags.sum()))
+    begins = np.flatnonzero(first)
+    cuts = [*begins[np.unique(np.searchsorted(begins, np.arange(0, len(rows), 1 << 17)).clip(max=len(begins) - 1))], len(rows)]
+    parts = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:]) if b > a]  # whole sequences, to bound memory
     for _ in range(settings.steps):  # full gradient, AdaGrad step sizes
         word_score = np.bincount(owner, weights[flat], minlength=len(vocabulary.ids)) + bias
-        d_unary, d_start, d_moves = chain.log_likelihood_gradient(word_score[rows], first, start, moves, tags)
-        per_word = np.bincount(rows, d_unary, minlength=len(vocabulary.ids))
+        per_word, d_start, d_moves, d_bias = np.zeros(len(vocabulary.ids)), np.zeros(2), np.zeros((2, 2)), 0.0
+        for part in parts:
+            d_unary, by_start, by_moves = chain.log_likelihood_gradient(word_score[rows[part]], first[part], start, moves, tags[part])
+            per_word += np.bincount(rows[part], d_unary, minlength=len(vocabulary.ids))
+            d_start, d_moves, d_bias = d_start + by_start, d_moves + by_moves, d_bias + d_unary.sum()
         g = np.bincount(flat, per_word[owner], minlength=settings.buckets) / positive - settings.ridge * weights
         size += g * g
         weights += 0.5 * g / (np.sqrt(size) + 1e-6) * (np.abs(g) > 1e-9)
-        g = d_unary.sum() / positive
+        g = d_bias / positive
         bias_size += g * g
         bias += 0.5 * g / (np.sqrt(bias_size) + 1e-6)
         for value, grad, held in ((start, d_start / positive, start_size), (moves, d_moves / positive, pair_size)):
