@@ -44,6 +44,7 @@ RULES = (
     Rule("signed_token", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
 )
 LEDGER = "blob string, rule string, version int, spans array<struct<start:bigint,end:bigint>>"
+SALTS = 32  # parts that the rows of one blob are dealt to
 NO_SPANS = "cast(array() as array<struct<start:bigint,end:bigint>>)"
 
 
@@ -115,8 +116,10 @@ def findings(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 def joined(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``__spans`` of every row's blob; an empty list where there are none."""
     none = F.expr("cast(array() as array<struct<start:bigint,rank:int,kind:string,end:bigint>>)")
-    blobs = found.select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
-    return docs.withColumn("__blob", address(text)).join(blobs, "__blob", "left").withColumn("__spans", F.coalesce("__spans", none)).drop("__blob")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))  # findings are few; rows of one blob may be many
+    blobs = found.select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"), salts.alias("__salt"))
+    salted = docs.withColumn("__blob", address(text)).withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    return salted.join(blobs, ["__blob", "__salt"], "left").withColumn("__spans", F.coalesce("__spans", none)).drop("__blob", "__salt")
 
 
 def written(spans: str, kinds: list[str] | None = None) -> Column:
