@@ -10,6 +10,7 @@ import duckdb
 
 from harmlens.plans import REGISTRY
 from harmlens.session import local_session
+from harmlens.workspace import clear_scratch
 
 BASE = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
         "labels conversations").split()
@@ -80,6 +81,7 @@ def main() -> int:
             continue
         empty = " EMPTY" if not mine else ""
         print(f"ok    {name}: {len(mine)} rows {took:.1f}s{empty}", flush=True)
+    clear_scratch(spark)
     print("bad:", bad)
     return bad
 

@@ -164,16 +164,16 @@ INDUSTRY = Dimension(
 
 # Sector crosswalk, in match order.
 SECTOR_CROSSWALK = Dimension(
-    ("ord", "code", "scian", "naics", "nace", "name_fr", "name_en"),
+    ("ord", "code", "scian", "naics", "nace", "name_fr", "name_en", "name_de"),
     (
-        (1, "221122", "221122", "221122", "D35.13", "Distribution d'électricité", "Electric power distribution"),
-        (2, "23", "23", "23", "F41-43", "Construction", "Construction"),
-        (3, "31-33", "31-33", "31-33", "C10-33", "Fabrication", "Manufacturing"),
-        (4, "62", "62", "62", "Q86-88", "Soins de santé et assistance sociale", "Health care and social assistance"),
-        (5, "48-49", "48-49", "48-49", "H49-53", "Transport et entreposage", "Transportation and warehousing"),
-        (6, "21", "21", "21", "B05-09", "Extraction minière", "Mining and quarrying"),
-        (7, "11", "11", "11", "A01-03", "Agriculture, foresterie", "Agriculture, forestry"),
-        (8, "44-45", "44-45", "44-45", "G47", "Commerce de détail", "Retail trade"),
+        (1, "221122", "221122", "221122", "D35.13", "Distribution d'électricité", "Electric power distribution", "Elektrizitätsverteilung"),
+        (2, "23", "23", "23", "F41-43", "Construction", "Construction", "Baugewerbe"),
+        (3, "31-33", "31-33", "31-33", "C10-33", "Fabrication", "Manufacturing", "Verarbeitendes Gewerbe"),
+        (4, "62", "62", "62", "Q86-88", "Soins de santé et assistance sociale", "Health care and social assistance", "Gesundheits- und Sozialwesen"),
+        (5, "48-49", "48-49", "48-49", "H49-53", "Transport et entreposage", "Transportation and warehousing", "Verkehr und Lagerei"),
+        (6, "21", "21", "21", "B05-09", "Extraction minière", "Mining and quarrying", "Bergbau"),
+        (7, "11", "11", "11", "A01-03", "Agriculture, foresterie", "Agriculture, forestry", "Land- und Forstwirtschaft"),
+        (8, "44-45", "44-45", "44-45", "G47", "Commerce de détail", "Retail trade", "Einzelhandel"),
     ),
 )
 

@@ -252,13 +252,13 @@ def attempt_mixed(records: DataFrame, as_of: date, record: str = "record") -> Da
     """
     r = F.col("r")
     fields = F.array_join(F.transform(F.array_sort(F.map_keys(r)), lambda k: F.concat(k, F.lit("="), r[k])), "|")
-    rows = records.select(F.col(record).alias("r"), detect_record(F.col(record)).alias("src"))
+    # generators keep the optimizer from copying the detection and the branches into every use of their columns
+    rows = records.select(F.col(record).alias("r"), F.inline(F.array(F.struct(detect_record(F.col(record)).alias("src")))))
     chosen = F
     for source, prepare in PREPARE.items():
         values = prepare(from_map(r))
         own = F.struct(*[values.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in PREPARED.items()])
         chosen = chosen.when(F.col("src") == source, own)
-    # a generator keeps the optimizer from copying the branches into every use of a column
     prepared = rows.select("src", F.to_json(r).alias("_source_record"), fields.alias("_fields"), F.inline(F.array(chosen)))
     return unify(prepared, as_of)
 

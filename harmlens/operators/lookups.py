@@ -137,7 +137,7 @@ def sector_crosswalk(df: DataFrame, key: str = "scian", prefix: str = "sector_")
     """
     code = F.col(key)
     default = {"scian": code, "naics": code, "nace": F.lit("UNKNOWN"),
-               "name_fr": F.lit("Non classé"), "name_en": F.lit("Unclassified")}
+               "name_fr": F.lit("Non classé"), "name_en": F.lit("Unclassified"), "name_de": F.lit(None).cast("string")}
     return prefix_lookup(df, dims.SECTOR_CROSSWALK, key, default=default, prefix=prefix)
 
 

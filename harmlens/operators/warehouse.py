@@ -16,6 +16,7 @@ from harmlens.functions import dims
 from harmlens.functions.exprs import row_count
 from harmlens.operators.windows import order_nulls_last
 from harmlens.schemas import BATCH_LOG, SOURCE_STATUS, struct
+from harmlens.workspace import cut_lineage
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], on_create: dict[str, Column], on_match: dict[str, Column]) -> DataFrame:
@@ -77,23 +78,25 @@ def batch_log(loaded: DataFrame, batch: str, as_of: datetime) -> DataFrame:
 def unique_rows(df: DataFrame, keys: Sequence[str], existing: DataFrame | None = None) -> DataFrame:
     """One row per key, the smallest by its remaining columns, and none already stored.
 
-    ``min`` over a struct combines map-side, so a key holding a third of all
-    rows still reaches the final task as one row per input task.
+    Equal rows are counted first, by hash; only distinct rows meet the minimum, so a
+    key holding a third of all rows neither sorts nor gathers them.
     """
     rest = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__best"), row_count().alias("copies"))
+    counted = df.groupBy(*df.columns).agg(row_count().alias("copies"))
+    best = counted.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__best"), F.sum("copies").alias("copies"))
     out = best.select(*keys, "__best.*", "copies")
-    return out if existing is None else out.join(existing.select(*keys), list(keys), "left_anti")
+    return out if existing is None else out.join(existing.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def rejected_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The rows that lost, each distinct row once with how many copies were turned away.
 
-    Equal rows are counted before anything is joined, and the join only meets
-    distinct rows; AQE splits it where one key still dominates.
+    The input is read once: equal rows are counted by hash and stored, and the
+    minimum and the join only meet distinct rows; AQE splits the join where one
+    key still dominates.
     """
     rest = [c for c in df.columns if c not in keys]
-    counted = df.groupBy(*keys, F.struct(*rest).alias("__row")).agg(row_count().alias("copies"))
+    counted = cut_lineage(df.groupBy(*df.columns).agg(row_count().alias("copies"))).select(*keys, F.struct(*rest).alias("__row"), "copies")
     best = counted.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.min("__row").alias("__best"))
     joined = counted.join(best, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
     left = F.col("copies") - F.when(F.col("__row") == F.col("__best"), 1).otherwise(0)

@@ -220,9 +220,14 @@ def _(t):
     return feat.regress_severity(establishment_features(t), key=ESTABLISHMENT_KEY).drop("rmse")
 
 
-@query("f37_incident_forecast", FORECAST, fit=FIT)
+CASE_YEAR = "SELECT industry_description AS secteur_scian, year AS annee, CAST(SUM(total_cases) AS BIGINT) AS n FROM osha_injuries GROUP BY 1, 2"
+
+
+@query("f37_incident_forecast", FORECAST, fit=FIT.replace("sector_year", "case_year"), case_year=CASE_YEAR)
 def _(t):
-    return out.forecast(enr.sector_years(t.lesions))
+    # the reported cases of each industry, by year
+    years = t.osha_injuries.groupBy(F.col("industry_description").alias("secteur_scian"), F.col("year").alias("annee")).agg(F.sum("total_cases").alias("n"))
+    return out.forecast(years)
 
 
 MONTHLY = f"""SELECT cle, mois, n, {ratio('n * months', 'total', 1, 4)} AS seasonal_index FROM (SELECT *, SUM(n) OVER (PARTITION BY cle) AS total,

@@ -255,7 +255,7 @@ def _(t):
 
 
 SECTOR = """SELECT code0 AS scian, COALESCE(d.scian, code0) AS sector_scian, COALESCE(d.naics, code0) AS sector_naics, COALESCE(d.nace, 'UNKNOWN') AS sector_nace,
-  COALESCE(d.name_fr, 'Non classé') AS sector_name_fr, COALESCE(d.name_en, 'Unclassified') AS sector_name_en FROM (
+  COALESCE(d.name_fr, 'Non classé') AS sector_name_fr, COALESCE(d.name_en, 'Unclassified') AS sector_name_en, d.name_de AS sector_name_de FROM (
   SELECT c.code0, COALESCE((SELECT ord FROM dim_sector_crosswalk x WHERE x.code = c.code0),
     (SELECT MIN(ord) FROM dim_sector_crosswalk x WHERE starts_with(c.code0, x.code) OR starts_with(x.code, c.code0))) AS o
   FROM codes c) LEFT JOIN dim_sector_crosswalk d ON d.ord = o"""
@@ -316,15 +316,15 @@ def _(t):
     return flat_of(t)
 
 
-@query("h21_dublin_core", """
-SELECT id, dc_title AS title, sector_name_fr || '|' || injury_name_fr AS subject, 'Incident SST dans le secteur ' || sector_name_fr AS description,
-  'fr-CA' AS language, 'cnesst' AS source FROM flat""", **FLAT_PARTS)
+DUBLIN = {"title": "dc_title", "creator": "dc_creator", "subject": "sector_name_fr || '|' || injury_name_fr", "description": "'Incident SST dans le secteur ' || sector_name_fr",
+          "date": "dc_date", "type": "'Dataset'", "format": "'application/json'", "identifier": "id", "source": "'cnesst'", "language": "'fr-CA'", "coverage": "dc_coverage", "rights": "dc_rights"}
+
+
+@query("h21_dublin_core", "SELECT id, " + ", ".join(f"{value} AS dc_{name}" for name, value in DUBLIN.items()) + " FROM flat", **FLAT_PARTS)
 def _(t):
-    doc = F.from_json("dublin_core", "map<string, string>")
-    rows = har.dublin_core(flat_of(t)).select("id", doc.alias("d"))
-    return rows.select("id", F.col("d")["dc:title"].alias("title"),
-                       F.array_join(F.from_json(F.col("d")["dc:subject"], "array<string>"), "|").alias("subject"),
-                       F.col("d")["dc:description"].alias("description"), F.col("d")["dc:language"].alias("language"), F.col("d")["dc:source"].alias("source"))
+    rows = har.dublin_core(flat_of(t)).select("id", F.from_json("dublin_core", "map<string, string>").alias("d"))
+    text = lambda name: F.array_join(F.from_json(F.col("d")["dc:subject"], "array<string>"), "|") if name == "subject" else F.col("d")[f"dc:{name}"]
+    return rows.select("id", *[text(name).alias(f"dc_{name}") for name in DUBLIN])
 
 
 @query("k09_graph_statements", """
@@ -336,12 +336,15 @@ def _(t):
     return har.graph_statement(flat_of(t))
 
 
-@query("j01_lookup_default", INDUSTRY_SQL)
+@query("j01_lookup_default", """
+SELECT c.scian, c.annee, COALESCE(d.name_en, 'other') AS name_en, CAST(SUM(c.nombre_lesions) AS BIGINT) AS cases FROM cnesst_lesions c
+LEFT JOIN (SELECT * FROM dim_sector_crosswalk WHERE scian NOT IN ('23', '62')) d ON d.code = c.scian GROUP BY 1, 2, 3""")
 def _(t):
     from harmlens.functions import dims
 
-    found = lk.lookup(t.osha_records, dims.INDUSTRY, "naics_code", default={"nace": "", "isic": "", "label": ""})
-    return counts_by(found, ["naics_code", "nace", "isic", "label"])
+    some = dims.Dimension(dims.SECTOR_CROSSWALK.columns[1:], tuple(r[1:] for r in dims.SECTOR_CROSSWALK.rows if r[1] not in ("23", "62")))
+    found = lk.lookup(t.cnesst_lesions, some, "scian", default={"name_en": "other"}, prefix="d_")
+    return found.groupBy("scian", "annee", F.col("d_name_en").alias("name_en")).agg(F.sum("nombre_lesions").alias("cases"))
 
 
 @query("j02_lookup_fallbacks", """

@@ -19,7 +19,7 @@ from harmlens.operators import warehouse as wh
 from harmlens.plans.oracle import ratio
 from harmlens.plans.q_advisors import FEATURE_INPUT, FEATURES, feature_input
 from harmlens.plans.q_harmonize import PARTS as HPARTS
-from harmlens.plans.q_harmonize import malformed_input
+from harmlens.plans.q_harmonize import flatten, malformed_input
 from harmlens.plans.q_sectors import BASE as FBASE
 from harmlens.plans.q_sectors import STEPS
 from harmlens.plans.registry import query
@@ -90,22 +90,17 @@ CUBE = """SELECT COALESCE(country_code, 'none') AS geo, country_name AS geo_labe
 
 
 def cube_documents(t):
-    """One JSON-stat cube over country and year, built from the table; labels are given for countries only."""
+    """JSON-stat cubes over country and year, one document per year; labels are given for countries only."""
     cells = t.esaw.groupBy(F.coalesce("country_code", F.lit("none")).alias("geo"), "country_name", F.col("year").cast("string").alias("time")).agg(
         F.sum(F.col("incident_count").cast("bigint")).cast("double").alias("value"))
-    geos = F.array_sort(F.collect_set(F.struct("geo", "country_name")))
-    times = F.array_sort(F.collect_set("time"))
-    axes = cells.agg(F.struct(geos.alias("g"), times.alias("y")).alias("axes")).scalar()  # two bounded code lists
-    at = cells.withColumn("axes", axes).select("*", "axes.*").select(
-        "g", "y", ((F.array_position(F.transform("g", lambda e: e["geo"]), F.col("geo")) - 1) * F.size("y")
-                   + F.array_position("y", F.col("time")) - 1).cast("string").alias("k"), "value")
+    rows = cells.groupBy("time").agg(F.array_sort(F.collect_list(F.struct("geo", "country_name", "value"))).alias("g"))
     indexed = lambda items: F.map_from_entries(F.transform(items, lambda e, i: F.struct(e, i)))
-    codes = F.transform("g", lambda e: e["geo"])
     none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
-    return at.groupBy("g", "y").agg(F.map_from_entries(F.collect_list(F.struct("k", "value"))).alias("value")).select(
-        F.create_map(
-            F.lit("geo"), F.struct(F.struct(indexed(codes).alias("index"), F.map_from_entries(F.transform("g", lambda e: F.struct(e["geo"], e["country_name"]))).alias("label")).alias("category")),
-            F.lit("time"), F.struct(F.struct(indexed(F.col("y")).alias("index"), none.alias("label")).alias("category"))).alias("dimension"), "value")
+    geo = F.struct(F.struct(indexed(F.transform("g", lambda e: e["geo"])).alias("index"),
+                            F.map_from_entries(F.transform("g", lambda e: F.struct(e["geo"], e["country_name"]))).alias("label")).alias("category"))
+    time = F.struct(F.struct(indexed(F.array("time")).alias("index"), none.alias("label")).alias("category"))
+    return rows.select(F.create_map(F.lit("geo"), geo, F.lit("time"), time).alias("dimension"),
+                       F.map_from_entries(F.transform("g", lambda e, i: F.struct(i.cast("string"), e["value"]))).alias("value"))
 
 
 def cube_of(t):
@@ -257,13 +252,12 @@ def _(t):
     return agg.counts_by(stored, ["jurisdiction", "source", "run", "industry_code"])
 
 
-@query("k04_save_json", "SELECT domain, source_system, COUNT(*) AS n FROM osha_unified GROUP BY 1, 2", **HPARTS)
+@query("k04_save_json", "SELECT * FROM osha_unified", **HPARTS)
 def _(t):
     path = scratch_path(t.spark, "json")
-    layers.save_json(har.transform_osha(t.osha_records, DAY), path)
-    stored = t.spark.read.json(path)
-    return agg.counts_by(stored.select(F.col("hazard_classification.unified.domain_code").alias("domain"),
-                                       F.col("data_provenance.source_system").alias("source_system")), ["domain", "source_system"])
+    unified = har.transform_osha(t.osha_records, DAY)
+    layers.save_json(unified, path)
+    return flatten(t.spark.read.schema(unified.drop("_source_record").schema).json(path))
 
 
 @query("k05_export_csv", "SELECT source, CAST(year AS STRING) AS year, sector, CAST(total_cases AS STRING) AS total_cases, risk_category FROM features",
@@ -465,6 +459,14 @@ def _(t):
     return wh.unique_rows(t.incidents_global, KEYS)
 
 
+@query("t03_new_rows", """
+SELECT * EXCLUDE rn FROM (SELECT incident_id, source, jurisdiction, year, industry_code, incident_type, days_lost, COUNT(*) OVER (PARTITION BY incident_id, source) AS copies,
+  ROW_NUMBER() OVER (PARTITION BY incident_id, source ORDER BY jurisdiction, year, industry_code NULLS FIRST, incident_type, days_lost) AS rn FROM incidents_global) u
+WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM incidents_global s WHERE s.incident_id = u.incident_id AND s.source = u.source AND s.incident_type <> 'non-fatal')""")
+def _(t):
+    return wh.unique_rows(t.incidents_global, KEYS, existing=t.incidents_global.filter("incident_type <> 'non-fatal'"))
+
+
 @query("t03_rejected_rows", """
 SELECT incident_id, source, jurisdiction, year, industry_code, incident_type, days_lost, COUNT(*) AS rejected FROM (SELECT *,
   ROW_NUMBER() OVER (PARTITION BY incident_id, source ORDER BY jurisdiction, year, industry_code NULLS FIRST, incident_type, days_lost) AS rn FROM incidents_global)

@@ -16,6 +16,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # no Python call-site capture for every column expression
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_SCRATCH: dict[str, list[str]] = {}  # by application
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -27,8 +28,22 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no other run uses; ``clear_scratch`` removes it."""
+    path = f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove the scratch folders of this application, at the end of a job; the number of folders that were there.
+
+    Checkpoints go with ``spark.cleaner.referenceTracking.cleanCheckpoints``, once nothing refers to them.
+    """
+    removed = 0
+    for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        removed += place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return removed
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
