@@ -2,10 +2,11 @@
 
 Texts with equal shingle sets are collapsed first, so that copies cost one row each. Band keys of the
 remaining sets give candidates. Verification is in two steps. Each document is compared with one leader of
-its buckets, the one with which it shares most bands; that settles nearly all of a group in one comparison a
-document. Then only pairs that share a bucket but not yet a component are compared, and of those only
-documents that still can have a link: a document all of whose partners must share more shingles than it has
-in common with other components drops out. Both steps count the exact intersection of full sets.
+its buckets, the one with which it shares most bands; that settles most of a group in one comparison a document.
+Then only documents that share a bucket but not yet a component are compared, and of those only the ones that
+still can have a link: a document that has fewer shingles in common with other components than any link asks
+for drops out. The rest is compared tile by tile. Both steps count the exact intersection of full sets, and
+neither sends more than one row a document and tile.
 
 A text without words, null included, has an empty set: it links with nothing and is kept. Rows with a null
 id are not linked and are kept; rows that share an id are one node. Extra columns are ignored.
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harmlens.llm.batches import U64, Texts, mix, slices, take_arrays, texts_of
-from harmlens.llm.links import components
+from harmlens.llm.links import components, least_reached
 from harmlens.llm.super_minhash import band_keys, signatures
 from harmlens.workspace import cut_lineage
 
@@ -33,6 +34,7 @@ class Settings:
     percent: int = 80  # least similarity of linked sets
     bands: int = 42
     rows: int = 6
+    tile_shingles: int = 60_000  # size of the tiles that are compared as a whole
 
 
 def shingle_sets(held: Texts, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,8 +110,12 @@ def _linked(percent: int) -> str:
 
 def verified_links(docs: DataFrame, buckets: DataFrame, settings: Settings) -> DataFrame:
     """Links (a, b) that connect exactly the documents of ``buckets`` (key, id, n) that chains of links connect."""
-    # step 1: each document against the leader with which it shares most buckets
-    heads = buckets.groupBy("key").agg(F.min("id").alias("leader"))
+    # step 1: each document against the leader with which it shares most buckets; a bucket's leader is the member
+    # that meets most others in all its buckets, so it lies in the middle of its group
+    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    meets = buckets.join(sizes, "key").groupBy("id").agg(F.sum("size").alias("meets"))
+    ranked = buckets.select("key", "id").join(meets, "id")
+    heads = ranked.groupBy("key").agg(F.max(F.struct("meets", (-F.col("id")).alias("minus"))).alias("m")).select("key", (-F.col("m.minus")).alias("leader"))
     shared = buckets.join(heads, "key").groupBy("id", "leader").agg(F.count(F.lit(1)).alias("times"))
     best = shared.filter("id != leader").groupBy("id").agg(F.max(F.struct("times", (-F.col("leader")).alias("minus"))).alias("m"))
     lead = buckets.select("id").distinct().join(best.select("id", (-F.col("m.minus")).alias("leader")), "id", "left")
@@ -126,16 +132,75 @@ def verified_links(docs: DataFrame, buckets: DataFrame, settings: Settings) -> D
     mixed = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("n").alias("least")).filter("lo != hi")
     rest = cut_lineage(placed.join(mixed.select("key", "least"), "key"))
     able = _able(rest, sets, settings)
-    left = rest.join(able, "id").select("key", "id", "n", "c")
-    right = left.select("key", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("c").alias("c2"))
-    sized = f"100 * least(n, n2) >= {settings.percent} * greatest(n, n2)"
-    pairs = left.join(right, "key").filter(f"id < id2 and c != c2 and {sized}").select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
-    known = tested.selectExpr("least(a, b) as a", "greatest(a, b) as b")
-    pairs = cut_lineage(pairs.join(known, ["a", "b"], "left_anti"))
-    one = sets.select(F.col("id").alias("a"), F.col("hashes").alias("x"))
-    two = sets.select(F.col("id").alias("b"), F.col("hashes").alias("y"))
-    more = pairs.join(one, "a").join(two, "b").filter(_linked(settings.percent)).select("a", "b")
-    return links.unionByName(more)
+    return links.unionByName(_tile_links(rest.join(able, "id"), sets, settings))
+
+
+def _tile_links(rest: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Links (id, smallest id reached) among documents that share buckets, from tile products of full sets.
+
+    Documents chained by buckets form a family, dealt to tiles of bounded size; each pair of a family's tiles is
+    compared in one task, which sends a row for each linked document and never pairs.
+    """
+    heads = rest.groupBy("key").agg(F.min("id").alias("a"))
+    family = components(rest.join(heads, "key").select("a", F.col("id").alias("b")))
+    members = sets.join(family, "id").select("id", "hashes", F.col("component").alias("family"))
+    weight = members.groupBy("family").agg(F.ceil(F.sum(F.size("hashes")) / settings.tile_shingles).alias("tiles"))
+    dealt = members.join(weight, "family").withColumn("tile", F.pmod(F.xxhash64("id"), "tiles"))
+    tiles = cut_lineage(dealt.select("family", "tile", "id", "hashes").groupBy("family", "tile").applyInArrow(_pack, TILE))
+    side = tiles.select("family", "tile")
+    pairs = side.join(side.withColumnRenamed("tile", "tile2"), "family").filter("tile <= tile2")
+    other = tiles.select("family", *(F.col(c).alias(f"{c}2") for c in ("tile", "ids", "counts", "hashes")))
+    work = pairs.join(tiles, ["family", "tile"]).join(other, ["family", "tile2"])
+    return work.drop("family").mapInArrow(_compare(settings.percent), "a bigint, b bigint")
+
+
+TILE = "family bigint, tile bigint, ids binary, counts binary, hashes binary"
+
+
+def _pack(group: pa.Table) -> pa.Table:
+    """One row per tile: ids, set sizes and all hashes, one set after the other."""
+    sets = group.column("hashes").combine_chunks()
+    first = {c: pa.array([group.column(c)[0].as_py()], pa.int64()) for c in ("family", "tile")}
+    parts = {"ids": group.column("id").to_numpy(), "counts": np.diff(sets.offsets.to_numpy()), "hashes": sets.flatten().to_numpy(zero_copy_only=False)}
+    return pa.table({**first, **{c: pa.array([v.astype("<i8").tobytes()], pa.binary()) for c, v in parts.items()}})
+
+
+def common_counts(a: np.ndarray, rows_a: np.ndarray, n_a: int, b: np.ndarray, rows_b: np.ndarray, n_b: int, block: int = 4096) -> np.ndarray:
+    """Size of the intersection of each set of one group with each of another, by products of 0/1 matrices."""
+    shared = np.intersect1d(a, b)
+    out = np.zeros((n_a, n_b), dtype=np.float32)  # whole numbers below 2 ** 24 are exact
+    at_a, at_b = np.searchsorted(shared, a), np.searchsorted(shared, b)
+    hit_a = (at_a < len(shared)) & (np.append(shared, 0)[at_a] == a)
+    hit_b = (at_b < len(shared)) & (np.append(shared, 0)[at_b] == b)
+    for low in range(0, len(shared), block):
+        sides = []
+        for at, hit, rows, n in ((at_a, hit_a, rows_a, n_a), (at_b, hit_b, rows_b, n_b)):
+            use = hit & (at >= low) & (at < low + block)
+            side = np.zeros((n, min(block, len(shared) - low)), dtype=np.float32)
+            side[rows[use], at[use] - low] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _compare(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                at = {name: batch.column(k)[i].as_py() for k, name in enumerate(batch.schema.names)}
+                read = lambda name: np.frombuffer(at[name], dtype="<i8")
+                sides = [(read(f"ids{s}"), read(f"counts{s}"), read(f"hashes{s}")) for s in ("", "2")]
+                (ids_a, n_a, a), (ids_b, n_b, b) = sides
+                same = at["tile"] == at["tile2"]
+                common = common_counts(a, np.repeat(np.arange(len(n_a)), n_a), len(n_a), b, np.repeat(np.arange(len(n_b)), n_b), len(n_b))
+                linked = (100 + percent) * common.astype(np.int64) >= percent * (n_a[:, None] + n_b[None, :])
+                if same:
+                    np.fill_diagonal(linked, False)
+                to_a, to_b = least_reached(linked, ids_a, ids_b)
+                ids, to = (ids_a, to_a) if same else (np.concatenate([ids_a, ids_b]), np.concatenate([to_a, to_b]))
+                yield pa.RecordBatch.from_arrays([pa.array(to[to < ids]), pa.array(ids[to < ids])], names=["a", "b"])
+
+    return run
 
 
 def _able(rest: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:

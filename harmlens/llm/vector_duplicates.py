@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from harmlens.llm.links import components
+from harmlens.llm.links import components, least_reached
 from harmlens.workspace import cut_lineage
 
 SLACK = 1e-9  # above every rounding error of the bounds
@@ -125,22 +125,6 @@ def tile_links(a: np.ndarray, b: np.ndarray, threshold: float, same: bool) -> np
     return linked
 
 
-def least_reached(linked: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Smallest id that each vector reaches over the links of a tile pair."""
-    a, b = ids_a.copy(), ids_b.copy()
-    top = np.iinfo(np.int64).max
-    rows, cols = np.flatnonzero(linked.any(axis=1)), np.flatnonzero(linked.any(axis=0))
-    if not len(rows):
-        return a, b
-    part = linked[np.ix_(rows, cols)]
-    while True:
-        new_b = np.minimum(b[cols], np.where(part, a[rows][:, None], top).min(axis=0))
-        new_a = np.minimum(a[rows], np.where(part, new_b[None, :], top).min(axis=1))
-        if (new_a == a[rows]).all() and (new_b == b[cols]).all():
-            return a, b
-        a[rows], b[cols] = new_a, new_b
-
-
 def _compare(settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
