@@ -16,10 +16,12 @@ from __future__ import annotations
 
 import os
 import struct
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import chain
+from itertools import accumulate, chain
+from operator import eq
 
 import numpy as np
 import public_tokenizers
@@ -162,7 +164,7 @@ def _words(text: str) -> list[str]:
 
 
 class Encoder:
-    """Ids of texts by way of distinct words."""
+    """Ids of texts by way of distinct words, which are numbered as they appear."""
 
     def __init__(self, path: str, bound: int = 400_000, threads: int | None = None):
         threads = threads or int(os.environ.get("OMP_NUM_THREADS") or 1)  # Spark sets it to a task's cores
@@ -170,50 +172,52 @@ class Encoder:
         os.environ["RAYON_NUM_THREADS"] = str(threads)
         self.model, self.tokenizer, self.reference = loaded(path)
         self.bound, self.threads, self.by_words = bound, threads, self.model.by_words
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.differ: set[str] = set()  # words whose ids are not the library's
-        self.lossy: set[str] = set()  # words that decoding changes
+        self.surface = [piece if kind == NORMAL else "\0" for piece, _, kind in self.model.pieces]
+        self._forget()
 
-    def _learn(self, texts: list[str]) -> list[tuple[tuple[int, ...], bool, bool]]:
-        own = [tuple(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        theirs = self.reference.encode(texts, num_threads=self.threads)
-        back = self.decode(own)
-        return [(a, a == tuple(b), c == t) for a, b, c, t in zip(own, theirs, back, texts)]
-
-    def decode(self, ids: list[tuple[int, ...]]) -> list[str]:
-        return self.tokenizer.decode_batch([list(i) for i in ids], skip_special_tokens=False)
-
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, bool, bool]]:
-        """Ids, parity with the library, and whether decoding gives the text back.
+    def _forget(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.ids, self.ends = array("i"), array("q", [0])
+        self.agree, self.same = bytearray(), bytearray()  # with the library's ids; with the word when decoded
 
-        Texts that end in a space or hold the marker itself are encoded whole.
+    def _learn(self, keys: list[str]) -> None:
+        texts = [k[1:] if k[0:1] == MARK else k for k in keys]
+        own = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        theirs = self.reference.encode(texts, num_threads=self.threads)
+        # without byte pieces and with a marked start, decoding joins the pieces; the rest takes the decoder
+        surface = self.surface.__getitem__
+        joined = ["".join(map(surface, ids)) for ids in own]
+        simple = [self.by_words and j == MARK + t.replace(" ", MARK) and "\0" not in j and MARK not in t for j, t in zip(joined, texts)]
+        back = iter(self.decode([ids for ids, s in zip(own, simple) if not s]))
+        self.agree.extend(map(eq, own, theirs))
+        self.same.extend(s or next(back) == t for s, t in zip(simple, texts))
+        first = len(self.numbers)
+        self.numbers.update(zip(keys, range(first, first + len(keys))))
+        self.ids.extend(chain.from_iterable(own))
+        self.ends.extend(accumulate(map(len, own), initial=self.ends.pop()))
+
+    def decode(self, ids: list[list[int]]) -> list[str]:
+        return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """All ids, where each text's end, parity with the library, and whether decoding gives the text back.
+
+        Texts that end in a space or hold the marker are encoded whole, under the marker and the text.
         """
-        apart = [self.by_words and bool(t) and MARK not in t and t[-1] != " " for t in texts]
-        split = [_words(t) if a else [] for t, a in zip(texts, apart)]
-        if len(self.known) > self.bound:
-            for held in (self.known, self.differ, self.lossy):
-                held.clear()
-        new = list(set(chain.from_iterable(split)) - self.known.keys())
+        split = [[] if not t else _words(t) if self.by_words and MARK not in t and t[-1] != " " else [MARK + t] for t in texts]
+        if len(self.numbers) > self.bound:
+            self._forget()
+        new = list(set(chain.from_iterable(split)) - self.numbers.keys())
         for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for word, (ids, parity, same) in zip(part, self._learn(part)):
-                self.known[word] = ids
-                if not parity:
-                    self.differ.add(word)
-                if not same:
-                    self.lossy.add(word)
-        whole = iter(self._learn([t for t, a in zip(texts, apart) if t and not a]))
-        out = []
-        for text, words, a in zip(texts, split, apart):
-            if not text:
-                out.append((np.zeros(0, np.int32), True, True))
-            elif not a:
-                ids, parity, same = next(whole)
-                out.append((np.array(ids, np.int32), parity, same))
-            else:
-                flat = list(chain.from_iterable(map(self.known.__getitem__, words)))
-                out.append((np.array(flat, np.int32), self.differ.isdisjoint(words), self.lossy.isdisjoint(words)))
-        return out
+            self._learn(new[at : at + 4096])
+        words = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(split)), dtype=np.int64)
+        ends = np.array(self.ends, dtype=np.int64)
+        begin, length = ends[words], ends[words + 1] - ends[words]
+        stops = np.cumsum(length)
+        place = np.repeat(begin - (stops - length), length) + np.arange(stops[-1] if len(stops) else 0)
+        per_text = np.concatenate([[0], np.cumsum([len(w) for w in split])]).astype(np.int64)
+        whole = lambda flags: np.diff(np.concatenate([[0], np.cumsum(1 - np.frombuffer(bytes(flags), dtype=np.int8)[words].astype(np.int64))])[per_text]) == 0
+        return np.array(self.ids, dtype=np.int32)[place], np.concatenate([[0], stops])[per_text], whole(self.agree), whole(self.same)
 
 
 @lru_cache(maxsize=1)
@@ -227,10 +231,8 @@ def encoded(docs: DataFrame, path: str = MODEL, text: str = "text") -> DataFrame
 
     def scorer() -> Callable[[pa.Array], list]:
         def score(column: pa.Array) -> list:
-            found = encoder(path).encode([t or "" for t in column.to_pylist()])
-            ends = np.concatenate([[0], np.cumsum([len(ids) for ids, _, _ in found])])
-            flat = np.concatenate([ids for ids, _, _ in found]) if found else np.zeros(0, np.int32)
-            return [take_arrays(flat, ends, pa.int32()), [p for _, p, _ in found], [s for _, _, s in found]]
+            ids, ends, agree, same = encoder(path).encode([t or "" for t in column.to_pylist()])
+            return [take_arrays(ids, ends, pa.int32()), agree, same]
 
         return score
 
@@ -247,7 +249,7 @@ def decoded(rows: DataFrame, ids: str = "ids", path: str = MODEL) -> DataFrame:
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
-                texts = encoder(path).decode([tuple(i or ()) for i in part.column(at).to_pylist()])
+                texts = encoder(path).decode([i or [] for i in part.column(at).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*names, "__text"])
 
     return rows.mapInArrow(run, schema)
