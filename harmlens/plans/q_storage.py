@@ -292,17 +292,30 @@ def _(t):
     return agg.counts_by(t.spark.read.parquet(root), ["source", "risk_category"])
 
 
-@query("k10_enrichment_json", """
-SELECT p.secteur_scian, p.total_lesions, p.risk_level, p.top_nature_lesion AS top_nature, (SELECT COUNT(*) FROM sector_year y WHERE y.secteur_scian = p.secteur_scian) AS years,
-  4 AS benchmarks, 5 AS natures FROM profile p""", **FBASE)
-def _(t):
-    doc = "document"
-    rows = enr.enrichment_json(enr.full_enrichment(t.lesions, STEPS))
-    field = lambda path: F.get_json_object(doc, path)
-    return rows.select(
-        "secteur_scian", field("$.risk_profile.total_lesions").cast("bigint").alias("total_lesions"), field("$.risk_profile.risk_level").alias("risk_level"),
-        field("$.risk_profile.top_nature").alias("top_nature"), F.size(F.json_object_keys(field("$.tendances"))).cast("bigint").alias("years"),
-        F.json_array_length(field("$.benchmarks")).alias("benchmarks"), F.json_array_length(field("$.top_5_natures")).alias("natures"))
+TOP = ("SELECT string_agg(valeur || '=' || CAST(total AS STRING) || '/' || CAST(CAST(pct * 100 AS BIGINT) AS STRING), ',' ORDER BY rank) FROM tops x "
+       "WHERE x.secteur_scian = p.secteur_scian AND colonne = '{}'")
+
+
+@query("k10_enrichment_json", f"""
+SELECT p.secteur_scian, p.total_lesions, p.pct_total_qc, p.risk_score, p.risk_level, p.risk_tms_pct, p.risk_psy_pct, p.top_nature_lesion AS top_nature,
+  p.top_siege_lesion AS top_siege, p.top_agent_causal AS top_agent, r.recommandations_ia,
+  (SELECT string_agg(indicateur || ':' || CAST(CAST(taux_secteur * 100 AS BIGINT) AS STRING) || ':' || CAST(CAST(taux_provincial * 100 AS BIGINT) AS STRING) || ':' || statut, ',' ORDER BY ord)
+     FROM bench b WHERE b.secteur_scian = p.secteur_scian) AS benchmarks,
+  (SELECT string_agg(CAST(annee AS STRING) || '=' || CAST(n AS STRING), ',' ORDER BY annee) FROM sector_year y WHERE y.secteur_scian = p.secteur_scian) AS tendances,
+  ({TOP.format("nature_lesion")}) AS top_5_natures, ({TOP.format("siege_lesion")}) AS top_5_sieges, ({TOP.format("agent_causal_lesion")}) AS top_5_agents
+FROM profile p JOIN recs r ON p.secteur_scian = r.secteur_scian""", **FBASE)
+def _(t):
+    entry = "array<struct<valeur:string,total:bigint,pct:double>>"
+    schema = ("struct<secteur_scian:string,risk_profile:struct<total_lesions:bigint,pct_total_qc:double,risk_score:double,risk_level:string,risk_tms_pct:double,"
+              "risk_psy_pct:double,top_nature:string,top_siege:string,top_agent:string>,benchmarks:array<struct<indicateur:string,taux_secteur:double,taux_provincial:double,"
+              f"statut:string>>,tendances:map<string,bigint>,top_5_natures:{entry},top_5_sieges:{entry},top_5_agents:{entry},recommandations_ia:array<string>>")
+    rows = enr.enrichment_json(enr.full_enrichment(t.lesions, STEPS)).select(F.from_json("document", schema).alias("d")).select("d.*")
+    cents = lambda c: F.round(c * 100).cast("bigint").cast("string")
+    top = lambda c: F.array_join(F.transform(c, lambda v: F.concat(v["valeur"], F.lit("="), v["total"].cast("string"), F.lit("/"), cents(v["pct"]))), ",").alias(c)
+    marks = F.transform("benchmarks", lambda b: F.concat_ws(":", b["indicateur"], cents(b["taux_secteur"]), cents(b["taux_provincial"]), b["statut"]))
+    years = F.transform(F.array_sort(F.map_keys("tendances")), lambda y: F.concat(y, F.lit("="), F.col("tendances")[y].cast("string")))
+    return rows.select("secteur_scian", "risk_profile.*", F.array_join("recommandations_ia", " | ").alias("recommandations_ia"), F.array_join(marks, ",").alias("benchmarks"),
+                       F.array_join(years, ",").alias("tendances"), top("top_5_natures"), top("top_5_sieges"), top("top_5_agents"))
 
 
 # -- column contracts --------------------------------------------------------------------
