@@ -83,7 +83,7 @@ def test_near_duplicates_equal_brute_force(spark):
     got = near_duplicates.grouped(clashing(documents(spark, rows)), near_duplicates.Settings(words=4)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == {
         i: (len(sets[i]), expected[i], expected[i] == i) for i in sets}
-    assert len({e for e in expected.values()}) < len(rows) - 100
+    assert len(set(expected.values())) < len(rows) - 80  # the corpus has groups
 
 
 def test_near_duplicates_of_given_documents(spark, sf_dir):
