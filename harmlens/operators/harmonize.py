@@ -259,8 +259,8 @@ def attempt_mixed(records: DataFrame, as_of: date, record: str = "record") -> Da
         values = prepare(from_map(r))
         own = F.struct(*[values.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in PREPARED.items()])
         chosen = chosen.when(F.col("src") == source, own)
-    prepared = rows.select("src", F.to_json(r).alias("_source_record"), fields.alias("_fields"), F.inline(F.array(chosen)))
-    return unify(prepared, as_of)
+    prepared = rows.select("src", "r", F.inline(F.array(chosen)))
+    return unify(prepared.withColumns({"_source_record": F.to_json(r), "_fields": fields}).drop("r"), as_of)
 
 
 def transform_mixed(records: DataFrame, as_of: date, record: str = "record") -> DataFrame:
