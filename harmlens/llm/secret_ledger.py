@@ -19,7 +19,10 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Rule:
-    """Leftmost non-overlapping matches of ``pattern``; a match whose group ``group`` is shorter than ``least`` drops out."""
+    """Leftmost non-overlapping matches of ``pattern``; a match whose group ``group`` is shorter than ``least`` drops out.
+
+    ``possessive`` is the same pattern for the JVM, where a repeated group takes stack for every round unless it is possessive.
+    """
 
     name: str
     pattern: str
@@ -27,18 +30,25 @@ class Rule:
     group: int = 0
     least: int = 0
     base: bool = False
+    possessive: str = ""
 
     @property
     def key(self) -> str:
         return f"{self.name}@{self.version}"
 
 
+#: A private key runs to its END line, whatever stands between but a further BEGIN or another END; where none follows, the BEGIN
+#: line is all. ``@`` marks the loops that may be possessive.
+KEY = (
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*@(?:(?:-{1,4}[^-]|-{5,}(?:[^-BE]|B[^-E]|BE[^-G]|E[^-N]|EN[^-D]))[^-]*@)*@"
+    r"-{5,}END [A-Z ]*PRIVATE KEY-----)?"
+)
 #: Patterns and least lengths are fixed values. A least length of a plain run is part of its pattern.
 RULES = (
     Rule("assign", r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", group=1, least=6, base=True),
     Rule("access", r"AKIA[A-Z0-9]{16,}", base=True),
     Rule("hex", r"[0-9a-f]{24,}", base=True),
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", KEY.replace("@", ""), version=2, possessive=KEY.replace("@", "+")),
     Rule("host_token", r"gh[oprsu]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("signed_token", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
@@ -58,8 +68,9 @@ def empty_ledger(spark: SparkSession) -> DataFrame:
 
 def _found(text: Column, rule: Rule) -> Column:
     """Spans of a rule: the texts between matches and the matches give every position."""
-    pattern = F.lit(rule.pattern)
-    between = F.split(text, rule.pattern, -1)
+    held = rule.possessive or rule.pattern
+    pattern = F.lit(held)
+    between = F.split(text, held, -1)
     matches = F.regexp_extract_all(text, pattern, F.lit(0))
     sized = F.transform(matches, lambda m: F.char_length(m).cast("bigint"))
     if rule.least:
@@ -67,7 +78,7 @@ def _found(text: Column, rule: Rule) -> Column:
         parts = F.arrays_zip(F.transform(F.slice(between, 1, F.size(matches)), lambda s: F.char_length(s).cast("bigint")).alias("gap"), sized.alias("n"), F.transform(values, lambda v: F.char_length(v) >= rule.least).alias("ok"))
     else:
         parts = F.arrays_zip(F.transform(F.slice(between, 1, F.size(matches)), lambda s: F.char_length(s).cast("bigint")).alias("gap"), sized.alias("n"), F.transform(matches, lambda m: F.lit(True)).alias("ok"))
-    return F.when(text.rlike(rule.pattern), parts)
+    return F.when(text.rlike(held), parts)
 
 
 def _placed(parts: str, rule: Rule) -> Column:

@@ -132,6 +132,33 @@ def test_ledger_scans_only_what_it_lacks(spark):
     assert secret_ledger.scan(new, full).count() == 0
 
 
+def test_private_keys_go_with_their_bodies(spark):
+    import duckdb
+
+    import corpus_pipeline
+
+    body = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n" + "MIIEpAIBAAKCAQEA+/x9\n" * 25 + "Zm9vYmFy=="
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    cases = [
+        (f"a {head}\n{body}\n{end} z", "a [SECRET] z"),
+        (f"é😀 {head}\\n{body}\\n{end}, {head}{end}.", "é😀 [SECRET], [SECRET]."),
+        (f"-{head}\r\n-{body}\r\n-{end}\r\nz", "-[SECRET]\r\nz"),
+        (f"{head}\n-----EX-----\n{body}{end}", "[SECRET]"),
+        (f"write {head} first. {head}\n{body}\n{end} z", "write [SECRET] first. [SECRET] z"),
+        (f"{head} -----BEGIN CERTIFICATE-----\n{body}-----END CERTIFICATE-----", f"[SECRET] -----BEGIN CERTIFICATE-----\n{body}-----END CERTIFICATE-----"),
+        (f"{head} " + "well-known a--b " * 20_000, "[SECRET] " + "well-known a--b " * 20_000),
+        (f"{head}\n" + "QUJD-x\n" * 50_000 + end, "[SECRET]"),
+    ]
+    docs = documents(spark, [(i, t) for i, (t, _) in enumerate(cases)])
+    rows = {r.doc_id: r.text for r in corpus_pipeline.redact(spark, docs, "").collect()}
+    assert [rows[i] for i in range(len(cases))] == [clean for _, clean in cases]
+    found = secret_ledger.joined(docs, secret_ledger.findings(secret_ledger.ledger_rows(secret_ledger.scan(docs))))
+    spans = {r.doc_id: r.spans for r in found.select("doc_id", secret_ledger.written("__spans").alias("spans")).collect()}
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": range(len(cases)), "text": [t for t, _ in cases]}))
+    assert {r[0]: r[-1] for r in con.execute(q.SQL["op4_secret_ledger"]).fetchall()} == spans
+
+
 def test_secrets_of_nothing_and_with_extra_columns(spark):
     docs = clashing(documents(spark, ODD_TEXTS))
     found = secret_ledger.findings(secret_ledger.ledger_rows(secret_ledger.scan(docs)))
