@@ -8,6 +8,7 @@ Names are the common words by which sites call such parts. All choices come from
 from __future__ import annotations
 
 import random
+from collections.abc import Callable
 
 SYLLABLES = "ta ri no shel qua mor vin del ka su por lim ent ar ü ös é la con zhi ben ost ñu gra per tol ish".split()
 CONTENT = "content post entry article story main body text article-body post-content entry-content articleBody page-content post-body article__body story-text main-content".split()
@@ -27,8 +28,16 @@ PAGER = "pagination pager page-numbers prev-next post-navigation".split()
 class Writer:
     def __init__(self, seed: int):
         self.r = random.Random(seed)
+        self.own = random.Random(seed + 1)
         self.junk = 0  # main text may be noise too: it still is the page's main text
 
+    def extra(self, chance: float, part: Callable[[], str]) -> str:
+        """A part by a generator of its own: all else on the pages is the same with and without such parts."""
+        self.r, self.own = self.own, self.r
+        text = part() if self.r.random() < chance else ""
+        self.r, self.own = self.own, self.r
+        return text
+
     def word(self) -> str:
         return "".join(self.r.choice(SYLLABLES) for _ in range(self.r.randint(1, 4)))
 
@@ -66,6 +75,7 @@ class Writer:
             text = text.replace(" ", f' <a href="/{self.word()}">{self.words(1, 3)}</a> ', 1)
         if self.r.random() < 0.1:
             text = f"<b>{text}<br>"
+        text += self.extra(0.04, lambda: self.r.choice([f" <math><mi>{self.word()}</mi><mo>=</mo><mn>2</mn></math>.", ' <svg><path d="M0"/></svg>', " <svg-icon></svg-icon>"]))
         if self.junk == 1:
             text = " ".join(w + self.r.choice(["%%%", "***", "&amp;&amp;", "###"]) for w in text.split(" "))
         elif self.junk == 2:
@@ -99,10 +109,21 @@ class Writer:
                 parts.append(self.box(0, self.links(2, 5), SIDE, ["div", "aside"], 0))
             elif luck < 0.50:
                 parts.append(self.box(0, self.links(2, 5, False), SOCIAL, ["div", "p"], 0))
+            parts.append(self.extra(0.06, lambda: self.embedded(self.r.choice([f"<p>{self.prose()}</p>", self.prose(1, 2)]))))
+            parts.append(self.extra(0.02, self.options))
         return "".join(parts)
 
+    def embedded(self, inner: str) -> str:
+        """What an embedded element holds is of the kind of its surroundings."""
+        tag = self.r.choice("noscript svg iframe object canvas audio video".split())
+        return f"<{tag}>" + (f"<text>{self.words(1, 5)}</text>" if tag == "svg" else inner) + f"</{tag}>"
+
+    def options(self) -> str:
+        inner = "".join(f"<option>{self.words(1, 3)}</option>" for _ in range(self.r.randint(2, 8)))
+        return f'<{(t := self.r.choice(["select", "select", "datalist"]))} data-y="0">{inner}</{t}>'
+
     def advert(self) -> str:
-        return self.box(0, self.r.choice([self.prose(1, 2), f"<p>{self.prose(1, 3)}</p>", f'<a href="/x">{self.words(2, 8)}</a>']), ADVERT, ["div", "div", "aside", "section"], 0)
+        return self.box(0, self.r.choice([self.prose(1, 2), f"<p>{self.prose(1, 3)}</p>", f'<a href="/x">{self.words(2, 8)}</a>']) + self.extra(0.2, lambda: self.embedded(self.prose(1, 2))), ADVERT, ["div", "div", "aside", "section"], 0)
 
     def comments(self) -> str:
         one = lambda: f'<{(t := self.r.choice(["li", "div", "article"]))} class="{self.r.choice(["comment", "reply", self.word()])}"><p>{self.prose(1, 4)}</p></{t}>'
@@ -112,7 +133,7 @@ class Writer:
         return self.box(0, self.r.choice([f"<p>{self.prose(1, 3)}</p><button>{self.word()}</button>", self.prose(1, 2)]), NOTICE, ["div", "section", "aside", "dialog"], 0)
 
     def form(self) -> str:
-        return self.box(0, f'<form action="/x"><label>{self.words(1, 4)}</label><input name="q"><p>{self.prose(1, 2)}</p><button>{self.word()}</button></form>', FORM, ["div", "section"], 0.3)
+        return self.box(0, f'<form action="/x"><label>{self.words(1, 4)}</label><input name="q">{self.extra(0.3, self.options)}<p>{self.prose(1, 2)}</p><button>{self.word()}</button></form>', FORM, ["div", "section"], 0.3)
 
     def bare(self) -> str:
         """A page without any frame."""
@@ -126,6 +147,7 @@ class Writer:
         body, open_body = [], 0
         maybe = lambda chance, part: body.append(part()) if self.r.random() < chance else None
         maybe(0.2, self.notice)
+        body.append(self.extra(0.1, lambda: f'<noscript data-y="0">{self.prose(1, 1)}</noscript>'))
         maybe(0.4, lambda: self.box(0, self.r.choice([f"<h1>{self.words(1, 4)}</h1>", f'<a href="/">{self.words(1, 3)}</a>', self.words(1, 4)]) + (f"<p>{self.sentence()}</p>" if self.r.random() < 0.4 else ""), HEADER, ["header", "div", "div"]))
         maybe(0.85, lambda: self.box(0, self.links(3, 9, self.r.random() < 0.75), MENU, ["nav", "nav", "div"]))
         maybe(0.3, self.advert)
@@ -164,4 +186,5 @@ class Writer:
 
 def pages(count: int, seed: int = 5) -> list[str]:
     writer = Writer(seed)
-    return [writer.page() for _ in range(count)]
+    short = lambda: f'<{(t := writer.r.choice(["div", "p", "body"]))} data-y="1">{writer.words(1, 12)}</{t}>'
+    return [writer.extra(0.03, short) or writer.page() for _ in range(count)]  # some pages are a few words and nothing else

@@ -1,8 +1,9 @@
 """HTML pages as trees of block elements and text runs.
 
-Only elements that can break a line become nodes; inline markup belongs to the run of text it stands in.
-A run is the text between two block boundaries. Unclosed paragraphs, list items and cells end where the
-next one starts; stray end tags are ignored; a tag cut off at the page's end is dropped.
+Only elements that can break a line become nodes; inline markup, formulas too, belongs to the run of text it
+stands in. A run is the text between two block boundaries. Embedded elements are nodes where they hold text, and
+white space where they hold none. Unclosed paragraphs, list items and cells end where the next one starts; stray
+end tags are ignored; a tag cut off at the page's end is dropped.
 """
 
 from __future__ import annotations
@@ -17,13 +18,15 @@ BLOCKS = frozenset(
     "fieldset p h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption address details summary dialog menu center hgroup search legend".split()
 )
 VOID_BLOCKS = frozenset(["hr"])
-SKIPPED = "script|style|noscript|template|svg|math|iframe|object|title|textarea|select|canvas|audio|video|datalist"
+EMBEDDED = frozenset("noscript svg iframe object select canvas audio video datalist".split())
+SEPARATORS = frozenset("br option optgroup text".split())
+SKIPPED = "script|style|template|title|textarea"  # no markup inside; not shown
 ENDS_PARAGRAPH = BLOCKS | VOID_BLOCKS
 SAME_ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr"), "p": ("p",)}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "tr": {"table"}, "p": {"td", "th", "li", "div", "table"}}
 
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{SKIPPED})\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{SKIPPED})(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+>(?P<inside>.*?)(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attributes2>[^>]*)>"
     r"|<[!?][^>]*>|<[a-zA-Z/!?][^>]*\Z",
@@ -50,12 +53,22 @@ class Page:
     nodes: list[Node] = field(default_factory=list)
 
 
+def named(attributes: str | None) -> tuple[tuple[str, ...], int | None]:
+    """Parts of an element's names, and its label if it has one."""
+    if not attributes or "=" not in attributes:
+        return (), None
+    found = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)}
+    names = tuple(part.lower() for key in NAMING if key in found for part in NAME_PART.findall(unescape(found[key])))
+    return names, int(found["data-y"]) if "data-y" in found else None
+
+
 def parse(html: str) -> Page:
     """Nodes in page order; a parent precedes its children. ``data-y`` labels an element and all below it."""
     page = Page([Node(-1, "#page")])
     nodes = page.nodes
     stack = [0]
     chunks: list[str] = []
+    pending: list[tuple[str, tuple[str, ...], int | None]] = []  # embedded elements without text so far
     linked = 0
     in_link = False
 
@@ -76,38 +89,78 @@ def parse(html: str) -> Page:
             if tag in tags:
                 del stack[k:]
                 return
-            if tag in scope:
+            if tag in scope or tag in EMBEDDED:
+                return
+
+    def end(tag: str) -> None:
+        """End the innermost open ``tag`` with all inside it."""
+        for k in range(len(stack) - 1, 0, -1):
+            if nodes[stack[k]].tag == tag:
+                flush()
+                del stack[k:]
+                pending.clear()
                 return
 
+    def push(tag: str, names: tuple[str, ...], label: int | None) -> None:
+        above = stack[-1]
+        nodes.append(Node(above, tag, names, label=nodes[above].label if label is None else label, depth=nodes[above].depth + 1))
+        stack.append(len(nodes) - 1)
+
+    def enter() -> None:
+        """Pending elements hold something: they become nodes."""
+        if pending:
+            flush()
+            for element in pending:
+                push(*element)
+            pending.clear()
+
+    def read(chunk: str) -> None:
+        nonlocal linked
+        if pending and not chunk.isspace():
+            enter()
+        chunks.append(chunk)
+        if in_link:
+            linked += len(chunk)
+
     at = 0
-    for match in TOKEN.finditer(html):
+    while match := TOKEN.search(html, at):
         if match.start() > at:
-            chunk = html[at : match.start()]
-            chunks.append(chunk)
-            if in_link:
-                linked += len(chunk)
+            read(html[at : match.start()])
         at = match.end()
         tag = match["tag"] or match["tag2"]
         if not tag:
             if match["raw"]:
                 chunks.append(" ")
+                if html[match.start("inside") - 2] == "/" and ("svg" in (e[0] for e in pending) or "svg" in (nodes[k].tag for k in stack)):
+                    at = match.start("inside")  # closes itself there, and only there
             continue
         tag = tag.lower()
         ending = match["end"] or match["end2"]
+        attributes = match["attributes"] or match["attributes2"]
+        if tag in EMBEDDED:
+            chunks.append(" ")
+            held = [k for k, element in enumerate(pending) if element[0] == tag]
+            if not ending:
+                if tag != "svg" or not (attributes or "").endswith("/"):
+                    pending.append((tag, *named(attributes)))
+            elif held:
+                del pending[held[-1] :]
+            else:
+                end(tag)
+            continue
         if tag not in ENDS_PARAGRAPH:
             if tag == "a":
                 in_link = not ending
-            elif tag == "br":
+            elif tag in SEPARATORS:
                 chunks.append(" ")
             continue
-        flush()
         if ending:
+            flush()
             in_link = False
-            for k in range(len(stack) - 1, 0, -1):
-                if nodes[stack[k]].tag == tag:
-                    del stack[k:]
-                    break
+            end(tag)
             continue
+        enter()
+        flush()
         if tag in SAME_ENDS:
             for other in SAME_ENDS[tag]:
                 close((other,), SCOPES[tag] - {other})
@@ -115,17 +168,8 @@ def parse(html: str) -> Page:
             close(("p",), {"td", "th", "li", "div", "table"})
         if tag in VOID_BLOCKS:
             continue
-        above = stack[-1]
-        names, label = (), nodes[above].label
-        attributes = match["attributes"] or match["attributes2"]
-        if attributes and "=" in attributes:
-            found = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)}
-            names = tuple(part.lower() for key in NAMING if key in found for part in NAME_PART.findall(unescape(found[key])))
-            if "data-y" in found:
-                label = int(found["data-y"])
-        nodes.append(Node(above, tag, names, label=label, depth=nodes[above].depth + 1))
-        stack.append(len(nodes) - 1)
+        push(tag, *named(attributes))
     if at < len(html):
-        chunks.append(html[at:])
+        read(html[at:])
     flush()
     return page

@@ -12,11 +12,11 @@ from zlib import crc32
 
 import numpy as np
 
-from harmlens.llm.page_tree import Page
+from harmlens.llm.page_tree import EMBEDDED, Page
 
 KINDS = ("#text", "p", "h", "list", "table", "div", "section", "other")
 GROUP = {"#text": 0, "p": 1, "blockquote": 1, "pre": 1, "ul": 3, "ol": 3, "li": 3, "dl": 3, "dt": 3, "dd": 3, "table": 4, "tr": 4, "td": 4, "th": 4, "tbody": 4, "thead": 4, "tfoot": 4, "caption": 4, "div": 5, "section": 6, "article": 6, "main": 6} | {f"h{k}": 2 for k in range(1, 7)}
-FRAMES = frozenset("article main nav header footer aside form section menu dialog address".split())
+FRAMES = EMBEDDED.union("article main nav header footer aside form section menu dialog address".split())
 BUCKETS = 1 << 14
 
 

@@ -94,6 +94,34 @@ def test_given_pages_give_their_articles(spark, sf_dir):
         assert r.text == "\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
 
 
+def test_text_after_and_inside_embedded_elements():
+    lines = lambda html: [n.text for n in parse(html).nodes if n.tag == "#text"]
+    assert lines("<p>a</p><svg-icon name='x'></svg-icon><p>main text</p>") == ["a", "main text"]
+    for name in ("video-player", "select-menu", "title-bar", "style-guide", "script-x", "template-a", "math-field", "object-view"):
+        assert lines(f"<p>a <{name}>b</{name}> c</p><p>d</p>") == ["a b c", "d"]
+    assert lines("<p>a<svg width='1' />b</p><p>c <math/> d</p>") == ["a b", "c d"]
+    assert lines("<svg><title/><style/><path d='M0'/></svg><p>a</p><svg><title>t</title></svg><p>b</p>") == ["a", "b"]
+    assert lines("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>") == ["so x=2 holds"]
+    assert lines("<p>a <svg class='i'><title>t</title><path/></svg> b <video><source></video> c") == ["a b c"]
+    for tag in ("noscript", "svg", "iframe", "object", "canvas", "audio", "video", "select", "datalist"):
+        page = parse(f"<p>a <{tag} class='x'>b</{tag}> c</p><div>d</div>")
+        assert [(n.text, page.nodes[n.parent].tag) for n in page.nodes if n.tag == "#text"] == [("a", "p"), ("b", tag), ("c", "p"), ("d", "div")]
+        assert lines(f"<div><p>a <{tag}></p><p>b</p></div>c</{tag}>") == ["a", "b", "c"]
+    assert lines("<select><option>a<option>b</select><object><p>c<div>d</div></object>e") == ["a b", "c", "d", "e"]
+    for tag in ("script", "style", "template", "title", "textarea"):
+        assert lines(f"a<{tag} x='>'>b<p>c</{tag}>d") == ["a d"]
+
+
+def test_articles_keep_embedded_text():
+    prose = "Some words of the article stand here, and they go on. A second sentence follows the first one."
+    for tag in ("noscript", "object", "video", "audio", "canvas", "iframe"):
+        html = f"""<html><body><nav><ul><li><a href=/>Home</a></li><li><a href=/x>More</a></li></ul></nav><article><h1>Title of it</h1><p>{prose}</p>
+        <title-bar></title-bar><svg width="2"/><{tag}><p>Inside: {prose}</p></{tag}><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds. {prose}</p>
+        <select><option>red<option>green<option>blue</select><p>Last. {prose}</p></article><footer><p>&copy; 2020 All rights.</p></footer></body></html>"""
+        wanted = ["Title of it", prose, f"Inside: {prose}", f"So x=2 holds. {prose}", f"Last. {prose}"]
+        assert page_text.main_texts([html], page_text.default_model()) == ["\n".join(wanted)], tag
+
+
 def test_odd_pages(spark):
     rows = [(1, None), (2, ""), (3, "<script>x"), (4, "<!-- only -->"), (None, "<p>a</p>"), (4, "<!-- only -->"), (5, "<p " + "x" * 100_000)]
     df = clashing(spark.createDataFrame(rows, "page_id bigint, html string"))
