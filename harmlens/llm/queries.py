@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from harmlens.llm import (
     compression_quality,
+    lexical_search,
+    line_dedup,
     near_duplicates,
     packing,
     page_text,
+    periodic_runs,
     pieces,
     secret_ledger,
     shards,
@@ -120,3 +123,43 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_vector_duplicates", sql.near_vectors())
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_duplicates.grouped(table(spark, sf_dir, "embeddings"))
+
+
+def repeated_tails(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text), where one in ten texts repeats a stretch of its words from some word on.
+
+    With h the crc32 of the id and g = h / 10 rounded down, the texts with h % 10 = 0 repeat from word g % n on.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    some = docs.withColumn("words", words).withColumn("n", F.size("words")).withColumn("g", F.floor(h / 10))
+    some = some.withColumn("a", F.expr("if(n > 0, int(g % n), 0)"))
+    some = some.withColumn("p", F.expr("if(n > 0, int(1 + floor((n - a) / (3 + g % 8))), 1)"))
+    tail = "flatten(array_repeat(slice(words, a + 1, p), int(3 + g % 8)))"  # p is above (n - a) / (3 + g % 8)
+    text = F.when(F.col("n") > 0, F.expr(f"array_join(slice(concat(slice(words, 1, a), {tail}), 1, n), ' ')"))
+    return some.select("doc_id", F.coalesce(text, "text").alias("text"))
+
+
+@register("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.with_runs(repeated_tails(texts(spark, sf_dir))).drop("text")
+    best = periodic_runs.longest("__runs")
+    lines = F.transform("__runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("__runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("__collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@register("op12_lexical_search", sql.ranked_documents())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked(texts(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+@register("op13_line_dedup", sql.repeated_lines())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.deduplicated(texts(spark, sf_dir)).drop("text")
+    return found.select(
+        "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.sha2("__kept_text", 256).alias("kept_sha256"),
+    )

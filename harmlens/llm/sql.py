@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from harmlens.llm import near_duplicates, secret_ledger, shards, vector_duplicates
+from harmlens.llm import lexical_search, line_dedup, near_duplicates, secret_ledger, shards, vector_duplicates
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -92,3 +92,40 @@ def near_vectors(settings: vector_duplicates.Settings = vector_duplicates.Settin
         counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
         SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(r, vec_id)) AS component_id, vec_id <= coalesce(r, vec_id) AS kept
         FROM embeddings LEFT JOIN counted ON a = vec_id LEFT JOIN least_reached ON id = vec_id"""
+
+
+def ranked_documents(settings: lexical_search.Settings = lexical_search.Settings()) -> str:
+    """Every document that shares a term with an item is scored."""
+    terms = f"unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{lexical_search.TERM}'))"
+    return f"""
+        WITH docs AS (SELECT row_number() OVER () AS d, doc_id, text FROM documents),
+        held AS (SELECT d, term, count(*) AS tf FROM (SELECT d, {terms} AS term FROM docs) GROUP BY ALL),
+        long AS (SELECT d, sum(tf)::BIGINT AS n FROM held GROUP BY d),
+        total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM long),
+        weight AS (
+          SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM held, total GROUP BY term),
+        items AS (SELECT row_number() OVER () AS i, item_id, text FROM benchmark),
+        asked AS (SELECT i, term, count(*) AS times FROM (SELECT i, {terms} AS term FROM items) GROUP BY ALL),
+        scored AS (
+          SELECT i, d, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms))))::BIGINT AS score
+          FROM asked JOIN held USING (term) JOIN weight USING (term) JOIN long USING (d), total GROUP BY i, d),
+        placed AS (
+          SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id ASC NULLS LAST) AS place, doc_id, score
+          FROM scored JOIN items USING (i) JOIN docs USING (d) WHERE score >= {settings.lowest})
+        SELECT item_id, place::INTEGER AS rank, doc_id, score FROM placed WHERE place <= {settings.best}"""
+
+
+def repeated_lines(settings: line_dedup.Settings = line_dedup.Settings()) -> str:
+    return f"""
+        WITH docs AS (SELECT row_number() OVER () AS d, doc_id, string_split(coalesce(text, ''), chr(10)) AS cut FROM documents),
+        lines AS (SELECT d, doc_id, unnest(range(1, len(cut) + 1)) AS i, unnest(cut) AS line FROM docs),
+        keyed AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}') AS key FROM lines),
+        repeated AS (
+          SELECT key, max(doc_id) AS largest FROM keyed WHERE length(key) >= {settings.characters}
+          GROUP BY key HAVING count(DISTINCT d) >= {settings.documents}),
+        judged AS (
+          SELECT d, doc_id, i, line, repeated.key IS NOT NULL AND doc_id IS NOT NULL AND doc_id <> largest AS gone
+          FROM keyed LEFT JOIN repeated USING (key))
+        SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+          sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM judged GROUP BY d, doc_id"""
