@@ -5,6 +5,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from harmlens.operators import harmonize as har
+from harmlens.operators import json_schema as js
 from harmlens.operators import lookups as lk
 from harmlens.operators.aggregates import counts_by
 from harmlens.plans.registry import query
@@ -246,6 +247,22 @@ def _(t):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query("h16_validate_schema", """
+SELECT risk_id, '$.hazard_classification' AS path, 'oneOf' AS rule FROM mixed WHERE source_system = 'MANUAL_ENTRY'
+UNION ALL SELECT risk_id, '$.jurisdiction.primary_country', 'pattern' FROM mixed WHERE country <> '' AND NOT regexp_full_match(country, '[A-Z]{2}')
+UNION ALL SELECT risk_id, '$.jurisdiction.applicable_jurisdictions[0]', 'pattern' FROM mixed WHERE source_system = 'EUROSTAT_ESAW' AND NOT regexp_full_match(country, '[A-Z]{2}')
+UNION ALL SELECT risk_id, '$.jurisdiction.applicable_jurisdictions', 'uniqueItems' FROM mixed WHERE country = 'EU'
+UNION ALL SELECT risk_id, '$.hazard_classification.osha_usa.event_type_code', 'pattern' FROM mixed WHERE source_system LIKE 'OSHA%' AND NOT regexp_full_match(source_code, '[0-9]{2,4}')
+UNION ALL SELECT risk_id, '$.industry_classification.scian.code', 'not' FROM mixed WHERE scian = '99'
+UNION ALL SELECT risk_id, '$.incident_statistics.total_incidents', 'minimum' FROM mixed WHERE incidents < 1
+UNION ALL SELECT risk_id, '$.metadata.tags[' || CAST(i AS STRING) || ']', 'pattern' FROM (
+  SELECT risk_id, string_split(tags, ',') AS parts, unnest(range(len(string_split(tags, ',')))) AS i FROM mixed WHERE tags <> '')
+  WHERE NOT regexp_full_match(parts[i + 1], '[a-z][a-z_-]*')""", **PARTS)
+def _(t):
+    document = js.unified_schema()
+    return js.error_rows(har.transform_mixed(mixed_records(t), AS_OF), document, "risk_id", list(document["properties"]))
+
+
 @query("h17_statistics", """
 SELECT 'source' AS vue, source_system AS cle, COUNT(*) AS n FROM mixed GROUP BY 2 UNION ALL SELECT 'domaine', domain, COUNT(*) FROM mixed GROUP BY 2
 UNION ALL SELECT 'top', * FROM (SELECT domain, COUNT(*) AS n FROM mixed GROUP BY 1 ORDER BY n DESC, domain LIMIT 5)""", **PARTS)
