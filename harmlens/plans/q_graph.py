@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from harmlens.functions import dims
 from harmlens.functions.dims import Dimension
+from harmlens.functions.exprs import row_count
 from harmlens.operators import aggregates as agg
 from harmlens.operators import graph as gr
 from harmlens.operators import harmonize as har
@@ -423,3 +424,32 @@ def _(t):
     stream = t.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(t.sf_dir)
     ingest.stream_spikes(stream, "event_type", f"{root}/spikes", f"{root}/state")
     return ingest.read_spikes(t.spark, f"{root}/spikes").withColumn("debut", F.date_format("debut", "yyyy-MM-dd")).withColumnRenamed("debut", "jour")
+
+
+@query("x01_ingest_unique", "SELECT event_type, COUNT(*) AS n, COUNT(DISTINCT event_id) AS events, SUM(user_id)::BIGINT AS users FROM events GROUP BY 1")
+def _(t):
+    """Deliveries of overlapping days, each landed and ingested by a run of its own."""
+    root, events = scratch_path(t.spark, "deliveries"), t.base("events")
+    schema = events.schema
+    for first, last in ((1, 12), (9, 20), (17, 31)):
+        events.filter(F.dayofmonth("ts").between(first, last)).write.parquet(f"{root}/landing/from-{first}")
+        ingest.ingest_unique(t.spark, f"{root}/landing", schema, f"{root}/stored", f"{root}/state", ["event_id"], "ts", lateness="5 days")
+    stored = t.spark.read.schema(schema).parquet(f"{root}/stored")
+    return stored.groupBy("event_type").agg(row_count().alias("n"), F.count_distinct("event_id").alias("events"), F.sum("user_id").alias("users"))
+
+
+@query("x02_stream_alerts", """
+SELECT cle, strftime(debut, '%Y-%m-%d') AS jour, n, previous, ROUND(c, 2) AS change_pct, CASE WHEN c > 30 THEN 'CRITICAL' ELSE 'WARNING' END AS level FROM (
+  SELECT p.cle, p.debut, COALESCE(now.n, 0) AS n, before.n AS previous, CAST(COALESCE(now.n, 0) - before.n AS DOUBLE) / before.n * 100 AS c
+  FROM (SELECT cle, jour AS debut FROM days UNION SELECT cle, jour + INTERVAL 1 DAY FROM days) p
+  LEFT JOIN days now ON now.cle = p.cle AND now.jour = p.debut JOIN days before ON before.cle = p.cle AND before.jour = p.debut - INTERVAL 1 DAY
+  WHERE p.debut + INTERVAL 1 DAY <= (SELECT MAX(ts) - INTERVAL 2 DAY FROM events)) WHERE c > 15""",
+       days="SELECT event_type || '-' || CAST(user_id % 40 AS STRING) AS cle, date_trunc('day', ts) AS jour, COUNT(*) AS n FROM events GROUP BY 1, 2")
+def _(t):
+    """Few enough events a key and day that some days are empty."""
+    root = scratch_path(t.spark, "alerts")
+    stream = t.spark.readStream.schema(t.base("events").schema).option("pathGlobFilter", "events.parquet").parquet(t.sf_dir)
+    keyed = stream.withColumn("cle", F.concat_ws("-", "event_type", (F.col("user_id") % 40).cast("string")))
+    ingest.stream_alerts(keyed, "cle", f"{root}/alerts", f"{root}/state")
+    alerts = t.spark.read.parquet(f"{root}/alerts").drop("batch")
+    return alerts.withColumn("debut", F.date_format("debut", "yyyy-MM-dd")).withColumnRenamed("debut", "jour")
