@@ -3,8 +3,10 @@
 from pyspark.sql import functions as F
 
 from harmlens.operators import aggregates as agg
+from harmlens.operators import incremental as inc
 from harmlens.plans.oracle import flag, percent, ratio
 from harmlens.plans.registry import query
+from harmlens.workspace import scratch_path
 
 # Thresholds scaled to the fixture, so that every level occurs.
 STEPS = ((10400, "CRITIQUE"), (10000, "ÉLEVÉ"), (9500, "MODÉRÉ"))
@@ -333,3 +335,43 @@ def _(t):
 SELECT (SELECT COUNT(*) FROM osha_raw) AS osha_usa, (SELECT COUNT(*) FROM esaw) AS eurostat_eu, (SELECT COUNT(*) FROM lesions) AS cnesst_qc""")
 def _(t):
     return agg.table_counts(t.osha_raw, t.esaw, t.lesions)
+
+
+# -- the same statistics from the state of ingest batches ------------------------------------
+
+def batch_state(t, more=None):
+    """State after three batches of incidents, and one of further rows."""
+    root = scratch_path(t.spark, "statistics")
+    for batch in range(3):
+        inc.apply_batch(t.incidents_global.filter(F.col("year") % 3 == batch), root, str(batch))
+    if more is not None:
+        inc.apply_batch(more, root, "more")
+    return root
+
+
+@query("a16_incremental", same_as="a16_global_stats")
+def _(t):
+    return inc.global_stats(t.spark, batch_state(t))
+
+
+@query("a17_incremental", same_as="a17_dashboard_summary")
+def _(t):
+    return inc.dashboard_summary(t.spark, batch_state(t))
+
+
+@query("a18_incremental", same_as="a18_yearly_stats")
+def _(t):
+    return inc.yearly_stats(t.spark, batch_state(t))
+
+
+@query("a19_incremental", same_as="a19_health_check")
+def _(t):
+    return inc.health_check(t.spark, batch_state(t))
+
+
+@query("a23_incremental", same_as="a23_coverage")
+def _(t):
+    europe = t.esaw.select(F.lit("ESAW").alias("source"), F.lit("EU27").alias("jurisdiction"), "year", F.col("deviation").alias("industry_code"),
+                           F.lit("non-fatal").alias("incident_type"), F.lit(None).cast("double").alias("days_lost"))
+    out = inc.coverage(t.spark, batch_state(t, europe))
+    return out.withColumn("years_covered", F.array_join(F.col("years_covered").cast("array<string>"), ","))

@@ -20,10 +20,11 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
-def query(name: str, sql: str | None = None, **extra: str):
+def query(name: str, sql: str | None = None, same_as: str | None = None, **extra: str):
     """Register ``fn(tables) -> DataFrame`` under ``name``.
 
-    ``sql`` is the equivalent query; ``extra`` names further tables it uses.
+    ``sql`` is the equivalent query; ``extra`` names further tables it uses. ``same_as`` names a
+    query that gives the same rows another way.
     """
 
     def register(fn: Callable[[Tables], DataFrame]):
@@ -31,7 +32,7 @@ def query(name: str, sql: str | None = None, **extra: str):
             raise ValueError(f"duplicate query {name}")
         REGISTRY[name] = Query(
             run=lambda spark, sf_dir: fn(tables_for(spark, sf_dir)),
-            sql=oracle.complete(sql, extra) if sql else None,
+            sql=REGISTRY[same_as].sql if same_as else oracle.complete(sql, extra) if sql else None,
         )
         return fn
 
