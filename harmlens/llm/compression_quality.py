@@ -1,4 +1,4 @@
-"""Quality classifier by compression.
+"""Quality classifier by compression: the size difference between two dictionaries, and the compression ratio.
 
 Two zstandard dictionaries are built, one from good and one from bad labelled texts. A text that
 compresses better with the good dictionary looks like good text: the size difference, normalised by
@@ -33,7 +33,7 @@ SCORE = "__quality_score"
 @dataclass(frozen=True)
 class Settings:
     per_class: int = 2000  # bound of the labelled sample, for each class
-    max_chars: int = 20_000  # of a sample text; scoring always reads whole texts
+    max_bytes: int = 8 << 20  # of a class's sample texts, each whole
     dictionary_bytes: int = 512 << 10
     block_bytes: int = 1024
     level: int = 3
@@ -84,7 +84,7 @@ def features(texts: list[bytes], good, bad, block: int) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
     """Train on a bounded sample of labelled rows outside the held-out fold."""
-    sample = training_sample(docs, labels, "quality", FOLDS, HELD_OUT, settings.per_class, settings.max_chars)
+    sample = training_sample(docs, labels, "quality", FOLDS, HELD_OUT, settings.per_class, settings.max_bytes)
     build, calibrate = sample[0::2], sample[1::2] or sample
     text_of = lambda rows, y: [t.encode() for t, label in rows if label == y]
     blocks = lambda texts: [t[at : at + settings.block_bytes] for t in texts for at in range(0, len(t), settings.block_bytes)]

@@ -24,6 +24,12 @@ COMMENTS = "comments comment comment-list reader-comments discussion replies res
 INNER = "lead intro summary byline author dateline caption paragraph block wrapper row text-block quote highlight chapter columns inner".split()
 PAGER = "pagination pager page-numbers prev-next post-navigation".split()
 
+#: Names that say how an element looks and not what it holds; on elements of any kind, often many at once.
+UTILITIES = (
+    "flex md:flex-row flex-col px-4 py-2 mt-8 mb-6 grid lg:grid-cols-3 gap-4 text-sm text-gray-700 font-bold rounded-lg shadow-md border bg-white "
+    "w-full max-w-3xl mx-auto items-center justify-between leading-7 tracking-wide col-12 row container d-flex p-3 m-0 clearfix is-active "
+    "js-hook relative z-10 overflow-hidden space-y-2 sm:inline-block order-last prose-lg dark:bg-black hover:underline").split()
+
 
 class Writer:
     def __init__(self, seed: int):
@@ -50,12 +56,25 @@ class Writer:
     def prose(self, low: int = 1, high: int = 6) -> str:
         return " ".join(self.sentence() for _ in range(self.r.randint(low, high)))
 
+    def utilities(self) -> str:
+        return " ".join(self.r.sample(UTILITIES, self.r.randint(3, 26)))
+
+    def wrapped(self, inner: str) -> str:
+        """Now and then inside elements that have nothing but such names."""
+        for _ in range(4):
+            if names := self.extra(0.3, self.utilities):
+                inner = f'<div class="{names}">{inner}</div>'
+        return inner
+
     def named(self, names: list[str]) -> str:
         kind = self.r.choice(["class", "class", "id", "class2"])
         name = self.r.choice(names)
+        looks = self.extra(0.2, self.utilities)
         if kind == "class2":
-            return f' class="{self.word()} {name}"'
-        return f' {kind}="{name}"'
+            return f' class="{self.word()} {name}{looks and " " + looks}"'
+        if kind == "id":
+            return f' id="{name}"' + (looks and f' class="{looks}"')
+        return f' class="{looks and looks + " "}{name}"'
 
     def links(self, low: int, high: int, listed: bool = True) -> str:
         one = lambda: f'<a href="/{self.word()}">{self.words(1, 4)}</a>'
@@ -67,7 +86,7 @@ class Writer:
     def box(self, label: int, inner: str, names: list[str], tags: list[str], plain: float = 0.05) -> str:
         tag = self.r.choice(tags)
         name = "" if self.r.random() < plain else self.named(names)
-        return f'<{tag}{name} data-y="{label}">{inner}</{tag}>'
+        return f'<{tag}{name} data-y="{label}">{self.wrapped(inner)}</{tag}>'
 
     def paragraph(self) -> str:
         text = self.prose(*self.r.choice([(1, 1), (1, 3), (2, 6), (4, 9)]))
@@ -162,7 +181,7 @@ class Writer:
         style = self.r.random()
         inside = self.comments() if self.r.random() < 0.12 else ""
         if style < 0.45:
-            main = f'<article{self.named(CONTENT) if self.r.random() < 0.4 else ""} data-y="1">{article}{inside}</article>'
+            main = f'<article{self.named(CONTENT) if self.r.random() < 0.4 else ""} data-y="1">{self.wrapped(article)}{inside}</article>'
         elif style < 0.8:
             main = self.box(1, article + inside, CONTENT, ["div", "div", "section", "main"], 0)
         elif style < 0.86:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -15,12 +15,12 @@ def is_fold(doc_id: str, folds: int, which: int) -> Column:
     return F.coalesce(fold(doc_id, folds) == which, F.lit(False))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, target: str, folds: int, held: int, per_class: int,
-                    max_chars: int) -> list[tuple[str, int]]:
-    """At most ``per_class`` labelled texts of each class, never from the held-out fold, by hash order of the id.
+def training_sample(docs: DataFrame, labels: DataFrame, target: str, folds: int, held: int, per_class: int, max_bytes: int) -> list[tuple[str, int]]:
+    """Whole labelled texts of each class, never from the held-out fold, by hash order of the id.
 
-    The bound makes the collected list independent of the table sizes: ``2 * per_class`` texts of at most
-    ``max_chars`` characters. Null labels are skipped; a document with several labels takes the larger.
+    At most ``per_class`` of a class, and ``max_bytes`` in all of them: the bounds make the collected list independent of
+    the table sizes. A text that would go beyond the bytes, or alone takes a tenth of them, is left out; no text is cut.
+    Null labels are skipped; a document with several labels takes the larger, an id with several texts the largest.
     """
     usable = labels.select(F.col("doc_id").alias("id"), F.col(target).alias("y")).filter(
         "id is not null and y in (0, 1)"
@@ -31,11 +31,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, target: str, folds: int,
     for value in (0, 1):
         some = usable.filter(F.col("y") == value).orderBy(order, "id").limit(per_class)
         picked = some if picked is None else picked.unionByName(some)
-    found = (
-        docs.select(F.col("doc_id").alias("id"), F.col("text").alias("t"))
-        .join(F.broadcast(picked), "id")  # 2 * per_class rows at most
-        .groupBy("id", "y")
-        .agg(F.max(F.substring(F.coalesce("t", F.lit("")), 1, max_chars)).alias("t"))
-        .collect()
-    )
-    return [(r["t"], int(r["y"])) for r in sorted(found, key=lambda r: r["id"])]
+    whole = docs.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("t")).filter(F.octet_length("t") <= max_bytes // 10)
+    found = whole.join(F.broadcast(picked), "id").groupBy("id", "y").agg(F.max("t").alias("t"))  # 2 * per_class rows at most
+    so_far = F.sum(F.octet_length("t")).over(Window.partitionBy("y").orderBy(order, "id").rowsBetween(Window.unboundedPreceding, 0))
+    kept = found.withColumn("bytes", so_far).filter(F.col("bytes") <= max_bytes).select("id", "y", "t").collect()
+    return [(r["t"], int(r["y"])) for r in sorted(kept, key=lambda r: r["id"])]

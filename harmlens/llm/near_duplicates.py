@@ -9,7 +9,7 @@ for drops out. The rest is compared tile by tile. Both steps count the exact int
 neither sends more than one row a document and tile.
 
 A text without words, null included, has an empty set: it links with nothing and is kept. Rows with a null
-id are not linked and are kept; rows that share an id are one node. Extra columns are ignored.
+id are not linked and are kept; rows that share an id are one node. Extra columns are ignored. Ids are integers.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ class Settings:
     bands: int = 42
     rows: int = 6
     tile_shingles: int = 60_000  # size of the tiles that are compared as a whole
+    tile_documents: int = 1024
 
 
 def shingle_sets(held: Texts, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,7 +145,8 @@ def _tile_links(rest: DataFrame, sets: DataFrame, settings: Settings) -> DataFra
     heads = rest.groupBy("key").agg(F.min("id").alias("a"))
     family = components(rest.join(heads, "key").select("a", F.col("id").alias("b")))
     members = sets.join(family, "id").select("id", "hashes", F.col("component").alias("family"))
-    weight = members.groupBy("family").agg(F.ceil(F.sum(F.size("hashes")) / settings.tile_shingles).alias("tiles"))
+    tiles = F.ceil(F.greatest(F.sum(F.size("hashes")) / settings.tile_shingles, F.count(F.lit(1)) / settings.tile_documents))
+    weight = members.groupBy("family").agg(tiles.alias("tiles"))
     dealt = members.join(weight, "family").withColumn("tile", F.pmod(F.xxhash64("id"), "tiles"))
     tiles = cut_lineage(dealt.select("family", "tile", "id", "hashes").groupBy("family", "tile").applyInArrow(_pack, TILE))
     side = tiles.select("family", "tile")
@@ -232,6 +234,12 @@ def grouped(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The documents that are kept, with their own columns."""
-    dropped = grouped(docs, settings).filter("not kept").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti")
+    """The documents that are kept, with their own columns: one row of each group.
+
+    Of rows that share an id one stays, whatever their texts: the first by a hash of all columns. Rows without an id stay.
+    """
+    marked = cut_lineage(grouped(docs, settings).groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count(F.lit(1)).alias("rows")).filter("doc_id is not null and (not kept or rows > 1)"))
+    alone = docs.join(marked.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    repeated = docs.join(marked.filter("kept").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    first = repeated.groupBy(F.col("doc_id").alias("__id")).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("__row"))
+    return alone.unionByName(first.select("__row.*"))

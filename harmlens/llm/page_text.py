@@ -39,7 +39,7 @@ def main_texts(pages: list[str], model: tree_model.Model) -> list[str]:
     out = []
     for at in range(0, len(pages), TOGETHER):
         trees = [parse(html) for html in pages[at : at + TOGETHER]]
-        forest = tree_model.Forest.of(trees)
+        forest = tree_model.Forest.of(trees, model.names)
         p, _ = tree_model.marginals(forest, model)
         for tree, begin in zip(trees, forest.begin):
             out.append("\n".join(n.text for i, n in enumerate(tree.nodes, begin) if n.tag == "#text" and p[i] >= CONTENT))

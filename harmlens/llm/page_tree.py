@@ -26,10 +26,10 @@ SAME_ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td",
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "tr": {"table"}, "p": {"td", "th", "li", "div", "table"}}
 
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{SKIPPED})(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+>(?P<inside>.*?)(?:</(?P=raw)\s*>|\Z)"
+    rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<(?P<raw>{SKIPPED})(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+>(?P<inside>.*?)(?:</(?P=raw)(?=[\s/>])[^>]*(?:>|\Z)|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attributes2>[^>]*)>"
-    r"|<[!?][^>]*>|<[a-zA-Z/!?][^>]*\Z",
+    r"|<(?:[!?]|/(?![a-zA-Z]))[^>]*>|<[a-zA-Z/!?][^>]*\Z",
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"""([a-zA-Z][\w:-]*)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
@@ -53,6 +53,27 @@ class Page:
     nodes: list[Node] = field(default_factory=list)
 
 
+class Opened:
+    """A stack of named items that knows the places of each name."""
+
+    def __init__(self) -> None:
+        self.items: list[tuple[str, object]] = []
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, name: str, item: object) -> None:
+        self.places.setdefault(name, []).append(len(self.items))
+        self.items.append((name, item))
+
+    def last(self, *names: str) -> int:
+        """Place of the innermost item of these names; -1 without one."""
+        return max((held[-1] for name in names if (held := self.places.get(name))), default=-1)
+
+    def cut(self, place: int) -> None:
+        """Take off this item and all above it."""
+        while len(self.items) > place:
+            self.places[self.items.pop()[0]].pop()
+
+
 def named(attributes: str | None) -> tuple[tuple[str, ...], int | None]:
     """Parts of an element's names, and its label if it has one."""
     if not attributes or "=" not in attributes:
@@ -66,9 +87,10 @@ def parse(html: str) -> Page:
     """Nodes in page order; a parent precedes its children. ``data-y`` labels an element and all below it."""
     page = Page([Node(-1, "#page")])
     nodes = page.nodes
-    stack = [0]
+    stack = Opened()  # of node numbers
+    stack.push("#page", 0)
     chunks: list[str] = []
-    pending: list[tuple[str, tuple[str, ...], int | None]] = []  # embedded elements without text so far
+    pending = Opened()  # embedded elements without text so far: their names and label
     linked = 0
     in_link = False
 
@@ -77,46 +99,41 @@ def parse(html: str) -> Page:
         if chunks:
             text = " ".join(unescape("".join(chunks)).split())
             if text:
-                at = stack[-1]
+                at = stack.items[-1][1]
                 nodes.append(Node(at, "#text", (), text, linked, nodes[at].label, nodes[at].depth + 1))
             chunks.clear()
         linked = 0
 
-    def close(tags: tuple[str, ...], scope: set[str]) -> None:
-        """End the innermost open element of ``tags`` that is not outside ``scope``."""
-        for k in range(len(stack) - 1, 0, -1):
-            tag = nodes[stack[k]].tag
-            if tag in tags:
-                del stack[k:]
-                return
-            if tag in scope or tag in EMBEDDED:
-                return
+    def close(tag: str, scope: set[str]) -> None:
+        """End the innermost open ``tag`` that is not outside ``scope``."""
+        place = stack.last(tag)
+        if place > stack.last(*scope, *EMBEDDED):
+            stack.cut(place)
 
     def end(tag: str) -> None:
         """End the innermost open ``tag`` with all inside it."""
-        for k in range(len(stack) - 1, 0, -1):
-            if nodes[stack[k]].tag == tag:
-                flush()
-                del stack[k:]
-                pending.clear()
-                return
+        place = stack.last(tag)
+        if place > 0:
+            flush()
+            stack.cut(place)
+            pending.cut(0)
 
     def push(tag: str, names: tuple[str, ...], label: int | None) -> None:
-        above = stack[-1]
+        above = stack.items[-1][1]
         nodes.append(Node(above, tag, names, label=nodes[above].label if label is None else label, depth=nodes[above].depth + 1))
-        stack.append(len(nodes) - 1)
+        stack.push(tag, len(nodes) - 1)
 
     def enter() -> None:
         """Pending elements hold something: they become nodes."""
-        if pending:
+        if pending.items:
             flush()
-            for element in pending:
-                push(*element)
-            pending.clear()
+            for tag, element in pending.items:
+                push(tag, *element)
+            pending.cut(0)
 
     def read(chunk: str) -> None:
         nonlocal linked
-        if pending and not chunk.isspace():
+        if pending.items and not chunk.isspace():
             enter()
         chunks.append(chunk)
         if in_link:
@@ -131,7 +148,7 @@ def parse(html: str) -> Page:
         if not tag:
             if match["raw"]:
                 chunks.append(" ")
-                if html[match.start("inside") - 2] == "/" and ("svg" in (e[0] for e in pending) or "svg" in (nodes[k].tag for k in stack)):
+                if html[match.start("inside") - 2] == "/" and max(pending.last("svg"), stack.last("svg")) >= 0:
                     at = match.start("inside")  # closes itself there, and only there
             continue
         tag = tag.lower()
@@ -139,12 +156,11 @@ def parse(html: str) -> Page:
         attributes = match["attributes"] or match["attributes2"]
         if tag in EMBEDDED:
             chunks.append(" ")
-            held = [k for k, element in enumerate(pending) if element[0] == tag]
             if not ending:
                 if tag != "svg" or not (attributes or "").endswith("/"):
-                    pending.append((tag, *named(attributes)))
-            elif held:
-                del pending[held[-1] :]
+                    pending.push(tag, named(attributes))
+            elif (place := pending.last(tag)) >= 0:
+                pending.cut(place)
             else:
                 end(tag)
             continue
@@ -163,9 +179,9 @@ def parse(html: str) -> Page:
         flush()
         if tag in SAME_ENDS:
             for other in SAME_ENDS[tag]:
-                close((other,), SCOPES[tag] - {other})
-        if nodes[stack[-1]].tag == "p" or (tag in ("div", "ul", "ol", "section", "table") and any(nodes[k].tag == "p" for k in stack[-2:])):
-            close(("p",), {"td", "th", "li", "div", "table"})
+                close(other, SCOPES[tag] - {other})
+        if stack.items[-1][0] == "p" or (tag in ("div", "ul", "ol", "section", "table") and any(held == "p" for held, _ in stack.items[-2:])):
+            close("p", {"td", "th", "li", "div", "table"})
         if tag in VOID_BLOCKS:
             continue
         push(tag, *named(attributes))

@@ -6,8 +6,9 @@ or the merges that byte-pair scores stand for, and byte fallback. No piece of a
 after another character for words to be encoded apart; models that do are encoded text by text.
 
 Distinct words are encoded in batches, in as many threads as a task has cores, and kept in a bounded cache.
-Each distinct word's ids are compared with those of the sentencepiece library and decoded again, so every
-row carries whether its whole text agrees with the library and comes back unchanged.
+Each distinct word's ids are compared with those of the sentencepiece library and decoded again by the rebuilt
+decoder, in runs of words as they stand in a text, and one by one where a run does not come back. So every row
+carries whether its whole text agrees with the library and comes back unchanged.
 
 Null and empty texts have no ids, and agree. Strings of control symbols are ordinary text.
 """
@@ -40,6 +41,7 @@ MODEL = public_tokenizers.path("piece_bpe_32k.model")
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
+TOGETHER = 32  # distinct words that are decoded as one run
 FIELDS = [T.StructField("__ids", T.ArrayType(T.IntegerType())), T.StructField("__parity", T.BooleanType()), T.StructField("__round_trip", T.BooleanType())]
 
 
@@ -172,7 +174,6 @@ class Encoder:
         os.environ["RAYON_NUM_THREADS"] = str(threads)
         self.model, self.tokenizer, self.reference = loaded(path)
         self.bound, self.threads, self.by_words = bound, threads, self.model.by_words
-        self.surface = [piece if kind == NORMAL else "\0" for piece, _, kind in self.model.pieces]
         self._forget()
 
     def _forget(self) -> None:
@@ -184,18 +185,27 @@ class Encoder:
         texts = [k[1:] if k[0:1] == MARK else k for k in keys]
         own = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         theirs = self.reference.encode(texts, num_threads=self.threads)
-        # without byte pieces and with a marked start, decoding joins the pieces; the rest takes the decoder
-        surface = self.surface.__getitem__
-        joined = ["".join(map(surface, ids)) for ids in own]
-        simple = [self.by_words and j == MARK + t.replace(" ", MARK) and "\0" not in j and MARK not in t for j, t in zip(joined, texts)]
-        back = iter(self.decode([ids for ids, s in zip(own, simple) if not s]))
         self.agree.extend(map(eq, own, theirs))
-        self.same.extend(s or next(back) == t for s, t in zip(simple, texts))
+        self.same.extend(self._come_back(own, texts))
         first = len(self.numbers)
         self.numbers.update(zip(keys, range(first, first + len(keys))))
         self.ids.extend(chain.from_iterable(own))
         self.ends.extend(accumulate(map(len, own), initial=self.ends.pop()))
 
+    def _come_back(self, ids: list[list[int]], texts: list[str]) -> list[bool]:
+        """Whether the decoder gives each text back: of words a run at a time, as they stand in a text, else one by one."""
+        runs = range(0, len(ids), TOGETHER)
+        if self.by_words:
+            decoded = self.decode([list(chain.from_iterable(ids[at : at + TOGETHER])) for at in runs])
+            right = [text == " ".join(texts[at : at + TOGETHER]) for text, at in zip(decoded, runs)]
+        else:
+            right = [False] * len(runs)
+        single = [i for at, ok in zip(runs, right) if not ok for i in range(at, min(at + TOGETHER, len(ids)))]
+        out = [True] * len(ids)
+        for i, text in zip(single, self.decode([ids[i] for i in single])):
+            out[i] = text == texts[i]
+        return out
+
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
 

@@ -34,7 +34,7 @@ EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 @dataclass(frozen=True)
 class Settings:
     per_class: int = 1200  # bound of the labelled sample, for each class
-    max_chars: int = 5000  # of a sample text; scoring always reads whole texts
+    max_bytes: int = 5 << 19  # of a class's sample texts, each whole
     buckets: int = 1 << 18  # of the hashed features
     evidence: float = 25.0  # least likelihood-ratio statistic of a tagging feature
     purity: float = 0.9  # least share of a tagging feature's class-balanced mass in toxic documents
@@ -132,7 +132,7 @@ def tagging_features(docs: list[tuple[list[str], int]], settings: Settings) -> s
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
     """Tag, train and calibrate on a bounded sample of labelled rows outside the held-out fold."""
-    sample = training_sample(docs, labels, "toxic", FOLDS, HELD_OUT, settings.per_class, settings.max_chars)
+    sample = training_sample(docs, labels, "toxic", FOLDS, HELD_OUT, settings.per_class, settings.max_bytes)
     split = [([b.decode() for b in t.encode().split()], y) for t, y in sample]
     return fit_tokens(split, settings)
 
@@ -251,16 +251,19 @@ def spans_of(held: Texts, start, stop, row, p, least: float) -> list[list[dict]]
     """Runs of neighbouring toxic tokens as code point spans of their text."""
     out: list[list[dict]] = [[] for _ in range(len(held))]
     hit = np.flatnonzero(p >= least)
-    for i in hit:
-        r = row[i]
-        origin = held.ends[r]
-        before = len(held.decode(origin, start[i]))
-        span = {"start": before, "end": before + len(held.decode(start[i], stop[i])), "p": float(p[i])}
-        if out[r] and out[r][-1]["at"] == i - 1:
-            out[r][-1].update(end=span["end"], p=max(out[r][-1]["p"], span["p"]), at=i)
-        else:
-            out[r].append(span | {"at": i})
-    return [[{k: v for k, v in s.items() if k != "at"} for s in spans] for spans in out]
+    if not len(hit):
+        return out
+    fresh = np.ones(len(hit), dtype=bool)
+    fresh[1:] = (hit[1:] != hit[:-1] + 1) | (row[hit[1:]] != row[hit[:-1]])
+    head = np.flatnonzero(fresh)
+    tail = np.append(head[1:], len(hit)) - 1
+    points = np.concatenate([[0], np.cumsum((held.data & 0xC0) != 0x80)])  # code points before each byte
+    rows = row[hit[head]]
+    origin = points[held.ends[rows]]
+    begins, ends = points[start[hit[head]]] - origin, points[stop[hit[tail]]] - origin
+    for r, a, b, most in zip(rows.tolist(), begins.tolist(), ends.tolist(), np.maximum.reduceat(p[hit], head).tolist()):
+        out[r].append({"start": a, "end": b, "p": most})
+    return out
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

@@ -7,6 +7,7 @@ are computed together, upward from the deepest, then downward, and give exact ma
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -24,6 +25,7 @@ BUCKETS = 1 << 14
 class Model:
     weights: np.ndarray
     pairs: np.ndarray  # kind of pair, parent's state, child's state
+    names: frozenset[str] = frozenset()  # that tell what an element holds; the others have no part
 
 
 def kind_of(tag: str) -> int:
@@ -39,8 +41,12 @@ def _level(x: float, steps: tuple[float, ...]) -> int:
     return sum(x >= s for s in steps)
 
 
-def features(page: Page) -> list[list[str]]:
-    """Features of each node; a run's describe its text and the elements around it."""
+def told(names: tuple[str, ...], known: frozenset[str] | None) -> tuple[str, ...]:
+    return names if known is None else tuple(name for name in names if name in known)
+
+
+def features(page: Page, known: frozenset[str] | None = None) -> list[list[str]]:
+    """Features of each node: its own, and those of all elements around it, with their names (that are ``known``)."""
     nodes = page.nodes
     chars, linked = [0] * len(nodes), [0] * len(nodes)
     for i in range(len(nodes) - 1, 0, -1):
@@ -54,13 +60,15 @@ def features(page: Page) -> list[list[str]]:
     around: list[tuple[str, ...]] = []  # features of the elements that a node stands in, its own included
     for i, node in enumerate(nodes):
         above = around[node.parent] if i else ()
-        if node.tag != "#text" and (node.names or node.tag in FRAMES):
-            above = tuple(dict.fromkeys((*above, *(f"un:{name}" for name in node.names), f"u:{node.tag}")))[-24:]
+        names = told(node.names, known)
+        if node.tag != "#text" and (names or node.tag in FRAMES):
+            new = [f for f in dict.fromkeys((*(f"un:{name}" for name in names), f"u:{node.tag}")) if f not in above]
+            above = (*above, *new) if new else above
         around.append(above)
         density = _level(linked[i] / max(1, chars[i]), (0.01, 0.2, 0.5, 0.9))
         size = _level(chars[i], (1, 15, 40, 100, 300, 1000))
         f = ["bias", f"t:{node.tag}", f"s:{kind_of(node.tag)}:{size}", f"d:{kind_of(node.tag)}:{density}", f"ds:{density}:{size}"]
-        f += [f"n:{name}" for name in node.names]
+        f += [f"n:{name}" for name in names]
         if node.tag == "#text":
             text = node.text
             if size < 5:  # punctuation tells prose from labels only where there is little text
@@ -70,7 +78,7 @@ def features(page: Page) -> list[list[str]]:
             if text[0] in "©|»«›‹•·":
                 f.append("mark")
         elif node.tag != "#page":
-            f.append(f"share:{_level(chars[i] / total, (0.02, 0.1, 0.3, 0.6, 0.95))}")
+            f += [f"share:{_level(chars[i] / total, (0.02, 0.1, 0.3, 0.6, 0.95))}", *around[node.parent]]
         out.append(f)
     return out
 
@@ -99,13 +107,13 @@ class Forest:
     begin: np.ndarray  # of each page
 
     @classmethod
-    def of(cls, pages: list[Page]) -> Forest:
+    def of(cls, pages: list[Page], known: frozenset[str] | None = None) -> Forest:
         parent, kind, depth, flat, counts, begin = [], [], [], [], [], [0]
         for page in pages:
             base = begin[-1]
-            for node, f in zip(page.nodes, features(page)):
+            for node, f in zip(page.nodes, features(page, known)):
                 parent.append(node.parent + base if node.parent >= 0 else -1)
-                kind.append(pair_kind(node.tag, node.names))
+                kind.append(pair_kind(node.tag, told(node.names, known)))
                 depth.append(node.depth)
                 flat.extend(map(_bucket, f))
                 counts.append(len(f))
@@ -159,14 +167,29 @@ def labels_of(page: Page) -> np.ndarray:
     return ((good > 0.5 * total) & (total > 0)).astype(int)
 
 
+def telling_names(pages: list[Page], labels: list[np.ndarray], purity: float = 0.8, least: int = 3) -> frozenset[str]:
+    """Names whose elements are mostly content, or mostly not, on some pages at least; a page counts once for a name and state.
+
+    Names of looks stand on elements of any kind, many at once: together they would outweigh the few that tell.
+    """
+    seen = (Counter(), Counter())
+    for page, y in zip(pages, labels):
+        for state in (0, 1):
+            seen[state].update({name for node, label in zip(page.nodes, y) if label == state for name in node.names})
+    total = seen[0] + seen[1]
+    return frozenset(name for name, n in total.items() if n >= least and max(seen[0][name], seen[1][name]) >= purity * n)
+
+
 def fit(pages: list[Page], steps: int = 250, ridge: float = 1e-5) -> Model:
     """Maximise the likelihood of labelled pages with full gradients."""
-    forest = Forest.of(pages)
-    y = np.concatenate([labels_of(page) for page in pages])
+    labels = [labels_of(page) for page in pages]
+    known = telling_names(pages, labels)
+    forest = Forest.of(pages, known)
+    y = np.concatenate(labels)
     child = forest.parent >= 0
     observed = np.zeros((2 * len(KINDS), 2, 2))
     np.add.at(observed, (forest.kind[child], y[forest.parent[child]], y[child]), 1.0)
-    model = Model(np.zeros(BUCKETS), np.zeros((2 * len(KINDS), 2, 2)))
+    model = Model(np.zeros(BUCKETS), np.zeros((2 * len(KINDS), 2, 2)), known)
     size, pair_size = np.zeros(BUCKETS), np.zeros_like(model.pairs)
     n = len(y)
     for _ in range(steps):

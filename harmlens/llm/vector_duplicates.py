@@ -84,11 +84,11 @@ def quantised(units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _pack(group: pa.Table) -> pa.Table:
-    """One row per tile: rows, ids, single-precision vectors, centre and angle radius."""
+    """One row per tile: rows, ids, vectors, centre and angle radius."""
     keep = lambda name, kind: group.column(name).to_numpy().astype(kind)
     dim = group.column("dim")[0].as_py()
     flat = group.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    vectors = flat.reshape(-1, dim).astype(np.float32)
+    vectors = flat.reshape(-1, dim)  # of the column's own precision
     units = unit(vectors)
     centre = units.sum(axis=0)
     size = np.sqrt(centre @ centre)
@@ -125,15 +125,15 @@ def tile_links(a: np.ndarray, b: np.ndarray, threshold: float, same: bool) -> np
     return linked
 
 
-def _compare(settings: Settings):
+def _compare(settings: Settings, kind: type):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 at = {name: batch.column(k)[i].as_py() for k, name in enumerate(batch.schema.names)}
                 read = lambda name, kind: np.frombuffer(at[name], dtype=kind)
                 same = at["tile"] == at["tile2"]
-                a = read("vectors", np.float32).reshape(-1, at["dim"])
-                b = read("vectors2", np.float32).reshape(-1, at["dim"])
+                a = read("vectors", kind).reshape(-1, at["dim"])
+                b = read("vectors2", kind).reshape(-1, at["dim"])
                 linked = tile_links(a, b, settings.threshold, same)
                 ids_a, ids_b = read("ids", "<i8"), read("ids2", "<i8")
                 to_a, to_b = least_reached(linked, ids_a, ids_b)
@@ -151,7 +151,9 @@ def _compare(settings: Settings):
 
 def grouped(vectors: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """vec_id, n_links, component_id (smallest id reachable), kept; one row per input row."""
-    rows = cut_lineage(vectors.select(F.monotonically_increasing_id().alias("row"), "vec_id", "label", F.col("embedding").cast("array<float>").alias("embedding")))
+    single = vectors.schema["embedding"].dataType.elementType.typeName() == "float"  # any other kind of number is held in double precision
+    held = F.col("embedding").cast("array<float>" if single else "array<double>").alias("embedding")
+    rows = cut_lineage(vectors.select(F.monotonically_increasing_id().alias("row"), "vec_id", "label", held))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     some = F.exists("embedding", lambda x: x != 0)
     valid = rows.filter(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & finite & some).withColumn("dim", F.size("embedding"))
@@ -177,7 +179,7 @@ def grouped(vectors: DataFrame, settings: Settings = Settings()) -> DataFrame:
     two = tiles.select("label", "dim", *(F.col(c).alias(f"{c}2") for c in ("tile", "rows", "ids", "vectors")))
     loaded = pairs.join(one, ["label", "dim", "tile"]).join(two, ["label", "dim", "tile2"])
     work = loaded.select("dim", "tile", "tile2", "rows", "ids", "vectors", "rows2", "ids2", "vectors2")
-    found = cut_lineage(work.mapInArrow(_compare(settings), "row bigint, vec_id bigint, least bigint, n bigint"))
+    found = cut_lineage(work.mapInArrow(_compare(settings, np.float32 if single else np.float64), "row bigint, vec_id bigint, least bigint, n bigint"))
     group = components(found.select(F.col("vec_id").alias("a"), F.col("least").alias("b")))
     counts = found.groupBy("row").agg(F.sum("n").alias("n_links"))
     out = rows.select("row", "vec_id").join(counts, "row", "left").join(group.withColumnRenamed("id", "vec_id"), "vec_id", "left")

@@ -3,6 +3,7 @@
 import dataclasses
 import random
 import re
+import resource
 
 import numpy as np
 import pytest
@@ -221,3 +222,31 @@ def test_secrets_keep_all_rows(spark):
     out = corpus_pipeline.redact(spark, docs, "").collect()
     assert sorted(str(r.text) for r in out) == ["None", "[SECRET]", "[SECRET]", "[SECRET]"]
     assert packing.packed(docs).agg(F.sum("length")).first()[0] > 4
+
+
+def test_repeated_rows_leave_one(spark):
+    a, b = prose(1, 40), prose(2, 40)
+    rows = [(7, a), (7, a), (9, a), (3, b), (3, b), (3, prose(5, 40)), (None, a), (None, a), (8, None), (8, None)]
+    kept = near_duplicates.deduplicated(clashing(documents(spark, rows)))
+    assert sorted((r.doc_id or 0, r.text in (a, None) or r.doc_id == 3) for r in kept.collect()) == [(0, True), (0, True), (3, True), (7, True), (8, True)]
+    again = near_duplicates.deduplicated(clashing(documents(spark, rows[::-1])))
+    assert sorted(map(str, kept.collect())) == sorted(map(str, again.collect()))
+    assert kept.columns == clashing(documents(spark, [])).columns
+
+
+def test_large_families_of_short_texts_stay_in_bounded_tiles(spark):
+    """20 000 sets of five shingles that all hold one shingle: tiles of about a thousand documents, whatever their shingles."""
+    ids = np.arange(20_000)
+    sets = spark.createDataFrame([(int(i), sorted([1, *(int(i) * 10 + k for k in range(2, 6))])) for i in ids], "id bigint, hashes array<bigint>")
+    rest = spark.createDataFrame([(0, int(i), 5) for i in ids], "key bigint, id bigint, n bigint")
+    assert near_duplicates._tile_links(rest, sets, near_duplicates.Settings()).collect() == []  # each pair shares one of nine shingles
+    used = resource.getrusage(resource.RUSAGE_CHILDREN).ru_maxrss / 1024
+    assert used < 2048
+
+
+def test_vectors_of_double_precision_keep_their_digits(spark):
+    base = np.array([1.0, 0.0, 0.0])
+    at = lambda cosine: [cosine, float(np.sqrt(1 - cosine * cosine)), 0.0]
+    rows = [(1, 1, base.tolist()), (2, 1, at(0.93 + 1e-12)), (3, 2, base.tolist()), (4, 2, at(0.93 - 1e-12)), (5, 3, [1e200, 0.0, 0.0]), (6, 3, [2e200, 1e180, 0.0])]
+    found = {r.vec_id: (r.n_links, r.component_id) for r in vector_duplicates.grouped(spark.createDataFrame(rows, "vec_id bigint, label int, embedding array<double>")).collect()}
+    assert found == {1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (0, 4), 5: (1, 5), 6: (1, 5)}

@@ -306,3 +306,24 @@ def test_secret_scan_has_no_python(spark, sf_dir):
     plan = q.op4(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
     assert not re.search("Python|Arrow|Pandas", shards.hashed(q.texts(spark, sf_dir)).groupBy().agg(F.sum("bytes"))._jdf.queryExecution().executedPlan().toString())
+
+
+def test_a_wrong_decoder_is_noticed():
+    """Round trips come from the rebuilt decoder, not from the pieces themselves."""
+    encoder = pieces.Encoder(pieces.MODEL)
+    texts = ["plain words here", "  two  spaces", "😀 é", "x"]
+    assert encoder.encode(texts)[3].all()
+    real = encoder.tokenizer.decoder
+    try:
+        for wrong in ([tokenizers.decoders.Replace("▁", "_"), tokenizers.decoders.ByteFallback(), tokenizers.decoders.Fuse()],
+                      [tokenizers.decoders.Replace("▁", " "), tokenizers.decoders.Fuse()],
+                      [tokenizers.decoders.Replace("▁", " "), tokenizers.decoders.ByteFallback(), tokenizers.decoders.Fuse()]):
+            encoder.tokenizer.decoder = tokenizers.decoders.Sequence(wrong)
+            encoder._forget()
+            assert not encoder.encode(texts)[3].all()
+        encoder.tokenizer.decoder = tokenizers.decoders.Sequence([tokenizers.decoders.Replace("▁", " "), tokenizers.decoders.ByteFallback(), tokenizers.decoders.Fuse(),
+                                                                  tokenizers.decoders.Strip(" ", 1, 0), tokenizers.decoders.Replace("words", "word")])
+        encoder._forget()
+        assert encoder.encode(texts)[3].tolist() == [False, True, True, True]  # of a run only the words that fail
+    finally:
+        encoder.tokenizer.decoder = real
