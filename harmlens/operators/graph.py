@@ -80,13 +80,10 @@ def initialize(nodes: DataFrame) -> DataFrame:
     return upsert(nodes, base_nodes(nodes.sparkSession), ["label", "key"], on_create=values, on_match=values)
 
 
-def risk_rows(unified: DataFrame) -> DataFrame:
-    """The attributes of each risk node and how many equal records it stands for.
-
-    Records without an id are left out.
-    """
+def _risk_columns(unified: DataFrame) -> DataFrame:
+    """The attributes of each record that has an id."""
     blank = F.lit("")
-    rows = unified.select(
+    return unified.select(
         F.col("risk_id").alias("id"), F.coalesce("risk_code", blank).alias("code"), F.coalesce("title.fr", blank).alias("titre_fr"),
         F.coalesce("title.en", blank).alias("titre_en"), F.coalesce("hazard_classification.unified.domain_code", F.lit("AUTRE")).alias("domain_code"),
         F.coalesce("data_provenance.source_system", F.lit("MANUAL_ENTRY")).alias("source_system"),
@@ -94,10 +91,22 @@ def risk_rows(unified: DataFrame) -> DataFrame:
         F.coalesce("industry_classification.scian.code", blank).alias("scian"), F.coalesce("industry_classification.nace.code", blank).alias("nace"),
         F.coalesce(F.array_join("metadata.tags", ","), blank).alias("tags"),
         F.coalesce("jurisdiction.primary_country", F.lit("XX")).alias("country"),
-        F.coalesce(F.element_at(F.split("jurisdiction.subdivision.code", "-"), -1), blank).alias("subdivision"))
+        F.coalesce(F.element_at(F.split("jurisdiction.subdivision.code", "-"), -1), blank).alias("subdivision")).filter("id <> ''")
+
+
+def risk_rows(unified: DataFrame) -> DataFrame:
+    """The attributes of each risk node and how many equal records it stands for.
+
+    Records without an id are left out.
+    """
+    rows = _risk_columns(unified)
     # an id stands for all fields of its record, so grouping by every column merges exact copies only
-    merged = rows.groupBy(*rows.columns).agg(row_count().alias("copies"))
-    return merged.filter("id <> ''")
+    return rows.groupBy(*rows.columns).agg(row_count().alias("copies"))
+
+
+def edge_rows(unified: DataFrame) -> DataFrame:
+    """The columns that ``risk_edges`` needs, once for each risk; nothing else of the records is read or moved."""
+    return _risk_columns(unified).select("id", "domain_code", "country", "subdivision", "scian").distinct()
 
 
 def missing_ids(unified: DataFrame) -> DataFrame:

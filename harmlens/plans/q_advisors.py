@@ -220,6 +220,23 @@ def _(t):
     return feat.regress_severity(establishment_features(t), key=ESTABLISHMENT_KEY).drop("rmse")
 
 
+# What the models answer on the test side has no twin; a fixture with known answers tests it.
+
+@query("f36_high_risk_scores")
+def _(t):
+    return feat.classify_high_risk(establishment_features(t), key=ESTABLISHMENT_KEY)
+
+
+@query("f36_category_scores")
+def _(t):
+    return feat.boost_category(establishment_features(t), key=ESTABLISHMENT_KEY)
+
+
+@query("f36_severity_scores")
+def _(t):
+    return feat.regress_severity(establishment_features(t), key=ESTABLISHMENT_KEY)
+
+
 CASE_YEAR = "SELECT industry_description AS secteur_scian, year AS annee, CAST(SUM(total_cases) AS BIGINT) AS n FROM osha_injuries GROUP BY 1, 2"
 
 

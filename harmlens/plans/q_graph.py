@@ -12,6 +12,7 @@ from harmlens.operators import graph as gr
 from harmlens.operators import harmonize as har
 from harmlens.operators import lookups as lk
 from harmlens.operators import warehouse as wh
+from harmlens.operators.containment import contained_keys
 from harmlens.plans.oracle import percent
 from harmlens.plans.q_harmonize import PARTS as HPARTS
 from harmlens.plans.q_harmonize import esaw_input
@@ -83,7 +84,7 @@ def _(t):
 SELECT rel, dst_label, dst, COUNT(*) AS n FROM (SELECT 'APPARTIENT_A' AS rel, 'DomaineRisque' AS dst_label, domain AS dst FROM risks
   UNION ALL SELECT 'LOCALISE_DANS', 'Juridiction', 'US' FROM risks UNION ALL SELECT 'DANS_SECTEUR', 'Secteur', scian FROM risks) GROUP BY ALL""", **PARTS)
 def _(t):
-    return agg.counts_by(gr.risk_edges(osha_risks(t)), ["rel", "dst_label", "dst"])
+    return agg.counts_by(gr.risk_edges(gr.edge_rows(har.transform_osha(t.osha_records, DAY))), ["rel", "dst_label", "dst"])
 
 
 @query("j10_link_existing_nodes", """
@@ -151,6 +152,19 @@ def _(t):
     return agg.counts_by(gr.containment_join(t.osha_records, "naics_code", index), ["item", "naics_code"])
 
 
+LONG_KEYS = """SELECT DISTINCT unnest(string_split(p_name, ' ')) AS key FROM part UNION SELECT substr(text, 1, 9) FROM benchmark WHERE text IS NOT NULL
+UNION SELECT substr(text, 1, 9) FROM conversations WHERE text IS NOT NULL"""
+
+
+@query("j13_long_lists", "SELECT key, COUNT(*) AS n, MIN(doc_id) AS first, MAX(doc_id) AS last FROM keys JOIN documents ON contains(text, key) GROUP BY 1", keys=LONG_KEYS)
+def _(t):
+    """Words of part names and beginnings of texts, in whole documents."""
+    begins = [t.base(name).select(F.substring("text", 1, 9).alias("key")) for name in ("benchmark", "conversations")]
+    keys = t.base("part").select(F.explode(F.split("p_name", " ")).alias("key")).unionByName(begins[0]).unionByName(begins[1])
+    pairs = contained_keys(t.base("documents"), "doc_id", "text", keys, "key")
+    return pairs.groupBy("key").agg(row_count().alias("n"), F.min("item").alias("first"), F.max("item").alias("last"))
+
+
 # Trade graph: nation - supplier - customer - nation, over all order lines.
 TRADE = """SELECT DISTINCT 'S' || CAST(l.l_suppkey AS STRING) AS a, 'C' || CAST(o.o_custkey AS STRING) AS b FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 UNION SELECT 'S' || CAST(s_suppkey AS STRING), 'N' || CAST(s_nationkey AS STRING) FROM supplier

@@ -422,8 +422,10 @@ def _(t):
     t.osha_records.write.csv(f"{root}/osha.csv", header=True)
     t.cnesst_lesions.write.csv(f"{root}/cnesst.csv", header=True)
     malformed_input(t).write.csv(f"{root}/esaw.csv", header=True)
-    logs = [layers.integrate_file(t.spark, f"{root}/{kind}.csv", f"{root}/{kind}_{sink}", DAY, [sink], har.SCHEMA).withColumn("outputs", F.lit(sink))
-            for kind in ("osha", "cnesst", "esaw") for sink in (*layers.OUTPUTS, "all")]
+    logs = []
+    for kind in ("osha", "cnesst", "esaw"):  # one attempt for each file, delivered to each sink alone and to all
+        attempt = layers.store_attempt(layers.read_records(t.spark, f"{root}/{kind}.csv"), f"{root}/{kind}", DAY, har.SCHEMA)
+        logs += [layers.deliver(attempt, f"{root}/{kind}_{sink}", [sink]).withColumn("outputs", F.lit(sink)) for sink in (*layers.OUTPUTS, "all")]
     return reduce(DataFrame.unionByName, logs)
 
 

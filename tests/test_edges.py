@@ -246,3 +246,42 @@ def test_missing_csv_folder(spark):
 
 def test_unknown_suffix_is_empty(spark):
     assert readers.read_records(spark, "/tmp/file.xlsx", "a string").count() == 0
+
+
+def test_a_batch_loaded_twice_is_there_once(spark):
+    from datetime import datetime
+
+    from harmlens.sources import layers
+    from harmlens.workspace import scratch_path
+
+    root = scratch_path(spark, "twice")
+    gold = spark.createDataFrame([("a", "OSHA", 2020), ("b", "OSHA", 2021)], "incident_id string, source string, year int")
+    load = lambda df, batch, mode="append": layers.load_gold(df, f"{root}/table", batch, datetime(2024, 1, 1), mode)
+    stored = lambda: sorted((r.incident_id, str(r.ingestion_batch_id)) for r in spark.read.parquet(f"{root}/table").collect())
+    load(gold, "one")
+    load(gold.filter("incident_id = 'b'"), "two")
+    assert load(gold, "one") == 2
+    assert stored() == [("a", "one"), ("b", "one"), ("b", "two")]
+    load(gold, "three", "overwrite")
+    assert stored() == [("a", "three"), ("b", "three")]
+    for _ in range(2):
+        layers.land_raw(gold, root, "osha", "day1")
+    layers.land_raw(gold, root, "osha", "day2")
+    assert spark.read.parquet(f"{root}/raw/osha").count() == 4
+
+
+def test_one_attempt_serves_all_sinks(spark):
+    from datetime import date
+
+    from harmlens.operators import harmonize
+    from harmlens.sources import layers
+    from harmlens.workspace import scratch_path
+
+    root = scratch_path(spark, "attempt")
+    raw = spark.createDataFrame([("1", "11"), ("2", "11"), ("2", "11")], "id string, event_type string")
+    attempt = layers.store_attempt(raw, root, date(2024, 1, 1), harmonize.SCHEMA)
+    assert (attempt.source, attempt.extracted, attempt.harmonized, attempt.valid) == ("osha", 3, 3, 3)
+    found = {sink: layers.deliver(attempt, f"{root}/{sink}", [sink]).first() for sink in (*layers.OUTPUTS, "all")}
+    assert {k: (r.written, r.loaded) for k, r in found.items()} == {"json": (3, 0), "graph": (0, 2), "table": (0, 3), "all": (3, 5)}
+    whole = layers.integrate(raw, f"{root}/whole", date(2024, 1, 1), ["all"], harmonize.SCHEMA).first()
+    assert whole == found["all"]

@@ -9,7 +9,7 @@ from harmlens.operators import windows as win
 from harmlens.plans import REGISTRY
 from harmlens.plans.tables import tables_for
 
-EAGER = {"f36_classify_high_risk", "f36_classify_category", "f36_regress_severity"}
+EAGER = {n for n in REGISTRY if n.startswith("f36_")}
 
 
 def plan_of(df) -> str:
@@ -61,3 +61,8 @@ def test_scratch_folders_are_removed(spark):
     spark.range(1).write.parquet(path)
     assert clear_scratch(spark) >= 1
     assert clear_scratch(spark) == 0
+
+
+def test_risk_edges_move_their_own_columns_only(spark, sf_dir):
+    plan = REGISTRY["g02_risk_edges"].run(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "titre_fr" not in plan and "tags" not in plan and "total_incidents" not in plan
