@@ -18,6 +18,7 @@ from harmlens.functions.exprs import row_count
 from harmlens.workspace import cut_lineage
 
 PART = 100_000  # postings of a run that one task takes
+SMALL = 100_000  # runs that every task may be sent, a few MB
 LIST = 64  # lists of candidate keys that a text with very many is given
 
 
@@ -33,6 +34,11 @@ def _short(chars: str, q: int) -> Column:
     return F.concat(F.array(F.lit("")), *[_runs(chars, k) for k in range(1, q)])
 
 
+def _sized(df: DataFrame) -> DataFrame:
+    """Sent to every task if it has few rows, and otherwise left to the optimizer; rows are short runs, counted from a stored table."""
+    return F.broadcast(df) if df.count() <= SMALL else df
+
+
 def _chars(text: str) -> Column:
     return F.when(F.col(text) == "", F.array().cast("array<string>")).otherwise(F.split(text, ""))
 
@@ -45,19 +51,22 @@ def contained_keys(items: DataFrame, item: str, text: str, keys: DataFrame, key:
     long_runs = split.filter(F.size("chars") >= q).select("key", F.explode(_runs("chars", q)).alias("run"))
     short_runs = split.filter(F.size("chars") < q).select(F.col("key").alias("run"))
     known = cut_lineage(long_runs.select("run").union(short_runs).distinct())
-    # postings of the keys' runs only; the runs are joined where they arise, before any shuffle if the keys are few
+    # two passes over the texts: runs are counted first, combined within each task; postings are made for the chosen ones only
     held = texts.withColumn("chars", _chars("text"))
-    shorter = _short("chars", q) if not short_runs.isEmpty() else F.array().cast("array<string>")
-    posted = cut_lineage(held.select("item", F.xxhash64("text").alias("t"), F.explode(F.concat(_runs("chars", q), shorter)).alias("run")).join(known, "run"))
-    counts = cut_lineage(posted.groupBy("run").agg(row_count().alias("texts")))
-    rarest = long_runs.join(counts, "run", "left").withColumn("texts", F.coalesce("texts", F.lit(0))).groupBy("key").agg(
-        F.min(F.struct("texts", "run")).alias("least")).filter("least.texts > 0").select("key", "least.run", F.ceil(F.col("least.texts") / part).cast("int").alias("parts"))
+    has_short = not short_runs.isEmpty()
+    shorter = _short("chars", q) if has_short else F.array().cast("array<string>")
+    runs = held.select("item", F.xxhash64("text").alias("t"), F.explode(F.concat(_runs("chars", q), shorter)).alias("run"))
+    counts = cut_lineage(runs.select("run").join(_sized(known), "run").groupBy("run").agg(row_count().alias("texts")))
+    rarest = cut_lineage(long_runs.join(counts, "run", "left").withColumn("texts", F.coalesce("texts", F.lit(0))).groupBy("key").agg(
+        F.min(F.struct("texts", "run")).alias("least")).filter("least.texts > 0").select("key", "least.run", F.ceil(F.col("least.texts") / part).cast("int").alias("parts")))
     # each part of a run has all its keys and a share of its texts
-    parted = posted.join(rarest.groupBy("run").agg(F.max("parts").alias("parts")), "run").withColumn("part", F.pmod(F.xxhash64("item", "t"), F.col("parts")).cast("int"))
+    chosen = cut_lineage(rarest.groupBy("run").agg(F.max("parts").alias("parts")))
+    parted = runs.join(_sized(chosen), "run").withColumn("part", F.pmod(F.xxhash64("item", "t"), F.col("parts")).cast("int"))
     asked = rarest.select("run", "key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     candidates = parted.select("run", "part", "item", "t").join(asked, ["run", "part"])
     lists = candidates.groupBy("item", "t", F.pmod(F.xxhash64("key"), F.lit(LIST)).alias("list")).agg(F.collect_set("key").alias("keys"))
     looked = texts.withColumn("t", F.xxhash64("text")).join(lists.withColumnRenamed("item", "__item").withColumnRenamed("t", "__t"), F.col("item").eqNullSafe(F.col("__item")) & (F.col("t") == F.col("__t")))
     found = looked.select("item", F.explode(F.filter("keys", lambda k: F.col("text").contains(k))).alias("key")).select("key", "item")
-    short = posted.join(short_runs, "run", "left_semi").select(F.col("run").alias("key"), "item")
-    return found.unionByName(short).distinct()
+    if has_short:
+        found = found.unionByName(runs.join(_sized(cut_lineage(short_runs)), "run").select(F.col("run").alias("key"), "item"))
+    return found.distinct()
