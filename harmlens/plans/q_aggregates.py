@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from harmlens.operators import aggregates as agg
 from harmlens.operators import incremental as inc
+from harmlens.operators import sql_functions as sf
 from harmlens.plans.oracle import flag, percent, ratio
 from harmlens.plans.registry import query
 from harmlens.workspace import scratch_path
@@ -151,6 +152,27 @@ def _(t):
     return agg.compare_to_province(t.lesions, "PSY")
 
 
+WANTED = "(SELECT DISTINCT secteur_scian AS secteur FROM {lesions})"
+
+
+@query("a14_sql_function", same_as="a14_sector_profile_exact")
+def _(t):
+    sf.register_functions(t.lesions, steps=STEPS)
+    return t.spark.sql(f"SELECT p.* FROM {WANTED} w, LATERAL {sf.PROFILE_FUNCTION}(w.secteur) p", lesions=t.lesions)
+
+
+@query("a15_sql_function", " UNION ALL ".join(f"""
+SELECT s.secteur_scian AS secteur, '{flag.upper()}' AS indicateur, s.pct_{flag} AS taux_secteur, p.pct_{flag} AS taux_provincial,
+  ROUND(s.pct_{flag} - p.pct_{flag}, 2) AS ecart,
+  CASE WHEN s.pct_{flag} > p.pct_{flag} * CAST(1.2 AS DOUBLE) THEN '⚠️ AU-DESSUS (+20%)'
+       WHEN s.pct_{flag} < p.pct_{flag} * CAST(0.8 AS DOUBLE) THEN '✅ EN-DESSOUS (-20%)' ELSE '➡️ DANS LA MOYENNE' END AS statut
+FROM sector_rate s, province_rate p""" for flag in ("tms", "psy", "machine", "surdite")))
+def _(t):
+    sf.register_functions(t.lesions)
+    wanted = f"SELECT secteur, indicateur FROM {WANTED} LATERAL VIEW explode(array('TMS', 'PSY', 'MACHINE', 'SURDITE')) AS indicateur"
+    return t.spark.sql(f"SELECT p.*, w.indicateur FROM ({wanted}) w, LATERAL {sf.COMPARE_FUNCTION}(w.secteur, w.indicateur) p", lesions=t.lesions)
+
+
 @query("a16_global_stats", """
 SELECT jurisdiction, year, incident_type, COUNT(*) AS incident_count,
   CAST(COUNT(*) FILTER (WHERE incident_type = 'fatal') AS BIGINT) AS fatalities, AVG(days_lost) AS avg_days_lost,
