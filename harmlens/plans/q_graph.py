@@ -13,6 +13,7 @@ from harmlens.operators import harmonize as har
 from harmlens.operators import lookups as lk
 from harmlens.operators import warehouse as wh
 from harmlens.operators.containment import contained_keys
+from harmlens.operators.paths import paths_from_both_ends
 from harmlens.plans.oracle import percent
 from harmlens.plans.q_harmonize import PARTS as HPARTS
 from harmlens.plans.q_harmonize import esaw_input
@@ -195,9 +196,9 @@ def trade_edges(t):
     return gr.merged_edges(sales, home, buyers, regions)
 
 
-def nation_paths(t):
+def nation_paths(t, search=gr.shortest_paths):
     nodes = t.base("nation").select(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("node"))
-    return gr.shortest_paths(trade_edges(t), nodes.filter(F.col("node").startswith("N1")), nodes)
+    return search(trade_edges(t), nodes.filter(F.col("node").startswith("N1")), nodes)
 
 
 @query("g07_concordance_path", WALK_SQL, **WALKS)
@@ -205,6 +206,11 @@ def _(t):
     return nation_paths(t).withColumn("path", F.array_join("path", ">"))
 
 
+@query("g07_both_ends", same_as="g07_concordance_path")
+def _(t):
+    return nation_paths(t, paths_from_both_ends).withColumn("path", F.array_join("path", ">"))
+
+
 @query("j15_shortest_path", f"SELECT path_length, COUNT(*) AS n FROM ({PATH_SQL}) GROUP BY 1", **HOPS)
 def _(t):
     return agg.counts_by(nation_paths(t), ["path_length"])
