@@ -6,36 +6,64 @@ of five, and the search ends as soon as every pair is joined.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harmlens.functions.exprs import row_count
 from harmlens.operators.graph import union_all
 from harmlens.workspace import cut_lineage
 
-#: Edges of one node that one row of the edge table's key holds; a node with more is dealt over several keys.
+#: Edges of one node under one key of the edge layout; a node with more is dealt over several keys.
 HUB = 4096
+#: Rows up to which a counted frontier is sent to the edges; beyond it, the frontier travels to edges laid out by node.
+SMALL = 100_000
 
 
-def adjacency(edges: DataFrame, hub: int = HUB) -> tuple[DataFrame, DataFrame]:
-    """Undirected edges without loops or repeats: ``a``, ``part``, ``b``, ``fan``, laid out by (a, part) once; and the hubs.
+class Network:
+    """Undirected edges without loops and nulls.
 
-    The edges of ``a`` are dealt over as many parts as its degree needs; ``fan`` is the number of parts of ``b``,
-    so that whoever arrives at ``b`` knows the keys to ask for. Only hubs are joined back to get it.
+    Repeated edges give equal rows, which each hop merges map-side, so they are left in until edges are laid out.
     """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct()
-    both = cut_lineage(both)
-    hubs = both.groupBy("a").agg(row_count().alias("degree")).filter(F.col("degree") > hub).select(
-        F.col("a").alias("hub"), F.ceil(F.col("degree") / hub).cast("int").alias("parts"))
-    hubs = cut_lineage(hubs)
-    parts = lambda end, name: hubs.select(F.col("hub").alias(f"__{end}"), F.col("parts").alias(name))
-    dealt = both.join(parts("a", "own"), F.col("a") == F.col("__a"), "left").join(parts("b", "fan"), F.col("b") == F.col("__b"), "left")
-    part = F.pmod(F.xxhash64("b"), F.coalesce("own", F.lit(1))).cast("int")
-    spread = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.select("a", part.alias("part"), "b", F.coalesce("fan", F.lit(1)).alias("fan"))
-    return cut_lineage(dealt.repartition(spread, "a", "part")), hubs
+
+    def __init__(self, edges: DataFrame, hub: int = HUB):
+        self.edges, self.hub, self._laid = cut_lineage(edges.select("a", "b").filter("a <> b")), hub, None
+
+    def both(self) -> DataFrame:
+        """Every edge from either end; read, not shuffled."""
+        ways = F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+        return self.edges.select(ways)
+
+    def laid(self) -> tuple[DataFrame, DataFrame]:
+        """Distinct edges by (a, part), shuffled once for all hops that need it, and the hubs with their number of parts.
+
+        The edges of a hub are dealt over as many parts as its degree needs; other nodes have part 0.
+        """
+        if self._laid is None:
+            both = cut_lineage(self.both().distinct())
+            degree = both.groupBy(F.col("a").alias("hub")).agg(row_count().alias("degree"))
+            hubs = cut_lineage(degree.filter(F.col("degree") > self.hub).select("hub", F.ceil(F.col("degree") / self.hub).cast("int").alias("parts")))
+            hubs = _sent(hubs, hubs.count())
+            part = F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1))).cast("int")
+            spread = int(self.edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            dealt = both.join(hubs, F.col("a") == F.col("hub"), "left").select("a", part.alias("part"), "b")
+            self._laid = cut_lineage(dealt.repartition(spread, "a", "part")), hubs
+        return self._laid
+
+    def step(self, frontier: DataFrame, small: bool) -> DataFrame:
+        """The frontier's rows beside each neighbour ``b`` of their ``node``."""
+        if small:
+            return self.both().join(F.broadcast(frontier), F.col("a") == F.col("node"))
+        near, hubs = self.laid()
+        parts = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
+        asked = frontier.join(hubs, F.col("node") == F.col("hub"), "left").select(*frontier.columns, F.explode(parts).alias("__part"))
+        return asked.join(near, (F.col("node") == F.col("a")) & (F.col("__part") == F.col("part")))
+
+
+def _sent(df: DataFrame, rows: int, small: int = SMALL) -> DataFrame:
+    """A counted frame, sent to all tasks where it is small; otherwise the join is left to its plan."""
+    return F.broadcast(df) if rows <= small else df
 
 
 @dataclass
@@ -48,31 +76,30 @@ class Side:
 
     levels: list[DataFrame]
     towards: bool
-    rows: int = field(default=0)
+    rows: int
 
-    def grow(self, near: DataFrame, open_roots: DataFrame | None) -> None:
+    def grow(self, network: Network, open_roots: DataFrame | None, small: int) -> None:
         """One hop: from the outermost level to nodes not seen from that root; roots with no open pair stay behind."""
         edge = self.levels[-1]
         if open_roots is not None:
             edge = edge.join(open_roots, "root", "left_semi")
-        asked = edge.select("root", "node", "value", F.explode(F.sequence(F.lit(0), F.col("fan") - 1)).alias("part"))
         value = F.col("node") if self.towards else F.concat("value", F.array("b"))
-        step = asked.join(near, (F.col("node") == F.col("a")) & (asked["part"] == near["part"]))
-        step = step.select("root", F.col("b").alias("node"), value.alias("value"), near["fan"])
-        step = step.groupBy("root", "node").agg(F.min("value").alias("value"), F.max("fan").alias("fan"))
+        step = network.step(edge, self.rows <= small).select("root", F.col("b").alias("node"), value.alias("value"))
+        step = step.groupBy("root", "node").agg(F.min("value").alias("value"))
         # an undirected neighbour of level d lies on level d - 1, d or d + 1: older levels can't be met again
         seen = union_all(*[level.select("root", "node") for level in self.levels[-2:]])
         self.levels.append(cut_lineage(step.join(seen, ["root", "node"], "left_anti")))
         self.rows = self.levels[-1].count()
 
 
-def _start(nodes: DataFrame, hubs: DataFrame, value: Column) -> DataFrame:
+def _start(nodes: DataFrame, towards: bool) -> Side:
     """Level 0: each root on itself."""
-    roots = nodes.select("node").filter("node IS NOT NULL").distinct().join(hubs, F.col("node") == F.col("hub"), "left")
-    return cut_lineage(roots.select(F.col("node").alias("root"), "node", value.alias("value"), F.coalesce("parts", F.lit(1)).alias("fan")))
+    value = F.lit(None).cast("string") if towards else F.array("node")
+    roots = cut_lineage(nodes.filter("node IS NOT NULL").select("node").distinct().select(F.col("node").alias("root"), "node", value.alias("value")))
+    return Side([roots], towards, roots.count())
 
 
-def paths_from_both_ends(edges: DataFrame, sources: DataFrame, targets: DataFrame, max_hops: int = 5, hub: int = HUB) -> DataFrame:
+def paths_from_both_ends(edges: DataFrame, sources: DataFrame, targets: DataFrame, max_hops: int = 5, hub: int = HUB, small: int = SMALL) -> DataFrame:
     """For every source and target, the smallest of the shortest undirected paths of at most ``max_hops`` edges.
 
     ``edges(a, b)``, ``sources(node)``, ``targets(node)``; the result has ``source``, ``target``, ``path`` and
@@ -81,23 +108,19 @@ def paths_from_both_ends(edges: DataFrame, sources: DataFrame, targets: DataFram
     there and takes the smallest first half (map-side, so a node between many pairs is not gathered). The second half
     follows the stored next nodes. Null ends are no nodes; repeated edges and nodes count once; a source is no target of itself.
     """
-    near, hubs = adjacency(edges, hub)
-    ahead = Side([_start(sources, hubs, F.array("node"))], towards=False)
-    back = Side([_start(targets, hubs, F.lit(None).cast("string"))], towards=True)
+    network, ahead, back = Network(edges, hub), _start(sources, towards=False), _start(targets, towards=True)
     found: list[tuple[DataFrame, int]] = []
-    ahead.rows, back.rows = ahead.levels[0].count(), back.levels[0].count()
-    aims, starts = back.rows, ahead.rows
-    own = ahead.levels[0].select("root").join(back.levels[0].select("root"), "root", "left_semi").withColumn("own", F.lit(1))
-    own = cut_lineage(own)
+    starts, aims = ahead.rows, back.rows
+    own = cut_lineage(ahead.levels[0].select("root").join(back.levels[0].select("root"), "root", "left_semi").withColumn("own", F.lit(1)))
     open_sources = open_targets = None
     for _ in range(max_hops):
         if ahead.rows <= back.rows:
-            ahead.grow(near, open_sources)
+            ahead.grow(network, open_sources, small)
         else:
-            back.grow(near, open_targets)
+            back.grow(network, open_targets, small)
         first = ahead.levels[-1].select(F.col("root").alias("source"), F.col("node").alias("at"), F.col("value").alias("path"))
         second = back.levels[-1].select(F.col("root").alias("target"), F.col("node").alias("at"))
-        met = first.join(second, "at").filter("source <> target")
+        met = first.join(_sent(second, back.rows, small), "at").filter("source <> target")
         met = met.groupBy("source", "target").agg(F.min("path").alias("path"))
         if found:
             met = met.join(union_all(*[pairs.select("source", "target") for pairs, _ in found]), ["source", "target"], "left_anti")

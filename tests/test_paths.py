@@ -37,13 +37,13 @@ def found(spark, edges, sources, targets, **options):
     return {(r.source, r.target): tuple(r.path) for r in rows}
 
 
-@pytest.mark.parametrize("seed, hops, hub", [(1, 5, 3), (2, 4, 4096), (3, 1, 2), (4, 6, 1)])
-def test_equals_brute_force(spark, seed, hops, hub):
+@pytest.mark.parametrize("seed, hops, hub, small", [(1, 5, 3, 0), (2, 4, 4096, 100_000), (4, 6, 1, 20)])
+def test_equals_brute_force(spark, seed, hops, hub, small):
     rng = random.Random(seed)
     nodes = [f"n{i:02d}" for i in range(40)]
     edges = [(rng.choice(nodes), rng.choice(nodes)) for _ in range(44)] + [("hub", n) for n in nodes[:9]] + [(None, "n01"), ("n02", None)]
     sources, targets = rng.sample(nodes, 6), rng.sample(nodes, 15)
-    got = found(spark, edges + edges[:5], sources + sources[:1] + [None], targets, max_hops=hops, hub=hub)
+    got = found(spark, edges + edges[:5], sources + sources[:1] + [None], targets, max_hops=hops, hub=hub, small=small)
     assert got == smallest_paths(edges, sources, targets, hops)
 
 
