@@ -231,11 +231,15 @@ TRANSFORMS = {"osha": transform_osha, "esaw": transform_esaw, "cnesst": transfor
 
 def detect_record(record: Column) -> Column:
     """A record's source by the fields its map contains."""
+    return _detect(lambda f: F.map_contains_key(record, f))
+
+
+def _detect(has: Callable[[str], Column]) -> Column:
     out = None
     for name, fields in SOURCE_FIELDS:
         hit = F.lit(False)
         for f in fields:
-            hit = hit | F.map_contains_key(record, f)
+            hit = hit | has(f)
         out = (F if out is None else out).when(hit, F.lit(name))
     return out.otherwise(F.lit("generic"))
 
@@ -246,21 +250,50 @@ def detect_frame(df: DataFrame) -> str:
 
 
 def attempt_mixed(records: DataFrame, as_of: date, record: str = "record") -> DataFrame:
-    """``attempt`` for records of any source, each a map of strings.
-
-    One detection and one struct per row: only the branch of the row's own source reads the map.
-    """
+    """``attempt`` for records of any source, each a map of strings."""
     r = F.col("r")
-    fields = F.array_join(F.transform(F.array_sort(F.map_keys(r)), lambda k: F.concat(k, F.lit("="), r[k])), "|")
+    return _attempt_any(records.select(F.col(record).alias("r")), detect_record(r), from_map(r), _map_fields(r), F.to_json(r), as_of)
+
+
+def _map_fields(record: Column) -> Column:
+    """All filled fields of a map, by name."""
+    return F.array_join(F.transform(F.array_sort(F.map_keys(record)), lambda k: F.concat(k, F.lit("="), record[k])), "|")
+
+
+def _attempt_any(records: DataFrame, detected: Column, get: Get, fields: Column, raw: Column, as_of: date) -> DataFrame:
+    """One detection and one struct per row: only the branch of the row's own source reads the record ``r``."""
     # generators keep the optimizer from copying the detection and the branches into every use of their columns
-    rows = records.select(F.col(record).alias("r"), F.inline(F.array(F.struct(detect_record(F.col(record)).alias("src")))))
+    rows = records.select("r", F.inline(F.array(F.struct(detected.alias("src")))))
     chosen = F
     for source, prepare in PREPARE.items():
-        values = prepare(from_map(r))
+        values = prepare(get)
         own = F.struct(*[values.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in PREPARED.items()])
         chosen = chosen.when(F.col("src") == source, own)
     prepared = rows.select("src", "r", F.inline(F.array(chosen)))
-    return unify(prepared.withColumns({"_source_record": F.to_json(r), "_fields": fields}).drop("r"), as_of)
+    return unify(prepared.withColumns({"_source_record": raw, "_fields": fields}).drop("r"), as_of)
+
+
+def from_variant(record: Column) -> Get:
+    """Access by field of a VARIANT object; a number is its value, a nested field its JSON text."""
+    def get(*names: str, default: str | None = "") -> Column:
+        return F.coalesce(*[F.try_variant_get(record, f"$.{n}", "string") for n in names], F.lit(default))
+    return get
+
+
+def attempt_variants(records: DataFrame, as_of: date, record: str = "record") -> DataFrame:
+    """``attempt`` for records of any source, each a VARIANT object as ``sources.variants`` reads them.
+
+    Fields are read by path where a row's source asks for them; nested values and numbers stay in ``_source_record``.
+    """
+    r = F.col("r")
+    detected = _detect(lambda f: F.try_variant_get(r, f"$.{f}", "variant").isNotNull())
+    fields = _map_fields(F.try_variant_get(r, "$", "map<string,string>"))
+    return _attempt_any(records.select(F.col(record).alias("r")), detected, from_variant(r), fields, F.to_json(r), as_of)
+
+
+def transform_variants(records: DataFrame, as_of: date, record: str = "record") -> DataFrame:
+    """H11 over VARIANT records: those that can be read, unified."""
+    return succeeded(attempt_variants(records, as_of, record))
 
 
 def transform_mixed(records: DataFrame, as_of: date, record: str = "record") -> DataFrame:

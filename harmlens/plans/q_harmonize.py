@@ -9,6 +9,8 @@ from harmlens.operators import json_schema as js
 from harmlens.operators import lookups as lk
 from harmlens.operators.aggregates import counts_by
 from harmlens.plans.registry import query
+from harmlens.sources import variants
+from harmlens.workspace import scratch_path
 
 AS_OF = date(2024, 1, 1)
 CASE_ID = ["annee", "scian", "genre_accident", "nature_lesion"]
@@ -179,6 +181,31 @@ def _(t):
     return counts_by(flatten(har.transform_mixed(mixed_records(t), AS_OF)), ["risk_id", "risk_code", *UNHASHED])
 
 
+def landed_variants(t):
+    """Rows of every source as JSON lines with numbers, conversation turns that fit none, and as many lines that hold no record."""
+    turns = t.base("conversations")
+    frames = (t.osha_records, esaw_input(t), t.cnesst_lesions, turns.select("conv_id", "role"))
+    lines = [df.select(F.to_json(F.struct("*")).alias("value")) for df in frames]
+    lines.append(turns.select(F.concat(F.lit('{"conv_id": '), F.col("conv_id").cast("string")).alias("value")))
+    lines.append(turns.select(F.to_json(F.array("conv_id")).alias("value")))
+    folder = scratch_path(t.spark, "lines")
+    for part in lines:
+        part.write.mode("append").text(f"{folder}/text")
+    variants.land_variants(t.spark, f"{folder}/text", f"{folder}/parsed")
+    return f"{folder}/parsed"
+
+
+@query("h11_variant", same_as="h11_transform_mixed")
+def _(t):
+    records = variants.landed_records(t.spark, landed_variants(t))
+    return counts_by(flatten(har.transform_variants(records, AS_OF)), ["risk_id", "risk_code", *UNHASHED])
+
+
+@query("h11_variant_rejects", "SELECT r AS reason, COUNT(*) AS n FROM conversations, (VALUES ('not JSON'), ('not an object')) v(r) GROUP BY 1")
+def _(t):
+    return counts_by(variants.landed_rejects(t.spark, landed_variants(t)), ["reason"])
+
+
 @query("h11_detect_record", """
 SELECT 'osha' AS source, COUNT(*) AS n FROM osha_records UNION ALL SELECT 'esaw', COUNT(*) FROM esaw
 UNION ALL SELECT 'cnesst', COUNT(*) FROM cnesst_lesions UNION ALL SELECT 'generic', COUNT(*) FROM conversations""")
