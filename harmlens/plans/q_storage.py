@@ -16,6 +16,7 @@ from harmlens.operators import enrichment as enr
 from harmlens.operators import features as feat
 from harmlens.operators import harmonize as har
 from harmlens.operators import warehouse as wh
+from harmlens.operators.windows import concat
 from harmlens.plans.oracle import ratio
 from harmlens.plans.q_advisors import FEATURE_INPUT, FEATURES, feature_input
 from harmlens.plans.q_harmonize import PARTS as HPARTS
@@ -23,7 +24,7 @@ from harmlens.plans.q_harmonize import flatten, malformed_input
 from harmlens.plans.q_sectors import BASE as FBASE
 from harmlens.plans.q_sectors import STEPS
 from harmlens.plans.registry import query
-from harmlens.sources import catalog, conform, layers, readers
+from harmlens.sources import catalog, conform, layers, readers, widening
 from harmlens.workspace import scratch_path
 
 NOW = datetime(2024, 1, 1)
@@ -171,6 +172,27 @@ def _(t):
     return merged.groupBy("jurisdiction", "source").agg(F.count(F.lit(1)).alias("n"), F.count("state").alias("with_state"), F.count("country_code").alias("with_country"))
 
 
+@query("s09_merge_conflicting", """
+SELECT 'row' AS part, CAST(year_filing_for AS STRING) AS name, COUNT(*) AS n, CAST(SUM(total_injuries) AS BIGINT) AS injuries, CAST(SUM(FLOOR(total_hours_worked)) AS BIGINT) AS hours FROM osha_raw GROUP BY 2
+UNION ALL SELECT 'total_injuries', t.type, NULL, NULL, NULL FROM (VALUES ('int'), ('bigint'), ('double'), ('string')) t(type)
+UNION ALL SELECT 'total_hours_worked', t.type, NULL, NULL, NULL FROM (VALUES ('int'), ('bigint')) t(type)
+UNION ALL SELECT 'unreadable', 'CANNOT_READ_FILE_FOOTER', 1, NULL, NULL""")
+def _(t):
+    # Four writers, each with its own type of a count, two with their own type of the hours, and one file that is not Parquet.
+    root = scratch_path(t.spark, "gold")
+    hours = {"int": "int", "bigint": "bigint", "double": "bigint", "string": "int"}
+    for i, kind in enumerate(hours):
+        t.osha_raw.filter(f"year_filing_for % 4 = {i}").select(
+            F.col("year_filing_for").alias("year"), F.col("total_injuries").cast(kind), F.col("total_hours_worked").cast(hours[kind])).write.parquet(f"{root}/writer={kind}")
+    t.spark.range(1).select(F.lit("no columns").alias("value")).coalesce(1).write.text(f"{root}/writer=other")
+    merged = widening.merge_widened(t.spark, root)
+    rows = merged.rows.groupBy(F.col("year").cast("string").alias("name")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("total_injuries").cast("double")).cast("bigint").alias("injuries"), F.sum("total_hours_worked").cast("bigint").alias("hours"))
+    kinds = merged.conflicts.select(F.col("column").alias("part"), F.col("type").alias("name"))
+    bad = merged.unreadable.groupBy(F.col("reason").alias("name")).agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.lit("unreadable"))
+    return concat(rows.withColumn("part", F.lit("row")), kinds, bad).select("part", "name", "n", "injuries", "hours")
+
+
 @query("s10_replace_table", "SELECT naics_code, COUNT(*) AS n, CAST(SUM(total_injuries) AS BIGINT) AS injuries FROM osha_raw GROUP BY 1")
 def _(t):
     path = scratch_path(t.spark, "table")
