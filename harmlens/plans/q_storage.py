@@ -15,6 +15,7 @@ from harmlens.operators import aggregates as agg
 from harmlens.operators import enrichment as enr
 from harmlens.operators import features as feat
 from harmlens.operators import harmonize as har
+from harmlens.operators import keyed_table as kt
 from harmlens.operators import warehouse as wh
 from harmlens.operators.windows import concat
 from harmlens.plans.oracle import ratio
@@ -474,6 +475,14 @@ def _(t):
     return _status(t).select("source_key", "source_name", "jurisdiction", "rows_ingested", "total_rows", "status")
 
 
+@query("t01_upsert_touched", same_as="t01_update_sources")
+def _(t):
+    table = kt.create(wh.empty_status(t.spark), scratch_path(t.spark, "sources"), ("source_key",))
+    for d, runs in ((1, _runs(t, 1).filter("source_key = 'OSHA'")), (2, _runs(t, 2))):
+        kt.upsert_stored(table, runs, lambda old, new, d=d: wh.update_sources(old, new, datetime(2024, 1, d)))
+    return kt.read(t.spark, table).select("source_key", "source_name", "jurisdiction", "rows_ingested", "total_rows", "status")
+
+
 @query("a20_source_status", "SELECT * FROM source_rows", source_rows=STATUS)
 def _(t):
     return wh.source_status(_status(t))
@@ -540,7 +549,23 @@ SELECT COALESCE(a.naics_code, b.naics_code) AS code, CASE WHEN a.naics_code IS N
   COALESCE(b.n, a.n) AS total, a.n AS first_total FROM (SELECT naics_code, COUNT(*) AS n FROM osha_raw WHERE naics_code <> '62' GROUP BY 1) a
 FULL JOIN (SELECT naics_code, COUNT(*) AS n FROM osha_records GROUP BY 1) b ON a.naics_code = b.naics_code""")
 def _(t):
+    return _merge_nodes(*_nodes(t))
+
+
+def _nodes(t):
     old = t.osha_raw.filter("naics_code <> '62'").groupBy(F.col("naics_code").alias("code")).agg(F.count(F.lit(1)).alias("total")).select(
         "code", F.lit("kept").alias("state"), "total", F.col("total").alias("first_total"))
     new = t.osha_records.groupBy(F.col("naics_code").alias("code")).agg(F.count(F.lit(1)).alias("seen"))
+    return old, new
+
+
+def _merge_nodes(old, new):
     return wh.upsert(old, new, ["code"], on_create={"state": F.lit("created"), "total": F.col("n.seen")}, on_match={"state": F.lit("matched"), "total": F.col("n.seen")})
+
+
+@query("t06_upsert_touched", same_as="t06_merge_nodes")
+def _(t):
+    old, new = _nodes(t)
+    table = kt.create(old, scratch_path(t.spark, "nodes"), ("code",))
+    kt.upsert_stored(table, new, _merge_nodes)
+    return kt.read(t.spark, table)
