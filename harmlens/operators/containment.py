@@ -7,6 +7,9 @@ shorter key is a run itself, and its postings are the answer. No pair is formed
 A run that many texts hold is dealt to parts of bounded size, by text, with its keys in each part. Texts meet their
 candidates once, in lists of bounded length. The result has one row for each key and item; a null key or text has none, and
 an empty key stands in every text that is not null.
+
+A list of keys that is counted and small is sent to every task instead, and texts stay where they are: every position of a
+text gives a window of a few characters, looked up by its first ones. Only a key longer than a window meets texts again.
 """
 
 from __future__ import annotations
@@ -19,6 +22,9 @@ from harmlens.workspace import cut_lineage
 
 PART = 100_000  # postings of a run that one task takes
 SMALL = 100_000  # runs that every task may be sent, a few MB
+KEYS = 100_000  # keys that every task may be sent,
+KEY_CHARS = 4_000_000  # and their characters
+HEADS = (1, 2, 3, 6)  # numbers of characters that windows are looked up by
 LIST = 64  # lists of candidate keys that a text with very many is given
 
 
@@ -43,10 +49,39 @@ def _chars(text: str) -> Column:
     return F.when(F.col(text) == "", F.array().cast("array<string>")).otherwise(F.split(text, ""))
 
 
-def contained_keys(items: DataFrame, item: str, text: str, keys: DataFrame, key: str, q: int = 3, part: int = PART) -> DataFrame:
-    """Rows (key, item): every key, once, with every item one of whose texts contains it."""
+def _in_windows(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
+    """Rows (key, item) by windows; ``wanted`` is small. A match starts at some position, and its window starts with the key."""
+    heads = F.coalesce(*[F.when(F.length("key") >= n, F.lit(n)) for n in reversed(HEADS)])
+    sized = wanted.filter("key <> ''").withColumn("n", heads).select("key", "n", F.expr("substring(key, 1, n)").alias("head"), F.substring("key", 1, window).alias("start"))
+    lengths = [r.n for r in sized.select("n").distinct().collect()]
+    # one match at each code point: a position inside a surrogate pair is none
+    pattern = rf"(?s)(?=(\P{{Cs}}.{{0,{window - 1}}}))"
+    windows = texts.select("item", F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(1))).alias("w"))
+    looked = windows.select("item", "w", F.explode(F.array(*[F.substring("w", 1, n) for n in lengths]).cast("array<string>")).alias("head"))
+    found = looked.join(F.broadcast(sized), "head").filter(F.col("w").startswith(F.col("start"))).select("key", "item").distinct()
+    if not wanted.filter(F.length("key") > window).isEmpty():
+        found = cut_lineage(found)
+        short = F.length("key") <= window
+        lists = found.filter(~short).groupBy(F.col("item").alias("__item")).agg(F.collect_set("key").alias("keys"))  # no longer than the list of keys
+        whole = texts.join(lists, F.col("item").eqNullSafe(F.col("__item"))).select("item", F.explode(F.filter("keys", lambda k: F.col("text").contains(k))).alias("key"))
+        found = found.filter(short).unionByName(whole.distinct())
+    empty = wanted.filter("key = ''")
+    if not empty.isEmpty():
+        found = found.unionByName(texts.select(F.lit("").alias("key"), "item").distinct())
+    return found
+
+
+def contained_keys(items: DataFrame, item: str, text: str, keys: DataFrame, key: str, q: int = 3, part: int = PART,
+                   send: int = KEYS, window: int = 12) -> DataFrame:
+    """Rows (key, item): every key, once, with every item one of whose texts contains it.
+
+    Up to ``send`` counted keys, of ``KEY_CHARS`` characters at most, are sent to the texts; beyond that texts are posted by runs.
+    """
     wanted = cut_lineage(keys.select(F.col(key).alias("key")).filter("key is not null").distinct())
     texts = items.select(F.col(item).alias("item"), F.col(text).alias("text")).filter("text is not null")
+    size = wanted.agg(row_count().alias("n"), F.sum(F.length("key")).alias("chars")).first()
+    if size.n <= send and (size.chars or 0) <= KEY_CHARS:
+        return _in_windows(texts, wanted, window)
     split = wanted.withColumn("chars", _chars("key"))
     long_runs = split.filter(F.size("chars") >= q).select("key", F.explode(_runs("chars", q)).alias("run"))
     short_runs = split.filter(F.size("chars") < q).select(F.col("key").alias("run"))

@@ -16,19 +16,20 @@ def lists(seed, n_texts=150, n_keys=200):
     return texts, keys
 
 
-@pytest.mark.parametrize("q, part", [(3, 100_000), (2, 7), (4, 1), (1, 50)])
-def test_pairs_equal_a_comparison_of_all(spark, q, part):
+@pytest.mark.parametrize("q, part, send, window", [(3, 100_000, 0, 12), (2, 7, 0, 12), (4, 1, 0, 12), (1, 50, 0, 12), (5, 1, 1000, 12), (6, 1, 1000, 6), (7, 1, 1000, 9)])
+def test_pairs_equal_a_comparison_of_all(spark, q, part, send, window):
     texts, keys = lists(q)
-    found = containment.contained_keys(spark.createDataFrame(texts, "id int, body string"), "id", "body", spark.createDataFrame([(k,) for k in keys], "k string"), "k", q, part)
+    found = containment.contained_keys(spark.createDataFrame(texts, "id int, body string"), "id", "body", spark.createDataFrame([(k,) for k in keys], "k string"), "k", q, part, send, window)
     got = [tuple(r) for r in found.collect()]
     want = {(k, i) for k in keys if k is not None for i, t in texts if t is not None and k in t}
     assert len(got) == len(set(got)) and set(got) == want
 
 
-def test_empty_lists(spark):
+@pytest.mark.parametrize("send", [0, 1000])
+def test_empty_lists(spark, send):
     texts, keys = spark.createDataFrame([(1, "abc")], "id int, body string"), spark.createDataFrame([("ab",)], "k string")
-    assert containment.contained_keys(texts.limit(0), "id", "body", keys, "k").collect() == []
-    assert containment.contained_keys(texts, "id", "body", keys.limit(0), "k").collect() == []
+    assert containment.contained_keys(texts.limit(0), "id", "body", keys, "k", send=send).collect() == []
+    assert containment.contained_keys(texts, "id", "body", keys.limit(0), "k", send=send).collect() == []
 
 
 def test_no_product_of_texts_and_keys(spark, sf_dir):
