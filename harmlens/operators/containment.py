@@ -22,9 +22,9 @@ from harmlens.workspace import cut_lineage
 
 PART = 100_000  # postings of a run that one task takes
 SMALL = 100_000  # runs that every task may be sent, a few MB
-KEYS = 100_000  # keys that every task may be sent,
-KEY_CHARS = 4_000_000  # and their characters
-HEADS = (1, 2, 3, 6)  # numbers of characters that windows are looked up by
+KEYS = 500_000  # keys that every task may be sent, about 220 bytes each there,
+KEY_CHARS = 16_000_000  # and their characters
+HEADS = (1, 2, 3, 6, 9, 12)  # numbers of characters that windows are looked up by
 LIST = 64  # lists of candidate keys that a text with very many is given
 
 
@@ -51,7 +51,7 @@ def _chars(text: str) -> Column:
 
 def _in_windows(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
     """Rows (key, item) by windows; ``wanted`` is small. A match starts at some position, and its window starts with the key."""
-    heads = F.coalesce(*[F.when(F.length("key") >= n, F.lit(n)) for n in reversed(HEADS)])
+    heads = F.coalesce(*[F.when(F.length("key") >= n, F.lit(n)) for n in reversed(HEADS) if n <= window])
     sized = wanted.filter("key <> ''").withColumn("n", heads).select("key", "n", F.expr("substring(key, 1, n)").alias("head"), F.substring("key", 1, window).alias("start"))
     lengths = [r.n for r in sized.select("n").distinct().collect()]
     # one match at each code point: a position inside a surrogate pair is none
