@@ -54,6 +54,12 @@ def test_mixed_records_are_detected_once(spark, sf_dir):
     assert len(plan) < 18_000 and plan.count("array_contains") == 9
 
 
+def test_mixed_records_are_unified_once_for_all_schemas(spark, sf_dir):
+    # one scan for the inspection records and one for the cases counted from the same lines
+    plan = REGISTRY["h16_validate"].run(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_linenumber") and len(re.findall(r"Relation \[l_orderkey", plan)) == 2
+
+
 def test_scratch_folders_are_removed(spark):
     from harmlens.workspace import clear_scratch, scratch_path
 
