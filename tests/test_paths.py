@@ -62,3 +62,16 @@ def test_no_edges_no_ends_and_unreachable(spark):
     assert found(spark, [("a", "b")], [], ["b"]) == {}
     assert found(spark, [("a", "b"), ("c", "d")], ["a"], ["d", "zz", "a"]) == {}
     assert found(spark, [("a", "b"), ("b", "c")], ["a"], ["c"], max_hops=1) == {}
+
+
+def test_the_last_ball_is_not_formed(spark, monkeypatch):
+    """Pairs three edges apart: balls of one and two edges are stored, the third hop looks at edges to targets only."""
+    from harmlens.operators import graph
+
+    stored, keep = [], graph.stored if hasattr(graph, "stored") else None
+    monkeypatch.setattr(graph, "stored", lambda df, label: stored.append(label) or keep(df, label), raising=False)
+    edges = spark.createDataFrame([("A", "x"), ("x", "y"), ("y", "B"), ("x", "z"), ("z", "w")], "a string, b string")
+    ends = spark.createDataFrame([("A",), ("B",)], "node string")
+    got = {tuple(r) for r in graph.shortest_paths(edges, ends, ends).selectExpr("source", "target", "concat_ws('', path)", "path_length").collect()}
+    assert got == {("A", "B", "AxyB", 3), ("B", "A", "ByxA", 3)}
+    assert stored.count("frontier") == 2
