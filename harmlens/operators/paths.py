@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from harmlens.functions.exprs import row_count
 from harmlens.operators.graph import union_all
-from harmlens.workspace import cut_lineage
+from harmlens.workspace import cut_lineage, stored
 
 #: Edges of one node under one key of the edge layout; a node with more is dealt over several keys.
 HUB = 4096
@@ -28,7 +28,7 @@ class Network:
     """
 
     def __init__(self, edges: DataFrame, hub: int = HUB):
-        self.edges, self.hub, self._laid = cut_lineage(edges.select("a", "b").filter("a <> b")), hub, None
+        self.edges, self.hub, self._laid = stored(edges.select("a", "b").filter("a <> b"), "edges"), hub, None
 
     def both(self) -> DataFrame:
         """Every edge from either end; read, not shuffled."""
@@ -36,19 +36,20 @@ class Network:
         return self.edges.select(ways)
 
     def laid(self) -> tuple[DataFrame, DataFrame]:
-        """Distinct edges by (a, part), shuffled once for all hops that need it, and the hubs with their number of parts.
+        """Distinct edges with their key (a, part), and the hubs with their number of parts.
 
-        The edges of a hub are dealt over as many parts as its degree needs; other nodes have part 0.
+        The edges of a hub are dealt over as many parts as its degree needs; other nodes have part 0. They are stored as
+        compressed Parquet and dealt by each hop that needs them: a checkpoint that keeps them dealt takes several times
+        as many bytes as the hops' shuffles.
         """
         if self._laid is None:
-            both = cut_lineage(self.both().distinct())
+            both = stored(self.both().distinct(), "edges-both-ways")
             degree = both.groupBy(F.col("a").alias("hub")).agg(row_count().alias("degree"))
             hubs = cut_lineage(degree.filter(F.col("degree") > self.hub).select("hub", F.ceil(F.col("degree") / self.hub).cast("int").alias("parts")))
             hubs = _sent(hubs, hubs.count())
             part = F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1))).cast("int")
-            spread = int(self.edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
             dealt = both.join(hubs, F.col("a") == F.col("hub"), "left").select("a", part.alias("part"), "b")
-            self._laid = cut_lineage(dealt.repartition(spread, "a", "part")), hubs
+            self._laid = dealt, hubs
         return self._laid
 
     def step(self, frontier: DataFrame, small: bool) -> DataFrame:
@@ -88,7 +89,7 @@ class Side:
         step = step.groupBy("root", "node").agg(F.min("value").alias("value"))
         # an undirected neighbour of level d lies on level d - 1, d or d + 1: older levels can't be met again
         seen = union_all(*[level.select("root", "node") for level in self.levels[-2:]])
-        self.levels.append(cut_lineage(step.join(seen, ["root", "node"], "left_anti")))
+        self.levels.append(stored(step.join(seen, ["root", "node"], "left_anti"), "level"))
         self.rows = self.levels[-1].count()
 
 

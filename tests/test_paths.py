@@ -75,3 +75,11 @@ def test_the_last_ball_is_not_formed(spark, monkeypatch):
     got = {tuple(r) for r in graph.shortest_paths(edges, ends, ends).selectExpr("source", "target", "concat_ws('', path)", "path_length").collect()}
     assert got == {("A", "B", "AxyB", 3), ("B", "A", "ByxA", 3)}
     assert stored.count("frontier") == 2
+
+
+def test_edges_are_stored_compressed(spark):
+    from harmlens.operators.paths import Network
+
+    edges = spark.createDataFrame([("A", "x"), ("x", "B"), ("A", "A")], "a string, b string")
+    files = Network(edges).edges.inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
