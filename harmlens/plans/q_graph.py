@@ -19,7 +19,7 @@ from harmlens.plans.q_harmonize import PARTS as HPARTS
 from harmlens.plans.q_harmonize import esaw_input
 from harmlens.plans.registry import query
 from harmlens.streaming import ingest
-from harmlens.workspace import scratch_path
+from harmlens.workspace import scratch_path, stored
 
 DAY = date(2024, 1, 1)
 
@@ -75,7 +75,7 @@ def _(t):
 SELECT risk_id AS id, CASE WHEN risk_id < '8' THEN 'old' ELSE risk_code END AS code, title_en AS titre_en, CAST(0 AS BIGINT) AS total_incidents, CASE WHEN risk_id < '8' THEN 'ARCHIVED' ELSE 'ACTIVE' END AS statut
 FROM risks""", **PARTS)
 def _(t):
-    rows = osha_risks(t)
+    rows = stored(osha_risks(t), "risks")  # read twice
     old = rows.filter("id < '8'").select("id", F.lit("old").alias("code"), F.lit("old").alias("titre_fr"), F.lit("old").alias("titre_en"),
                                          F.lit(-1).cast("bigint").alias("total_incidents"), F.lit("ARCHIVED").alias("statut"))
     return gr.merge_risks(old, rows).drop("titre_fr")
