@@ -244,7 +244,7 @@ UNION ALL SELECT 'Secteur', COUNT(DISTINCT scian) FROM risks WHERE scian <> '' U
 
 
 def risk_graph_counts(t):
-    rows = osha_risks(t)
+    rows = stored(osha_risks(t), "risks")  # read three times
     nodes = rows.select(F.lit("Risque").alias("label")).unionByName(gr.base_nodes(t.spark).select("label")).unionByName(gr.sector_nodes(rows).select(F.lit("Secteur").alias("label")))
     return gr.label_counts(nodes, gr.risk_edges(rows))
 
