@@ -43,6 +43,10 @@ def _nothing() -> Column:
     return F.array().cast(ERRORS)
 
 
+def _together(parts: list[Column]) -> Column:
+    return parts[0] if len(parts) == 1 else F.concat(_nothing(), *parts)
+
+
 def _is_text(kind: T.DataType) -> bool:
     return isinstance(kind, (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType))
 
@@ -72,8 +76,8 @@ class Value:
             return Value(self.column.getField(name), self.kind[name].dataType, path)
         return None
 
-    def has_type(self, name: str) -> Column:
-        """Whether the value, which is not null, is of a type of the specification."""
+    def has_type(self, name: str) -> Column | bool:
+        """Whether the value, which is not null, is of a type of the specification; mostly settled by the column's type."""
         k = self.kind
         if name == "integer" and isinstance(k, (T.DoubleType, T.FloatType, T.DecimalType)):
             return self.column == F.floor(self.column)
@@ -81,7 +85,7 @@ class Value:
                   "array": isinstance(k, T.ArrayType), "object": _is_object(k), "null": False}
         if name not in static:
             raise ValueError(f"unknown type {name!r}")
-        return F.lit(static[name])
+        return static[name]
 
     def equals(self, constant: object) -> Column:
         """Whether the value, which is not null, is the constant; a constant of another type is not."""
@@ -146,9 +150,12 @@ class Compiler:
 
     def _type(self, asked, value, _schema):
         names = [asked] if isinstance(asked, str) else asked
+        known = [value.has_type(name) for name in names]
+        if any(fit is True for fit in known):
+            return []
         fits = F.lit(False)
-        for name in names:
-            fits = fits | value.has_type(name)
+        for fit in known:
+            fits = fits | fit
         return [self.when(~fits, value, "type")]
 
     def _enum(self, asked, value, _schema):
@@ -244,7 +251,7 @@ class Compiler:
 
         def of_key(key: Column) -> Column:
             member = Value(value.column[key], value.kind.valueType, F.concat(value.path, F.lit("."), key))
-            return F.concat(_nothing(), *rule(member))
+            return _together(rule(member))
 
         others = F.filter(F.array_sort(F.map_keys(value.column)), lambda k: ~k.isin(named)) if named else F.array_sort(F.map_keys(value.column))
         return [F.coalesce(F.flatten(F.transform(others, of_key)), _nothing())]
@@ -284,7 +291,7 @@ class Compiler:
 
         def of_item(item: Column, at: Column) -> Column:
             one = Value(item, value.kind.elementType, F.concat(value.path, F.lit("["), at.cast("string"), F.lit("]")))
-            return F.concat(_nothing(), *self.violations(asked, one))
+            return _together(self.violations(asked, one))
 
         return [F.coalesce(F.flatten(F.transform(value.column, of_item)), _nothing())]
 
@@ -320,4 +327,5 @@ def validate_schema(df: DataFrame, document: dict, columns: list[str] | None = N
 def error_rows(df: DataFrame, document: dict, key: str, columns: list[str] | None = None) -> DataFrame:
     """One row (key, path, rule) for each violation."""
     listed = df.select(key, violations(df, document, columns).alias("errors"))  # a column first: as a generator's own input the list comes out empty
-    return listed.select(key, F.inline("errors"))
+    # outer: otherwise the optimizer asks for filled lists below, which forms every list twice
+    return listed.select(key, F.inline_outer("errors")).filter(F.col("rule").isNotNull())

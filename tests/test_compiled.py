@@ -6,7 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from harmlens.operators import graph as gr
+from harmlens.operators import harmonize as har
+from harmlens.operators import json_schema as js
 from harmlens.plans.q_graph import osha_risks
+from harmlens.plans.q_harmonize import AS_OF, mixed_records
 from harmlens.plans.tables import Tables
 
 HUGE = 8000  # bytes of a method that the JVM leaves uncompiled
@@ -29,7 +32,12 @@ def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("rows", [osha_risks])
+def violations(t):
+    document = js.unified_schema()
+    return js.error_rows(har.transform_mixed(mixed_records(t), AS_OF), document, "risk_id", list(document["properties"]))
+
+
+@pytest.mark.parametrize("rows", [osha_risks, lambda t: har.transform_mixed(mixed_records(t), AS_OF).drop("_source_record"), violations])
 def test_methods_are_compiled(plain, rows):
     assert longest_method(rows(plain)) <= HUGE
 
@@ -39,6 +47,11 @@ def test_records_are_hashed_once(plain):
     assert len(re.findall(r"\bmd5\(", physical(osha_risks(plain)))) == 2
 
 
+def test_violations_are_listed_once(plain):
+    assert physical(violations(plain)).count("AS errors#") == 1
+    assert not re.search(r"Filter[^\n]*size\(concat", physical(violations(plain)))
+
+
 UNIFIED = ("risk_id string, risk_code string, title struct<en: string, fr: string>, hazard_classification struct<unified: struct<domain_code: string>>, "
            "data_provenance struct<source_system: string>, incident_statistics struct<total_incidents: bigint>, "
            "industry_classification struct<scian: struct<code: string>, nace: struct<code: string>>, metadata struct<tags: array<string>>, "
