@@ -24,7 +24,7 @@ def parse_lines(lines: DataFrame, line: str = "value") -> DataFrame:
 def land_variants(spark: SparkSession, source: str, target: str) -> None:
     """Text files of JSON lines into Parquet: parsed once, records and rejected lines in folders of their own."""
     parsed = parse_lines(spark.read.text(source)).withColumn("lane", F.when(F.col("reason").isNull(), "records").otherwise("rejected"))
-    parsed.write.mode("overwrite").partitionBy("lane").parquet(target)
+    parsed.write.mode("overwrite").option("compression", "zstd").partitionBy("lane").parquet(target)
 
 
 def landed_records(spark: SparkSession, target: str) -> DataFrame:

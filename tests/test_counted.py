@@ -2,7 +2,9 @@
 
 from harmlens.operators import harmonize as har
 from harmlens.operators.aggregates import counts_by
-from harmlens.plans.q_harmonize import AS_OF, UNHASHED, flatten
+from harmlens.plans.q_harmonize import AS_OF, UNHASHED, flatten, landed_variants
+from harmlens.plans.tables import Tables
+from harmlens.sources import variants
 
 FLAT = ["risk_id", "risk_code", *UNHASHED]
 RECORDS = [
@@ -31,3 +33,10 @@ def test_narrow_rows_are_moved(spark):
     above = plan[:plan.index("Aggregate [")]
     assert plan.count("Aggregate [") == 1 and "risk_id" in above and "risk_id" not in plan[plan.index("Aggregate ["):]
 
+
+def test_landed_lines_are_compressed(spark, sf_dir):
+    folder = landed_variants(Tables(spark, sf_dir))
+    lines = spark.read.text(folder.removesuffix("/parsed") + "/text")
+    assert all(f.endswith(".txt.gz") for f in lines.inputFiles())
+    landed = variants.landed_records(spark, folder).count() + variants.landed_rejects(spark, folder).count()
+    assert lines.count() == landed > 0
