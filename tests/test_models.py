@@ -48,3 +48,38 @@ def test_scores_of_the_binary_and_the_severity_model(spark):
     severity = feat.regress_severity(df, key=("name",), trees=20, depth=5).first()
     spread = df.select(F.stddev("severity_score")).first()[0]
     assert severity.test_rows == severity.scored > 0 and 0 < severity.rmse < spread / 3 and math.isfinite(severity.rmse)
+
+
+def test_equal_rows_are_trained_once_with_their_number(spark):
+    df = rows(spark, 400)
+    many = df.crossJoin(spark.range(20)).withColumn("name", F.concat_ws("/", "name", "id"))
+    place = F.array_position(F.array(*map(F.lit, feat.CATEGORIES)), F.col("risk_category")) - 1
+    table = feat._split(many, feat.FEATURES, place, ("name",), 0.8)
+    binned = feat._binned(table, len(feat.FEATURES))
+    assert binned.count() <= 2 * 400 and binned.agg(F.sum("n")).first()[0] == 8000 == table.count()
+    assert sorted(binned.groupBy("label", "__train").agg(F.sum("n")).collect()) == sorted(table.groupBy("label", "__train").count().collect())
+    assert all(0 <= b < feat.BINS for r in binned.collect() for b in r.inputs)
+
+
+def test_limits_lie_between_values():
+    assert feat._between([1.0, 1.0, 2.0, 4.0]) == [1.5, 3.0] and feat._between([5.0]) == feat._between([]) == []
+    limits = feat._between([float(i) for i in range(1024)])
+    assert len(limits) == feat.BINS - 1 and limits[0] == 31.5 and limits == sorted(limits)
+    skewed = feat._between([0.0] * 900 + [float(i) for i in range(1, 101)])
+    assert skewed[0] == 0.5 and len(skewed) <= feat.BINS - 1
+
+
+def test_weighted_rows_train_as_rows_do(spark):
+    """Mean labels and weights give the scores of the rows themselves, where the rows hold few values."""
+    r = random.Random(5)
+    data = [(f"e{i}", r.randint(1, 6), r.randint(0, 9), r.randint(0, 50) / 7) for i in range(1500)]
+    df = spark.createDataFrame(data, "name string, a int, b int, y double")
+    from pyspark.ml.regression import GBTRegressor
+
+    learner = lambda: GBTRegressor(maxIter=8, maxDepth=4, seed=1)
+    got = feat._evaluated(df, learner(), ("a", "b"), F.col("y"), ("name",), mean=True).agg(F.sum("squared_error"), F.sum("test_rows")).first()
+    table = feat._split(df, ("a", "b"), F.col("y"), ("name",), 0.8)
+    model = learner().setFeaturesCol("inputs").fit(table.filter("__train"))
+    error = F.col("prediction") - F.col("label")
+    plain = model.transform(table.filter("not __train")).agg(F.sum(error * error), F.count("*")).first()
+    assert got[1] == plain[1] and math.isclose(got[0], plain[0], rel_tol=1e-6)
