@@ -78,6 +78,13 @@ def test_components_of_chains_stars_and_nothing(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_components_keep_the_estimate_of_their_size_short(spark):
+    ids = random.Random(3).sample(range(10**6), 300)  # a chain that takes many rounds of joins
+    found = components(spark.createDataFrame(list(zip(ids, ids[1:])), "a bigint, b bigint"))
+    assert found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 2**63
+    assert {(r.id, r.component) for r in found.collect()} == {(k, min(ids)) for k in ids}
+
+
 def test_near_duplicates_equal_brute_force(spark):
     rows = corpus()
     sets, expected = components_of(rows)
