@@ -47,6 +47,11 @@ def test_records_are_hashed_once(plain):
     assert len(re.findall(r"\bmd5\(", physical(osha_risks(plain)))) == 2
 
 
+def test_risks_are_grouped_as_one_struct(plain):
+    keys = re.findall(r"HashAggregate\(keys=\[([^\]]*)\]", physical(osha_risks(plain)))
+    assert len(keys) == 2 and all(re.fullmatch(r"row#\d+", k) for k in keys)
+
+
 def test_violations_are_listed_once(plain):
     assert physical(violations(plain)).count("AS errors#") == 1
     assert not re.search(r"Filter[^\n]*size\(concat", physical(violations(plain)))

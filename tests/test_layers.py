@@ -1,5 +1,6 @@
 """Sinks write compact files that many tasks can read."""
 
+import zlib
 from datetime import date
 
 from harmlens import workspace
@@ -33,6 +34,14 @@ def test_integration_stores_compact_files(spark, sf_dir, tmp_path):
         assert stored and all(p.name.endswith(".zstd.parquet") for p in stored)
 
 
+def test_integration_spends_little_time_on_codecs(spark, sf_dir, tmp_path):
+    layers.integrate(tables_for(spark, sf_dir).osha_records, str(tmp_path), date(2024, 1, 1), ["json"])
+    for p in files(tmp_path / "json", ".json.gz"):
+        packed = p.read_bytes()
+        text = zlib.decompress(packed, 31)
+        assert abs(len(packed) - len(zlib.compress(text, 3))) < abs(len(packed) - len(zlib.compress(text, 6)))
+
+
 def test_record_files_come_from_one_count(spark, sf_dir, monkeypatch):
     cuts, cut = [], workspace.cut_lineage
     monkeypatch.setattr(q_storage, "cut_lineage", lambda df: cuts.append(df) or cut(df), raising=False)
